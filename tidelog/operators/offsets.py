@@ -1,31 +1,81 @@
-"""W1 assign_offsets: dense, increasing offsets per log partition.
+"""W1 assign_offsets and running totals without one task per log partition.
 
 ``row_number() OVER (PARTITION BY event_type, partition ORDER BY ts, id)``
-computes the same numbers but runs each log partition in ONE task: a hot
+gives the right numbers but runs each log partition in ONE task: a hot
 partition holding a third of the log would be a single multi-terabyte
-window. Instead:
-
-1. range-partition on the full sort key ``(keys..., order...)`` -- the
-   sampled range bounds split a hot key over many tasks;
-2. sort within each range slice; ``monotonically_increasing_id`` then encodes
-   ``(slice << 33) + position`` deterministically (same input, same slice,
-   same order on a retry);
-3. per (key, slice): row count and first position -- at most
-   ``slices + keys - 1`` rows, because range slices are contiguous in key
-   order; the running sum of counts over the slices of a key is a window over
-   at most ``slices`` rows;
-4. offset = rows of the key in earlier slices + position in this slice.
-
-Both branches read one shuffle (exchange reuse); step 3 is broadcast because
-its size is bounded by the slice count plus the key count, not by the data.
+window. Instead the order is cut into deterministic buckets taken from the
+row itself (the first order column, truncated to ``fine`` units) and the
+prefix is assembled from three bounded pieces:
+
+1. per (key, coarse, fine) bucket: row count / value sum -- a partial
+   aggregate, one row per bucket;
+2. prefix over buckets, two levels so no window is unbounded: over the
+   coarse buckets of a key (``coarse`` = ``fine * 86400``: days for 1 s
+   buckets) and over the fine buckets inside one coarse bucket (at most
+   86400 rows);
+3. the running value inside one fine bucket: a window partitioned by
+   (key, coarse, fine) -- bounded by the rows of one second of one key.
+
+Buckets come from row values, not from a partitioner, so a retried or
+re-planned stage computes exactly the same numbers (a sampled range
+partitioner would re-sample per exchange). The events shuffle once on
+(key, coarse, fine); the window and the join with the bucket bases share
+that partitioning.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+FINE_PER_COARSE = 86_400
+
+
+def _bucket_cols(df: DataFrame, first: str, fine: float) -> tuple[Column, Column]:
+    dt = df.schema[first].dataType
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        x = F.unix_micros(F.col(first).cast("timestamp")) / F.lit(1_000_000.0)
+    elif isinstance(dt, T.StringType):
+        raise TypeError("the first order column must be a timestamp or a number")
+    else:
+        x = F.col(first).cast("double")
+    f = F.floor(x / F.lit(float(fine))).cast("bigint")
+    return F.floor(f / F.lit(FINE_PER_COARSE)).cast("bigint"), f
+
+
+def running_total(
+    df: DataFrame,
+    order: tuple[str, ...] | list[str],
+    value: str | None,
+    out: str,
+    keys: tuple[str, ...] | list[str] = (),
+    exclusive: bool = False,
+    fine: float = 1.0,
+) -> DataFrame:
+    """Running ``sum(value)`` (``count`` when ``value`` is None) per ``keys``
+    in ``order``; ``exclusive`` leaves the current row out.
+
+    ``order[0]`` must be a timestamp or a number; ``fine`` is the bucket width
+    in its unit (seconds for timestamps). Keys must be non-null.
+    """
+    keys, order = list(keys), list(order)
+    coarse, fine_b = _bucket_cols(df, order[0], fine)
+    v = F.lit(1).cast("bigint") if value is None else F.col(value)
+    x = df.withColumn("_c", coarse).withColumn("_f", fine_b).withColumn("_v", v)
+
+    per_fine = x.groupBy(*keys, "_c", "_f").agg(F.sum("_v").alias("_t"))
+    per_coarse = per_fine.groupBy(*keys, "_c").agg(F.sum("_t").alias("_ct"))
+    coarse_before = Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    per_coarse = per_coarse.select(*keys, "_c", F.coalesce(F.sum("_ct").over(coarse_before), F.lit(0)).alias("_cb"))
+    fine_before = Window.partitionBy(*keys, "_c").orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)
+    bases = per_fine.select(*keys, "_c", "_f", F.coalesce(F.sum("_t").over(fine_before), F.lit(0)).alias("_fb")) \
+        .join(per_coarse, [*keys, "_c"]).select(*keys, "_c", "_f", (F.col("_cb") + F.col("_fb")).alias("_base"))
 
-_POS_BITS = 33
+    within = Window.partitionBy(*keys, "_c", "_f").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    res = x.withColumn("_r", F.sum("_v").over(within)).join(bases, [*keys, "_c", "_f"])
+    total = F.col("_base") + F.col("_r") - (F.col("_v") if exclusive else F.lit(0))
+    return res.withColumn(out, total).drop("_c", "_f", "_v", "_r", "_base")
 
 
 def assign_offsets(
@@ -33,32 +83,12 @@ def assign_offsets(
     keys: tuple[str, ...] = ("event_type", "partition"),
     order: tuple[str, ...] = ("ts", "event_id"),
     out: str = "offset",
-    slices: int | None = None,
-    broadcast_bases: bool = True,
+    fine: float = 1.0,
 ) -> DataFrame:
     """Add ``out`` = 0-based dense position of each row within ``keys`` by ``order``.
 
     ``order`` must be a total order within a key (ties make positions
     arbitrary, as with ``row_number``).
     """
-    spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort_cols = [*keys, *order]
-    tagged = (
-        df.repartitionByRange(n, *sort_cols)
-        .sortWithinPartitions(*sort_cols)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_slice", F.shiftright(F.col("_mid"), _POS_BITS))
-        .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
-    )
-    counts = tagged.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select(*keys, "_slice", "_first",
-                          F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    if broadcast_bases:
-        bases = F.broadcast(bases)
-    return (
-        tagged.join(bases, [*keys, "_slice"])
-        .withColumn(out, (F.col("_base") + F.col("_pos") - F.col("_first")).cast("bigint"))
-        .drop("_mid", "_slice", "_pos", "_first", "_base")
-    )
+    r = running_total(df, order, None, out, keys=keys, exclusive=True, fine=fine)
+    return r.withColumn(out, F.col(out).cast("bigint"))

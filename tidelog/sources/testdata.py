@@ -11,10 +11,12 @@ Rules (fixed values of the fixture):
 * eid        = md5(event_id) formatted as a UUID
 * category   = event_id mod 10: 0-5 business, 6-8 data, 9 undefined
 * data_op    = C, U, D, S by event_id mod 4
-* metadata.event_type is left out when event_id mod 3 = 0 (publish fills it)
+* metadata.event_type is "legacy.<type>" when event_id mod 89 = 1 (an
+  enrichment conflict), else left out when event_id mod 3 = 0 (publish fills it)
 * span_ctx   on business events with event_id mod 5 = 0
 * malformed payload ("value" as text) when event_id mod 97 = 0
-* undefined events carry a root "eid" unless event_id mod 20 = 19
+* undefined events carry a root "eid" unless event_id mod 20 = 19 and the
+  type is click, purchase or signup
 * batches    = BATCH_LIMIT events per (event_type, partition); a keep-alive
                follows every 10th batch
 * cursors    = floor(0.8 * count) - 1 per (event_type, partition); partition
@@ -40,10 +42,12 @@ from tidelog.sources.tables import read_table
 N_PARTITIONS = 8
 BATCH_LIMIT = 20
 KEEPALIVE_EVERY = 10
-COMMITTED_SHARE = 0.8
 BEGIN_PARTITION = "6"
 UNCOMMITTED_PARTITION = "7"
-SUBSCRIPTION_ID = "8f0c3ad5-4c53-4b0e-9b5e-0f6c2a1d7e11"
+# the subscription of customer 1 owns the fixture cursors
+SUBSCRIPTION_ID = "1873a0c8-f41a-998f-9e3e-fdd4605f9df5"  # md5("sub-1") as a UUID
+UNKNOWN_SUBSCRIPTION_ID = "00000000-0000-0000-0000-000000000000"
+ID_LESS_TYPES = ["click", "purchase", "signup"]
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
@@ -76,7 +80,8 @@ def with_envelope(log: DataFrame) -> DataFrame:
     md = F.struct(
         F.col("eid").alias("eid"),
         F.col("ts").cast("timestamp").alias("occurred_at"),
-        F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("event_type"),
+        F.when(F.col("event_id") % 89 == 1, F.concat(F.lit("legacy."), F.col("event_type")))
+        .when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("event_type"),
         F.lit(None).cast("timestamp").alias("received_at"),
         F.lit(None).cast("array<string>").alias("parent_eids"),
         F.lit(None).cast("string").alias("flow_id"),
@@ -98,7 +103,7 @@ def with_envelope(log: DataFrame) -> DataFrame:
         F.col("metadata").withField("event_type", F.coalesce(F.col("metadata.event_type"), F.col("event_type")))))
     undefined_raw = F.to_json(F.struct(
         "user_id", "value", "k",
-        F.when(F.col("event_id") % 20 != 19, F.col("eid")).alias("eid")))
+        F.when((F.col("event_id") % 20 != 19) | ~F.col("event_type").isin(ID_LESS_TYPES), F.col("eid")).alias("eid")))
     raw = F.when(F.col("category") == "undefined", undefined_raw).otherwise(
         encode_event(F.col("category"), F.col("metadata"), F.col("payload"), F.col("data_type"),
                      F.col("data_op"), ["user_id", "value", "k"]))
@@ -142,7 +147,7 @@ def batch_lines(log_with_raw: DataFrame, batch_limit: int = BATCH_LIMIT) -> Data
 def cursors(log: DataFrame, subscription_id: str = SUBSCRIPTION_ID) -> DataFrame:
     """Committed cursors of one subscription (rules in the module doc)."""
     c = log.groupBy("event_type", "partition").agg(F.count(F.lit(1)).alias("n"))
-    committed = (F.floor(F.col("n") * F.lit(COMMITTED_SHARE)) - 1).cast("bigint")
+    committed = (F.expr("(n * 4) div 5") - 1).cast("bigint")  # floor(0.8 n) - 1 in integers
     return c.filter(F.col("partition") != UNCOMMITTED_PARTITION).select(
         F.lit(subscription_id).alias("subscription_id"),
         "event_type",
@@ -250,3 +255,40 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (F.col("c_custkey") % 3 + 1).cast("int")).alias("read_from"),
         F.col("c_custkey"),
     )
+
+
+# Fixed values of the consumption timeline
+COMMIT_SKIP_EVERY = 7        # batch_no mod 7 = 3 is never committed
+COMMIT_DELAY_STEP_S = 20     # commit delay = (batch_no mod 5) * 20 s after sending
+KEEPALIVE_DELAY_S = 30       # a keep-alive follows its batch after 30 s
+
+
+def sent_batches(log: DataFrame, batch_limit: int = BATCH_LIMIT) -> DataFrame:
+    """The consumption timeline of the fixture subscription, one row per batch.
+
+    ``event_type, partition, batch_no, offset (string, the cursor), n_events,
+    keepalive, sent_ts, committed, commit_ts``. A batch is sent one second
+    after its newest event; keep-alives follow every 10th batch.
+    """
+    b = log.groupBy("event_type", "partition",
+                    F.floor(F.col("offset") / F.lit(batch_limit)).cast("bigint").alias("batch_no")).agg(
+        F.max("offset").alias("_last"), F.count(F.lit(1)).alias("n_events"), F.max("ts").alias("_newest"))
+    sent = F.col("_newest").cast("timestamp") + F.make_dt_interval(secs=F.lit(1))
+    committed = F.col("batch_no") % COMMIT_SKIP_EVERY != 3
+    full = b.select(
+        "event_type", "partition", "batch_no", F.col("_last").cast("string").alias("offset"), "n_events",
+        F.lit(False).alias("keepalive"), sent.alias("sent_ts"), committed.alias("committed"),
+        F.when(committed, sent + F.make_dt_interval(
+            secs=((F.col("batch_no") % 5) * COMMIT_DELAY_STEP_S).cast("int"))).alias("commit_ts"))
+    keep = full.filter(F.col("batch_no") % KEEPALIVE_EVERY == KEEPALIVE_EVERY - 1).select(
+        "event_type", "partition", "batch_no", "offset", F.lit(0).cast("bigint").alias("n_events"),
+        F.lit(True).alias("keepalive"),
+        (F.col("sent_ts") + F.make_dt_interval(secs=F.lit(KEEPALIVE_DELAY_S))).alias("sent_ts"),
+        F.lit(False).alias("committed"), F.lit(None).cast("timestamp").alias("commit_ts"))
+    return full.unionByName(keep)
+
+
+def publish_batches(env: DataFrame) -> DataFrame:
+    """Publish requests: events of one type in blocks of 50 event ids."""
+    return env.withColumn("batch_id", F.concat_ws(
+        "/", F.col("event_type"), (F.col("event_id") / 50).cast("bigint").cast("string")))
