@@ -5,9 +5,16 @@ into a STRING field becomes text, a timestamp without a zone offset is
 accepted, and a second JSON root on the same line is silently dropped. The
 reference semantics reject all three. This module decodes a VARIANT against a
 ``StructType`` and returns, next to the typed value, the *first* violation
-(field order, depth first) as a message column -- all as built-in expressions,
-so decoding stays inside whole-stage codegen and also works inside
-``transform`` / ``exists`` lambdas over arrays of events.
+(field order, depth first) as a message column -- all built-in expressions,
+so decoding stays JVM-side and also works inside ``transform`` lambdas over
+arrays of events.
+
+Decoding is split in two stages so nothing is computed twice: ``prepare``
+builds one struct per value holding the typed cast and every field's
+sub-variant (one path lookup each); ``check`` reads those materialised
+fields. Callers put the two stages in separate projections (or nested
+``transform`` calls), because Spark does not eliminate common
+subexpressions inside lambdas or conditional branches.
 
 Field metadata drives extra checks: ``{"format": "uuid"}``,
 ``{"format": "offset-date-time"}``, ``{"enum": [...]}``. A non-nullable field
@@ -34,6 +41,17 @@ def child_path(path: str, name: str) -> str:
     return f"{path}['{name}']"
 
 
+def materialize(df, **cols: Column):
+    """Add ``cols`` as real columns computed exactly once per row.
+
+    ``inline(array(struct(...)))`` is a generator, and the optimizer neither
+    inlines generator outputs into later expressions nor pushes filters on
+    them below it -- so a large decode expression is never duplicated into a
+    pushed-down filter or a collapsed projection.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+
 def parse_line(raw: Column) -> Column:
     """Parse one JSON document; null when it is malformed or has trailing data.
 
@@ -63,11 +81,30 @@ def is_object(x: Column) -> Column:
     return F.try_variant_get(x, "$", "map<string,variant>").isNotNull()
 
 
-def _leaf_checks(field: T.StructField, x: Column, typed: Column, path: str) -> list[Column]:
+def _walk(schema: T.StructType, path: str = "$"):
+    """(variant path, field) of every field, depth first, in field order."""
+    for f in schema.fields:
+        p = child_path(path, f.name)
+        yield p, f
+        if isinstance(f.dataType, T.StructType):
+            yield from _walk(f.dataType, p)
+
+
+def prepare(v: Column, schema: T.StructType, base: str = "$") -> Column:
+    """Stage 1: ``struct(self, typed, f0, f1, ...)`` for the value at ``base``
+    of VARIANT ``v``: the value, its typed cast (null when not an object) and
+    each field's sub-variant -- every path looked up from ``v`` directly."""
+    ddl = plain(schema).simpleString()
+    cols = [(v if base == "$" else sub(v, base)).alias("self"), F.try_variant_get(v, base, ddl).alias("typed")]
+    cols += [sub(v, base + p[1:]).alias(f"f{i}") for i, (p, _) in enumerate(_walk(schema))]
+    return F.struct(*cols)
+
+
+def _leaf(field: T.StructField, x: Column, typed: Column, path: str) -> list[Column]:
     dt = field.dataType
     md = field.metadata or {}
-    out: list[Column] = []
     p = present(x)
+    out: list[Column] = []
     if isinstance(dt, T.StringType):
         out.append(F.when(p & (vtype(x) != F.lit("STRING")), F.lit(f"{path}: expected a string")))
         if md.get("format") == "uuid":
@@ -76,72 +113,60 @@ def _leaf_checks(field: T.StructField, x: Column, typed: Column, path: str) -> l
             allowed = list(md["enum"])
             out.append(F.when(p & ~typed.isin(allowed), F.lit(f"{path}: not one of {','.join(allowed)}")))
     elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        text = F.try_variant_get(x, "$", "string")
         bad = (vtype(x) != F.lit("STRING")) | typed.isNull()
         if md.get("format") == "offset-date-time":
-            bad = bad | ~text.rlike(OFFSET_TS_PATTERN)
+            bad = bad | ~F.try_variant_get(x, "$", "string").rlike(OFFSET_TS_PATTERN)
         out.append(F.when(p & bad, F.lit(f"{path}: expected a timestamp with offset")))
     elif isinstance(dt, T.StructType):
         out.append(F.when(p & typed.isNull(), F.lit(f"{path}: expected an object")))
-        out.extend(struct_checks(dt, x, typed, path, guard=p))
     elif isinstance(dt, T.ArrayType):
         out.append(F.when(p & typed.isNull(), F.lit(f"{path}: expected an array")))
-        elems = F.try_variant_get(x, "$", "array<variant>")
-        et = dt.elementType
-        if isinstance(et, T.StringType):
-            out.append(
-                F.when(
-                    p & F.exists(elems, lambda e: ~present(e) | (vtype(e) != F.lit("STRING"))),
-                    F.lit(f"{path}: expected strings"),
-                )
-            )
+        if isinstance(dt.elementType, T.StringType):
+            elems = F.try_variant_get(x, "$", "array<variant>")
+            out.append(F.when(p & F.exists(elems, lambda e: ~present(e) | (vtype(e) != F.lit("STRING"))),
+                              F.lit(f"{path}: expected strings")))
             if md.get("format") == "uuid":
-                out.append(
-                    F.when(p & F.exists(typed, lambda e: ~e.rlike(UUID_PATTERN)), F.lit(f"{path}: not UUIDs"))
-                )
+                out.append(F.when(p & F.exists(typed, lambda e: ~e.rlike(UUID_PATTERN)),
+                                  F.lit(f"{path}: not UUIDs")))
         else:
             out.append(F.when(p & F.exists(typed, lambda e: e.isNull()), F.lit(f"{path}: bad element")))
     elif isinstance(dt, T.MapType):
-        vals = F.map_values(F.try_variant_get(x, "$", "map<string,variant>"))
         out.append(F.when(p & typed.isNull(), F.lit(f"{path}: expected an object")))
         if isinstance(dt.valueType, T.StringType):
-            out.append(
-                F.when(
-                    p & F.exists(vals, lambda e: present(e) & (vtype(e) != F.lit("STRING"))),
-                    F.lit(f"{path}: expected string values"),
-                )
-            )
+            vals = F.map_values(F.try_variant_get(x, "$", "map<string,variant>"))
+            out.append(F.when(p & F.exists(vals, lambda e: present(e) & (vtype(e) != F.lit("STRING"))),
+                              F.lit(f"{path}: expected string values")))
         else:
-            out.append(F.when(p & F.exists(F.map_values(typed), lambda e: e.isNull()), F.lit(f"{path}: bad value")))
+            out.append(F.when(p & F.exists(F.map_values(typed), lambda e: e.isNull()),
+                              F.lit(f"{path}: bad value")))
     else:  # numbers, booleans, dates
         out.append(F.when(p & typed.isNull(), F.lit(f"{path}: expected {dt.simpleString()}")))
     return out
 
 
-def struct_checks(schema: T.StructType, v: Column, typed: Column, path: str, guard: Column | None = None) -> list[Column]:
-    out: list[Column] = []
-    for f in schema.fields:
-        fp = child_path(path, f.name)
-        x = sub(v, child_path("$", f.name))
-        ft = typed.getField(f.name)
+def check(prep: Column, schema: T.StructType, display: str = "$") -> Column:
+    """Stage 2: the first violation of a prepared value (null when it conforms)."""
+    checks = [F.when(prep["typed"].isNull(), F.lit(f"{display}: expected an object"))]
+    typed_of: dict[str, Column] = {"$": prep["typed"]}
+    present_of: dict[str, Column] = {}
+    for i, (p, f) in enumerate(_walk(schema)):
+        parent = p[: p.rfind("['")] if p.endswith("']") else p[: p.rfind(".")]
+        x = prep[f"f{i}"]
+        typed = typed_of[parent].getField(f.name)
+        typed_of[p] = typed
+        present_of[p] = present(x)
+        shown = display + p[1:]
         if not f.nullable:
             miss = ~present(x)
-            if guard is not None:
-                miss = guard & miss
-            out.append(F.when(miss, F.lit(f"{fp}: missing")))
-        out.extend(_leaf_checks(f, x, ft, fp))
-    return out
+            if parent != "$":
+                miss = present_of[parent] & miss
+            checks.append(F.when(miss, F.lit(f"{shown}: missing")))
+        checks.extend(_leaf(f, x, typed, shown))
+    return F.coalesce(*checks)
 
 
 def decode(v: Column, schema: T.StructType, path: str = "$") -> tuple[Column, Column]:
-    """Decode the object at ``path`` of VARIANT ``v`` strictly.
-
-    Returns ``(value, error)``: the typed struct (null when not an object)
-    and the first violation message (null when the object conforms).
-    """
-    x = v if path == "$" else sub(v, path)
-    ddl = plain(schema).simpleString()
-    typed = F.try_variant_get(x, "$", ddl)
-    checks = [F.when(x.isNull() | ~is_object(x), F.lit(f"{path}: expected an object"))]
-    checks += struct_checks(schema, x, typed, path)
-    return typed, F.coalesce(*checks)
+    """Single-expression decode ``(value, error)`` for light use (few fields,
+    already materialised input). Hot paths use ``prepare`` + ``check``."""
+    prep = prepare(v, schema, path)
+    return prep["typed"], check(prep, schema, path)

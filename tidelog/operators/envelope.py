@@ -25,67 +25,83 @@ from tidelog.functions.columns import UUID_PATTERN, offset_ts_string
 DECODED_FIELDS = ["category", "data_op", "data_type", "metadata", "payload", "error"]
 
 
+def _category(v: Column, op: Column, md: Column) -> Column:
+    """``data_op`` *and* ``metadata`` present => data; ``metadata`` only
+    => business; anything else => undefined, including ``data_op`` without
+    ``metadata``. JSON null counts as absent. Shape errors (non-string
+    ``data_op``, malformed ``metadata``) are reported by the decoder."""
+    has_op, has_md = strict.present(op), strict.present(md)
+    return (F.when(v.isNull(), F.lit(None).cast("string"))
+            .when(has_op & has_md, F.lit("data"))
+            .when(has_md, F.lit("business"))
+            .otherwise(F.lit("undefined")))
+
+
 def classify(v: Column) -> Column:
-    """Category of an event VARIANT.
+    """Category of an event VARIANT (see ``_category``)."""
+    return _category(v, strict.sub(v, "$.data_op"), strict.sub(v, "$.metadata"))
 
-    ``data_op`` *and* ``metadata`` present => data; ``metadata`` only =>
-    business; anything else => undefined, including ``data_op`` without
-    ``metadata``. JSON null counts as absent. Shape errors (non-string
-    ``data_op``, malformed ``metadata``) are reported by ``decode_event``.
-    """
-    has_op = strict.present(strict.sub(v, "$.data_op"))
-    has_md = strict.present(strict.sub(v, "$.metadata"))
-    return (
-        F.when(v.isNull(), F.lit(None).cast("string"))
-        .when(has_op & has_md, F.lit("data"))
-        .when(has_md, F.lit("business"))
-        .otherwise(F.lit("undefined"))
-    )
 
+def prepare_event(v: Column, payload_schema: T.StructType) -> Column:
+    """Decode stage 1 of one event VARIANT: every lookup done once."""
+    return F.struct(
+        v.alias("v"),
+        strict.sub(v, "$.data_op").alias("op"),
+        strict.sub(v, "$.data_type").alias("dtype"),
+        strict.prepare(v, S.METADATA, "$.metadata").alias("md"),
+        strict.prepare(v, payload_schema, "$").alias("root"),
+        strict.prepare(v, payload_schema, "$.data").alias("data"),
+    )
 
-def decode_event(v: Column, payload_schema: T.StructType) -> Column:
-    """P1-P4 + F2: strict decode of one event VARIANT into a struct."""
-    op_v = strict.sub(v, "$.data_op")
-    md_v = strict.sub(v, "$.metadata")
-    has_op = strict.present(op_v)
-    has_md = strict.present(md_v)
-    category = classify(v)
-
-    metadata, md_err = strict.decode(v, S.METADATA, "$.metadata")
-    root_payload, root_err = strict.decode(v, payload_schema, "$")
-    data_payload, data_err = strict.decode(v, payload_schema, "$.data")
-    data_type_v = strict.sub(v, "$.data_type")
-    data_type = F.try_variant_get(v, "$.data_type", "string")
-    data_op = F.try_variant_get(v, "$.data_op", "string")
 
+def finish_event(p: Column, payload_schema: T.StructType) -> Column:
+    """Decode stage 2: ``(category, data_op, data_type, metadata, payload, error)``
+    from a prepared event (P1-P4 + F2)."""
+    v, op, dtype = p["v"], p["op"], p["dtype"]
+    md = p["md"]
+    category = _category(v, op, md["self"])
+    data_type = F.try_variant_get(dtype, "$", "string")
+    data_op = F.try_variant_get(op, "$", "string")
     error = F.coalesce(
         F.when(v.isNull(), F.lit("malformed JSON")),
-        F.when(~strict.is_object(v), F.lit("$: expected an object")),
-        F.when(has_op & (strict.vtype(op_v) != F.lit("STRING")), F.lit("$.data_op: expected a string")),
-        F.when(has_md, md_err),
+        F.when(p["root"]["typed"].isNull(), F.lit("$: expected an object")),
+        F.when(strict.present(op) & (strict.vtype(op) != F.lit("STRING")), F.lit("$.data_op: expected a string")),
+        F.when(strict.present(md["self"]), strict.check(md, S.METADATA, "$.metadata")),
         F.when(category == "data", F.coalesce(
-            data_err,
-            F.when(~strict.present(data_type_v), F.lit("$.data_type: missing")),
-            F.when(strict.vtype(data_type_v) != F.lit("STRING"), F.lit("$.data_type: expected a string")),
+            strict.check(p["data"], payload_schema, "$.data"),
+            F.when(~strict.present(dtype), F.lit("$.data_type: missing")),
+            F.when(strict.vtype(dtype) != F.lit("STRING"), F.lit("$.data_type: expected a string")),
             F.when(~data_op.isin(S.DATA_OPERATIONS), F.lit("$.data_op: not one of " + ",".join(S.DATA_OPERATIONS))),
         )),
-        F.when(category != "data", root_err),
+        F.when(category != "data", strict.check(p["root"], payload_schema, "$")),
     )
-    payload = F.when(category == "data", data_payload).otherwise(root_payload)
+    payload = F.when(category == "data", p["data"]["typed"]).otherwise(p["root"]["typed"])
     return F.struct(
         category.alias("category"),
         F.when(category == "data", data_op).alias("data_op"),
         F.when(category == "data", data_type).alias("data_type"),
-        F.when(category != "undefined", metadata).alias("metadata"),
+        F.when(category != "undefined", md["typed"]).alias("metadata"),
         payload.alias("payload"),
         error.alias("error"),
     )
 
 
+def decode_event(v: Column, payload_schema: T.StructType) -> Column:
+    """P1-P4 + F2 as one expression (for small inputs; ``decode_events`` and
+    ``parse_batches`` run the two stages as separate projections)."""
+    return finish_event(prepare_event(v, payload_schema), payload_schema)
+
+
 def decode_events(df: DataFrame, raw_col: str, payload_schema: T.StructType) -> DataFrame:
-    """Decode a column of event JSON text; adds the ``DECODED_FIELDS`` columns."""
-    d = decode_event(strict.parse_line(F.col(raw_col)), payload_schema)
-    return df.withColumn("_d", d).select("*", *[F.col("_d").getField(n).alias(n) for n in DECODED_FIELDS]).drop("_d")
+    """Decode a column of event JSON text; adds the ``DECODED_FIELDS`` columns.
+
+    Three projections: parse once, prepare once, finish -- so the JSON text
+    is parsed a single time per row.
+    """
+    d = strict.materialize(df, _v=strict.parse_line(F.col(raw_col)))
+    d = strict.materialize(d, _p=prepare_event(F.col("_v"), payload_schema))
+    d = strict.materialize(d, _d=finish_event(F.col("_p"), payload_schema))
+    return d.select(*df.columns, *[F.col("_d").getField(n).alias(n) for n in DECODED_FIELDS])
 
 
 def get_metadata(category: Column, metadata: Column) -> Column:

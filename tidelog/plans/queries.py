@@ -75,21 +75,7 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     received events is beyond the committed cursor and how old it is."""
     log = _log(spark, sf)
     parsed = B.parse_batches(td.batch_lines(td.with_envelope(log)).select("line"))
-    good, bad = B.split_good_bad(B.drop_keepalives(parsed))
-    events = B.explode_events(good).select(
-        "event_type", "partition", "offset", F.col("metadata.occurred_at").alias("ts"))
-    cur = td.cursors(log)
-    stats = CON.subscription_stats(events, cur, show_time_lag=True)
-    received = events.groupBy("event_type", "partition").agg(F.count(F.lit(1)).alias("received_events"))
-    dead = bad.groupBy(F.col("cursor.event_type").alias("event_type"), F.col("cursor.partition").alias("partition")) \
-        .agg(F.count(F.lit(1)).alias("dead_letter_batches"), F.sum("n_events").cast("bigint").alias("dead_letter_events"))
-    return received.join(stats, ["event_type", "partition"], "full").join(dead, ["event_type", "partition"], "full") \
-        .select("event_type", "partition",
-                F.coalesce("received_events", F.lit(0)).cast("bigint").alias("received_events"),
-                F.coalesce("dead_letter_batches", F.lit(0)).cast("bigint").alias("dead_letter_batches"),
-                F.coalesce("dead_letter_events", F.lit(0)).cast("bigint").alias("dead_letter_events"),
-                F.coalesce("unconsumed_events", F.lit(0)).cast("bigint").alias("unconsumed_events"),
-                "consumer_lag_seconds")
+    return CON.consumer_report(parsed, td.cursors(log))
 
 
 # ---------------------------------------------------------------------------

@@ -18,14 +18,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check is a bounded count (``limit(max_rows + 1)``), so it never scans
-    more than ``max_rows + 1`` rows of a large side; beyond the bound the
-    plain DataFrame is returned and the planner / AQE pick a shuffle join.
+    """Broadcast ``df`` only behind a size check; otherwise leave the choice to AQE.
+
+    * a driver-local table (``isLocal``: literal rows, e.g. a registry handed
+      in by the caller) is counted with ``limit(max_rows + 1)`` -- cheap -- and
+      broadcast when within the bound;
+    * a derived table (an aggregate of the log, a filter of a stored table)
+      is NOT counted up front, which would run its whole lineage twice.
+      Adaptive execution measures its shuffle output at runtime and turns the
+      join into a broadcast join only below
+      ``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond it the join
+      stays a shuffle join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if df.isLocal():
+        n = df.limit(max_rows + 1).count()
+        return F.broadcast(df) if n <= max_rows else df
+    return df
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
