@@ -99,5 +99,11 @@ def md5_bucket(c, n: int) -> Column:
 
 
 def offset_ts_string(c) -> Column:
-    """Encode a timestamp as ISO-8601 with offset ``Z`` and microseconds."""
-    return F.date_format(_c(c).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    """Encode a timestamp as ISO-8601 in UTC with offset ``Z``, the way an
+    offset date-time prints: seconds always, the fraction only when non-zero
+    and without trailing zeros (``10:00:00Z``, ``05:37:01.771839Z``)."""
+    ts = _c(c).cast("timestamp")
+    frac = F.pmod(F.unix_micros(ts), F.lit(1_000_000))
+    digits = F.regexp_replace(F.lpad(frac.cast("string"), 6, "0"), "0+$", "")
+    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
+                    F.when(frac != 0, F.concat(F.lit("."), digits)).otherwise(F.lit("")), F.lit("Z"))

@@ -439,4 +439,23 @@ FROM oc, range(0, 6) t(k) WHERE NOT (step = 'validating') AND publishing_status
 FROM events""",
 
     "publish_with_retry": _retry_sql(),
+
+    "stream_consume": f"""WITH {LOG}, {BAT}
+SELECT event_type, "partition", max(last_offset) AS committed_offset,
+       CAST(sum(CASE WHEN bad THEN 0 ELSE n_events END) AS BIGINT) AS received_events,
+       CAST(count(*) FILTER (WHERE bad) AS BIGINT) AS dead_letter_batches
+FROM bat GROUP BY ALL""",
+
+    "stream_flush": f"""WITH {LOG}, {BAT}
+SELECT event_type, "partition", batch_no, batch_no * 20 AS first_offset, last_offset, n_events, 'limit' AS reason
+FROM bat WHERE n_events = 20""",
+
+    "stream_compaction": f"""WITH {LOG}
+SELECT event_type, "partition", 'u' || CAST(user_id AS VARCHAR) AS partition_compaction_key,
+       arg_max(event_id, "offset") AS event_id, max("offset") AS "offset"
+FROM log WHERE event_type IN ('purchase', 'signup') AND category <> 'undefined' GROUP BY ALL""",
+
+    "stream_traffic": """SELECT event_type, round(avg(n), 6) AS messages_per_minute,
+       CAST(count(*) AS BIGINT) AS active_minutes
+FROM (SELECT event_type, date_trunc('minute', ts) AS m, count(*) AS n FROM events GROUP BY ALL) GROUP BY ALL""",
 }

@@ -543,6 +543,98 @@ def q_publish_with_retry(spark, sf):
     return rounds
 
 
+# ---------------------------------------------------------------------------
+# streaming (run to completion with availableNow, into fresh scratch folders)
+# ---------------------------------------------------------------------------
+
+def q_stream_consume(spark, sf):
+    """T1 + T3 + T13 + S2: batch files streamed through the consumer; good
+    events to a sink, bad batches to the dead-letter table, cursors committed."""
+    from tidelog.streaming import consume as SC
+
+    root = scratch_dir(spark, "consume")
+    td.batch_lines(_env(spark, sf)).select("line").repartition(4).write.text(f"{root}/in")
+    sink = f"{root}/events"
+
+    def handle(events, batch_id):
+        events.select("event_type", "partition", "offset").write.mode("append").parquet(sink)
+
+    q = SC.consume(SC.batch_source(spark, f"{root}/in", SC.StreamOptions(batch_limit=20)), td.SUBSCRIPTION_ID,
+                   handle, f"{root}/cursors", f"{root}/dead", f"{root}/ckpt", commit_policy="success_always")
+    q.awaitTermination()
+    got = spark.read.parquet(sink).groupBy("event_type", "partition").agg(
+        F.count(F.lit(1)).alias("received_events"))
+    dead = spark.read.parquet(f"{root}/dead").groupBy(
+        F.col("cursor.event_type").alias("event_type"), F.col("cursor.partition").alias("partition")) \
+        .agg(F.count(F.lit(1)).alias("dead_letter_batches"))
+    cur = SC.committed_cursors(spark, f"{root}/cursors").select(
+        "event_type", "partition", C.offset_num("offset").alias("committed_offset"))
+    return cur.join(got, ["event_type", "partition"], "left").join(dead, ["event_type", "partition"], "left") \
+        .select("event_type", "partition", "committed_offset",
+                F.coalesce("received_events", F.lit(0)).cast("bigint").alias("received_events"),
+                F.coalesce("dead_letter_batches", F.lit(0)).cast("bigint").alias("dead_letter_batches"))
+
+
+def q_stream_flush(spark, sf):
+    """Batches flushed when the batch limit is reached (stateful)."""
+    from tidelog.streaming import stateful as ST2
+
+    root = scratch_dir(spark, "flush")
+    _log(spark, sf).select("event_type", "partition", "offset").write.parquet(f"{root}/in")
+    src = spark.readStream.schema("event_type string, partition string, offset long").parquet(f"{root}/in")
+    q = ST2.flush_batches(src, td.BATCH_LIMIT, 30).writeStream.outputMode("append") \
+        .format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt") \
+        .trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("event_type", "partition", "batch_no", "first_offset",
+                                                     "last_offset", "n_events", "reason")
+
+
+def q_stream_compaction(spark, sf):
+    """Streaming A7 for the compacted types (keyed events)."""
+    from tidelog.streaming import stateful as ST2
+
+    root = scratch_dir(spark, "compact")
+    env = _env(spark, sf).filter(F.col("event_type").isin("purchase", "signup"))
+    env.select("event_type", "partition", F.col("metadata.partition_compaction_key").alias("partition_compaction_key"),
+               "event_id", "offset").filter(F.col("partition_compaction_key").isNotNull()) \
+        .repartition(3).write.parquet(f"{root}/in")
+    src = spark.readStream.schema("event_type string, partition string, partition_compaction_key string, "
+                                  "event_id long, offset long").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    latest = ST2.streaming_latest(src, ["event_type", "partition", "partition_compaction_key"], "offset", ["event_id"])
+
+    def upsert(df, batch_id):
+        df.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(f"{root}/out")
+
+    q = latest.writeStream.outputMode("update").foreachBatch(upsert) \
+        .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    keys = ["event_type", "partition", "partition_compaction_key"]
+    return out.groupBy(*keys).agg(F.max_by("event_id", "offset").alias("event_id"), F.max("offset").alias("offset"))
+
+
+def q_stream_traffic(spark, sf):
+    """Per-minute counts with a watermark, summarised like A8."""
+    from tidelog.streaming import stateful as ST2
+
+    root = scratch_dir(spark, "traffic")
+    src = spark.readStream.schema(read_table(spark, sf, "events").schema) \
+        .option("pathGlobFilter", "events.parquet").parquet(sf)
+    counts = ST2.streaming_traffic(src)
+
+    def upsert(df, batch_id):
+        df.select("event_type", F.col("minute.start").alias("minute"), "events").write.mode("append") \
+            .parquet(f"{root}/out")
+
+    q = counts.writeStream.outputMode("update").foreachBatch(upsert) \
+        .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
+    q.awaitTermination()
+    per_min = spark.read.parquet(f"{root}/out").groupBy("event_type", "minute").agg(F.max("events").alias("n"))
+    return per_min.groupBy("event_type").agg(F.round(F.avg("n"), 6).alias("messages_per_minute"),
+                                             F.count(F.lit(1)).cast("bigint").alias("active_minutes"))
+
+
 QUERIES = {
     "flagship": flagship,
     "assign_offsets": q_assign_offsets,
@@ -595,4 +687,8 @@ QUERIES = {
     "backoff_delay": q_backoff_delay,
     "parse_offset_ts": q_parse_offset_ts,
     "publish_with_retry": q_publish_with_retry,
+    "stream_consume": q_stream_consume,
+    "stream_flush": q_stream_flush,
+    "stream_compaction": q_stream_compaction,
+    "stream_traffic": q_stream_traffic,
 }
