@@ -42,64 +42,69 @@ def classify(v: Column) -> Column:
     return _category(v, strict.sub(v, "$.data_op"), strict.sub(v, "$.metadata"))
 
 
-def prepare_event(v: Column, payload_schema: T.StructType) -> Column:
-    """Decode stage 1 of one event VARIANT: every lookup done once."""
+def locate_event(v: Column) -> Column:
+    """Decode stage 1: the top-level lookups and the category; the payload
+    is ``$.data`` for data events and the root otherwise, so only one
+    location is decoded per event."""
+    op, md = strict.sub(v, "$.data_op"), strict.sub(v, "$.metadata")
+    cat = _category(v, op, md)
     return F.struct(
-        v.alias("v"),
-        strict.sub(v, "$.data_op").alias("op"),
-        strict.sub(v, "$.data_type").alias("dtype"),
-        strict.prepare(v, S.METADATA, "$.metadata").alias("md"),
-        strict.prepare(v, payload_schema, "$").alias("root"),
-        strict.prepare(v, payload_schema, "$.data").alias("data"),
+        v.alias("v"), op.alias("op"), strict.sub(v, "$.data_type").alias("dtype"), md.alias("md"),
+        cat.alias("category"), F.when(cat == "data", strict.sub(v, "$.data")).otherwise(v).alias("pv"),
+    )
+
+
+def prepare_event(a: Column, payload_schema: T.StructType) -> Column:
+    """Decode stage 2: typed casts and per-field lookups of metadata and payload."""
+    return F.struct(
+        a["v"].alias("v"), a["op"].alias("op"), a["dtype"].alias("dtype"), a["category"].alias("category"),
+        strict.prepare(a["md"], S.METADATA, "$").alias("md"),
+        strict.prepare(a["pv"], payload_schema, "$").alias("pl"),
     )
 
 
 def finish_event(p: Column, payload_schema: T.StructType) -> Column:
-    """Decode stage 2: ``(category, data_op, data_type, metadata, payload, error)``
+    """Decode stage 3: ``(category, data_op, data_type, metadata, payload, error)``
     from a prepared event (P1-P4 + F2)."""
-    v, op, dtype = p["v"], p["op"], p["dtype"]
-    md = p["md"]
-    category = _category(v, op, md["self"])
+    v, op, dtype, md, pl, category = p["v"], p["op"], p["dtype"], p["md"], p["pl"], p["category"]
     data_type = F.try_variant_get(dtype, "$", "string")
     data_op = F.try_variant_get(op, "$", "string")
     error = F.coalesce(
         F.when(v.isNull(), F.lit("malformed JSON")),
-        F.when(p["root"]["typed"].isNull(), F.lit("$: expected an object")),
         F.when(strict.present(op) & (strict.vtype(op) != F.lit("STRING")), F.lit("$.data_op: expected a string")),
         F.when(strict.present(md["self"]), strict.check(md, S.METADATA, "$.metadata")),
         F.when(category == "data", F.coalesce(
-            strict.check(p["data"], payload_schema, "$.data"),
+            strict.check(pl, payload_schema, "$.data"),
             F.when(~strict.present(dtype), F.lit("$.data_type: missing")),
             F.when(strict.vtype(dtype) != F.lit("STRING"), F.lit("$.data_type: expected a string")),
             F.when(~data_op.isin(S.DATA_OPERATIONS), F.lit("$.data_op: not one of " + ",".join(S.DATA_OPERATIONS))),
-        )),
-        F.when(category != "data", strict.check(p["root"], payload_schema, "$")),
+        )).otherwise(strict.check(pl, payload_schema, "$")),
     )
-    payload = F.when(category == "data", p["data"]["typed"]).otherwise(p["root"]["typed"])
     return F.struct(
         category.alias("category"),
         F.when(category == "data", data_op).alias("data_op"),
         F.when(category == "data", data_type).alias("data_type"),
         F.when(category != "undefined", md["typed"]).alias("metadata"),
-        payload.alias("payload"),
+        pl["typed"].alias("payload"),
         error.alias("error"),
     )
 
 
 def decode_event(v: Column, payload_schema: T.StructType) -> Column:
     """P1-P4 + F2 as one expression (for small inputs; ``decode_events`` and
-    ``parse_batches`` run the two stages as separate projections)."""
-    return finish_event(prepare_event(v, payload_schema), payload_schema)
+    ``parse_batches`` run the stages as separate projections)."""
+    return finish_event(prepare_event(locate_event(v), payload_schema), payload_schema)
 
 
 def decode_events(df: DataFrame, raw_col: str, payload_schema: T.StructType) -> DataFrame:
     """Decode a column of event JSON text; adds the ``DECODED_FIELDS`` columns.
 
-    Three projections: parse once, prepare once, finish -- so the JSON text
-    is parsed a single time per row.
+    Staged projections separated by generator boundaries: parse once, locate,
+    prepare, finish -- the JSON text is parsed a single time per row.
     """
     d = strict.materialize(df, _v=strict.parse_line(F.col(raw_col)))
-    d = strict.materialize(d, _p=prepare_event(F.col("_v"), payload_schema))
+    d = strict.materialize(d, _a=locate_event(F.col("_v")))
+    d = strict.materialize(d, _p=prepare_event(F.col("_a"), payload_schema))
     d = strict.materialize(d, _d=finish_event(F.col("_p"), payload_schema))
     return d.select(*df.columns, *[F.col("_d").getField(n).alias(n) for n in DECODED_FIELDS])
 

@@ -42,7 +42,11 @@ def size_ok(raw: Column, limit: int = S.MAX_EVENT_BYTES) -> Column:
 
 
 def schema_violation(raw: Column, category: Column, payload_schema: T.StructType) -> Column:
-    """First schema violation of the event text (null when valid)."""
+    """First schema violation of the event text (null when valid).
+
+    Single expression, for small inputs; ``with_validation`` is the staged
+    form that parses each event once.
+    """
     v = strict.parse_line(raw)
     _, root_err = strict.decode(v, payload_schema, "$")
     _, data_err = strict.decode(v, payload_schema, "$.data")
@@ -58,6 +62,22 @@ def validation_error(raw: Column, category: Column, payload_schema: T.StructType
     )
 
 
+def with_validation(df: DataFrame, payload_schema: T.StructType, raw_col: str = "raw",
+                    category_col: str = "category", out: str = "validation_error") -> DataFrame:
+    """P17 + P18 as staged projections: parse once, look up once, check."""
+    is_data = F.col(category_col) == F.lit("data")
+    x = strict.materialize(df, _v=strict.parse_line(F.col(raw_col)))
+    x = strict.materialize(x, _pv=F.when(is_data, strict.sub(F.col("_v"), "$.data")).otherwise(F.col("_v")))
+    x = strict.materialize(x, _pl=strict.prepare(F.col("_pv"), payload_schema, "$"))
+    err = F.coalesce(
+        F.when(F.col("_v").isNull(), F.lit("malformed JSON")),
+        F.when(is_data, strict.check(F.col("_pl"), payload_schema, "$.data"))
+        .otherwise(strict.check(F.col("_pl"), payload_schema, "$")),
+        F.when(~size_ok(F.col(raw_col)), F.lit(f"event larger than {S.MAX_EVENT_BYTES} bytes")),
+    )
+    return x.withColumn(out, err).drop("_v", "_pv", "_pl")
+
+
 def enrich_metadata(df: DataFrame, received_at: Column, flow_id: Column | None = None,
                     published_by: Column | None = None) -> DataFrame:
     """Fill absent metadata of business / data events; never overwrite.
@@ -231,7 +251,7 @@ def publish_once(events: DataFrame, registry: DataFrame, payload_schema: T.Struc
     from tidelog.operators.envelope import fill_metadata
 
     x = fill_metadata(events, "event_type", enabled=fill)
-    x = x.withColumn("validation_error", validation_error(F.col("raw"), F.col("category"), payload_schema))
+    x = with_validation(x, payload_schema)
     x = enrich_metadata(x, received_at)
     x = x.drop("partition") if "partition" in x.columns else x
     x = assign_partition(x, registry)

@@ -427,8 +427,8 @@ def q_assign_partition(spark, sf):
 def q_validate_events(spark, sf):
     """P17 + P18."""
     ev = _publish_input(spark, sf)
-    return ev.select("event_id", PUB.size_ok(F.col("raw")).alias("size_ok"),
-                     PUB.validation_error(F.col("raw"), F.col("category"), S.EVENT_PAYLOAD).alias("violation"))
+    v = PUB.with_validation(ev, S.EVENT_PAYLOAD, out="violation")
+    return v.select("event_id", PUB.size_ok(F.col("raw")).alias("size_ok"), "violation")
 
 
 def q_enrich_metadata(spark, sf):
@@ -582,10 +582,15 @@ def q_stream_flush(spark, sf):
     root = scratch_dir(spark, "flush")
     _log(spark, sf).select("event_type", "partition", "offset").write.parquet(f"{root}/in")
     src = spark.readStream.schema("event_type string, partition string, offset long").parquet(f"{root}/in")
+    # a processing-time timeout always asks for another (no-data) batch, so
+    # neither availableNow nor processAllAvailable ends: drain, then stop
     q = ST2.flush_batches(src, td.BATCH_LIMIT, 30).writeStream.outputMode("append") \
         .format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt") \
-        .trigger(availableNow=True).start()
-    q.awaitTermination()
+        .trigger(processingTime="1 second").start()
+    from tidelog.streaming.consume import drain
+
+    drain(q)
+    q.stop()
     return spark.read.parquet(f"{root}/out").select("event_type", "partition", "batch_no", "first_offset",
                                                      "last_offset", "n_events", "reason")
 
