@@ -54,7 +54,7 @@ def test_expired_batches(spark):
                                   ("t", "1", "5", "2024-01-01 00:00:00")],
                                  "event_type string, partition string, offset string, sent_ts string") \
         .withColumn("sent_ts", F.col("sent_ts").cast("timestamp"))
-    commits = spark.createDataFrame([("t", "0", "20", "2024-01-01 00:00:50"), ("t", "1", "4", "2024-01-01 00:00:01")],
+    commits = spark.createDataFrame([("t", "0", "20", "2024-01-01 00:00:35"), ("t", "1", "4", "2024-01-01 00:00:01")],
                                     "event_type string, partition string, offset string, commit_ts string") \
         .withColumn("commit_ts", F.col("commit_ts").cast("timestamp"))
     lost = CON.expired_batches(sent, commits, 30)

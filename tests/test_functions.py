@@ -47,3 +47,7 @@ def test_seconds_between_truncates(spark):
     a = F.lit("2024-01-01 00:00:00").cast("timestamp")
     b = F.lit("2024-01-01 00:01:01.999").cast("timestamp")
     assert one(spark, C.seconds_between(a, b)) == 61
+
+
+def test_seconds_of_interval(spark):
+    assert one(spark, C.seconds(F.expr("INTERVAL '1 00:00:01.9' DAY TO SECOND"))) == 86401

@@ -29,7 +29,7 @@ def test_events_to_retry_keeps_idless(spark):
         (None, "aborted", "none"),
     ], "eid string, publishing_status string, step string")
     out = PUB.events_to_retry(ev, resp).collect()
-    assert sorted((r.category, (r.metadata or {}).get("eid") if r.metadata else None) for r in out) == [
+    assert sorted((r.category, r.metadata.eid if r.metadata else None) for r in out) == [
         ("business", "11111111-2222-3333-4444-555555555555"), ("undefined", None)]
 
 
@@ -63,3 +63,28 @@ def test_retry_property(spark, sf_small):
     # delays compound
     d = {r["round"]: r.delay_ms for r in rounds.select("round", "delay_ms").distinct().collect()}
     assert d[0] == 100.0 and d[1] == 150.0
+
+
+def test_read_outcomes_and_append(spark):
+    body = ('[{"eid":"11111111-2222-3333-4444-555555555555","publishing_status":"failed","step":"validating",'
+            '"detail":"bad"},{"publishing_status":"submitted","step":"none"},{"publishing_status":"lost"}]')
+    df = spark.createDataFrame([(1, body)], "call int, body string")
+    out = sorted(PUB.read_outcomes(df).collect(), key=lambda r: r.item_no)
+    assert [r.publishing_status for r in out] == ["failed", "submitted", "lost"]
+    assert out[0].item_error is None and out[1].eid is None
+    assert out[2].item_error == "$.publishing_status: not one of submitted,failed,aborted"
+    log = spark.createDataFrame([("t", "0", 4)], "event_type string, partition string, offset long")
+    new = spark.createDataFrame([("t", "0", 2, 10, "submitted"), ("t", "0", 1, 11, "submitted"),
+                                 ("t", "1", 3, 12, "submitted"), ("t", "0", 0, 13, "failed")],
+                                "event_type string, partition string, ts long, event_id long, "
+                                "publishing_status string")
+    got = sorted((r.partition, r.event_id, r.offset) for r in PUB.append_to_log(log, new).collect())
+    assert got == [("0", 10, 6), ("0", 11, 5), ("1", 12, 0)]
+
+
+def test_whole_batch_retry(spark, sf_small):
+    """Q3: every round resends everything until a round has no failure."""
+    events = Q._publish_input(spark, sf_small).filter(F.col("event_type") == "click")
+    rounds = publish_rounds(events, td.registry(spark), S.EVENT_PAYLOAD, Q._write_failed, whole_batch=True)
+    per_round = {r["round"]: r.n for r in rounds.groupBy("round").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert set(per_round.values()) == {events.count()}

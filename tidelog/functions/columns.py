@@ -49,7 +49,7 @@ def has_offset(c) -> Column:
 
 def seconds(c) -> Column:
     """whole seconds of a day-time interval, truncating toward zero."""
-    return _c(c).cast("long")
+    return _c(c).cast("interval second").cast("long")
 
 
 def interval_of_seconds(c) -> Column:

@@ -215,6 +215,38 @@ def failed_ids(outcomes: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def read_outcomes(df: DataFrame, body_col: str = "body") -> DataFrame:
+    """Decode partial-failure responses (a JSON array of items per body)
+    into one row per item; an undecodable item is kept with its error."""
+    items = strict.materialize(
+        df, _arr=F.try_variant_get(strict.parse_line(F.col(body_col)), "$", "array<variant>"))
+    x = items.select("*", F.posexplode("_arr").alias("item_no", "_it")).drop("_arr")
+    x = strict.materialize(x, _pi=strict.prepare(F.col("_it"), S.BATCH_ITEM_RESPONSE, "$"))
+    t = F.col("_pi")["typed"]
+    return x.select(*df.columns, "item_no", t["eid"].alias("eid"), t["publishing_status"].alias("publishing_status"),
+                    t["step"].alias("step"), t["detail"].alias("detail"),
+                    strict.check(F.col("_pi"), S.BATCH_ITEM_RESPONSE).alias("item_error"))
+
+
+def append_to_log(log: DataFrame, published: DataFrame, order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
+    """The log rows of the submitted events, offsets continuing after the
+    log's last offset per (event_type, partition).
+
+    New rows get dense offsets with ``assign_offsets`` (no single-task
+    window) plus the per-partition base -- one row per log partition, so the
+    join with the base is small. The caller appends the result
+    (``write.mode("append")``) to the log table.
+    """
+    from tidelog.operators.offsets import assign_offsets
+
+    keys = ["event_type", "partition"]
+    sub = published.filter(F.col("publishing_status") == "submitted")
+    base = log.groupBy(*keys).agg((F.max("offset") + 1).alias("_next"))
+    fresh = assign_offsets(sub, keys=tuple(keys), order=order, out="_local")
+    return fresh.join(base, keys, "left").withColumn(
+        "offset", (F.coalesce(F.col("_next"), F.lit(0)) + F.col("_local")).cast("bigint")).drop("_next", "_local")
+
+
 def merge_rejects(*frames: DataFrame) -> DataFrame:
     """Rejects over all rounds, without duplicates."""
     out = frames[0]

@@ -53,6 +53,12 @@ def _log(spark, sf):
     return td.event_log(spark, sf)
 
 
+def _cursors(spark, sf):
+    """The fixture cursors; they only count events per partition, so they are
+    derived from the base events, not from the offset computation."""
+    return td.cursors(td.base_events(spark, sf))
+
+
 def _env(spark, sf):
     return td.with_envelope(_log(spark, sf))
 
@@ -75,7 +81,7 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     received events is beyond the committed cursor and how old it is."""
     log = _log(spark, sf)
     parsed = B.parse_batches(td.batch_lines(td.with_envelope(log)).select("line"))
-    return CON.consumer_report(parsed, td.cursors(log))
+    return CON.consumer_report(parsed, _cursors(spark, sf))
 
 
 # ---------------------------------------------------------------------------
@@ -156,18 +162,18 @@ def q_is_uuid(spark, sf):
 def q_unconsumed(spark, sf):
     """J4."""
     log = _log(spark, sf)
-    return CON.unconsumed(log, td.cursors(log)).select("event_id", "event_type", "partition", "offset")
+    return CON.unconsumed(log, _cursors(spark, sf)).select("event_id", "event_type", "partition", "offset")
 
 
 def q_subscription_stats(spark, sf):
     """A1 + A2."""
     log = _log(spark, sf)
-    return CON.subscription_stats(log, td.cursors(log), show_time_lag=True)
+    return CON.subscription_stats(log, _cursors(spark, sf), show_time_lag=True)
 
 
 def q_cursors_get(spark, sf):
     """S9 + F9: committed cursors of the fixture subscription, numeric."""
-    cur = CON.cursors_of(td.cursors(_log(spark, sf)), td.SUBSCRIPTION_ID)
+    cur = CON.cursors_of(_cursors(spark, sf), td.SUBSCRIPTION_ID)
     return cur.select("event_type", "partition", "offset", C.offset_num("offset").alias("offset_num"))
 
 
@@ -190,7 +196,7 @@ def q_read_from_cursors(spark, sf):
 def q_stream_limit(spark, sf):
     """The first 1000 unconsumed events over all partitions."""
     log = _log(spark, sf)
-    return CON.stream_limit(CON.unconsumed(log, td.cursors(log)), STREAM_LIMIT) \
+    return CON.stream_limit(CON.unconsumed(log, _cursors(spark, sf)), STREAM_LIMIT) \
         .select("event_id", "event_type", "partition", "offset")
 
 
@@ -217,7 +223,7 @@ def q_commit_cumulative(spark, sf):
 def q_commit_cursors(spark, sf):
     """Commit every committed batch cursor against the stored cursors."""
     log = _log(spark, sf)
-    table, results = CON.commit_cursors(td.cursors(log), _commits(log).drop("commit_ts"))
+    table, results = CON.commit_cursors(_cursors(spark, sf), _commits(log).drop("commit_ts"))
     return results.select("event_type", "partition", C.offset_num("offset").alias("offset_num"), "result")
 
 
@@ -226,7 +232,7 @@ def q_reset_cursors(spark, sf):
     unknown subscription is refused."""
     log = _log(spark, sf)
     subs = td.subscriptions(spark, sf)
-    stored = td.cursors(log)
+    stored = _cursors(spark, sf)
     first = td.sent_batches(log).filter((F.col("batch_no") == 0) & ~F.col("keepalive"))
     resets = first.select(F.lit(td.SUBSCRIPTION_ID).alias("subscription_id"), "event_type", "partition", "offset",
                           F.lit("reset").alias("cursor_token")).unionByName(
