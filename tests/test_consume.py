@@ -68,3 +68,34 @@ def test_keepalive_runs(spark):
     out = CON.keepalive_runs(df, 2, order=("sent_ts",)).orderBy("t").collect()
     assert [r.run_length for r in out] == [0, 1, 2, 3, 0, 1]
     assert [r.closes for r in out] == [False, False, True, False, False, False]
+
+
+def test_expired_batches_buckets(spark):
+    """Small offset buckets (covering commits several buckets later) equal the unbucketed answer."""
+    import random
+
+    rnd = random.Random(7)
+    sent = [("t", "0", str(o), f"2024-01-01 00:{o // 60:02d}:{o % 60:02d}") for o in range(0, 200, 5)]
+    com = [("t", "0", str(o), f"2024-01-01 00:{(o + d) // 60:02d}:{(o + d) % 60:02d}")
+           for o in range(0, 200, 5) for d in [rnd.choice([10, 40, 90])] if rnd.random() < 0.4]
+    s = spark.createDataFrame(sent, "event_type string, partition string, offset string, sent_ts string") \
+        .withColumn("sent_ts", F.col("sent_ts").cast("timestamp"))
+    c = spark.createDataFrame(com, "event_type string, partition string, offset string, commit_ts string") \
+        .withColumn("commit_ts", F.col("commit_ts").cast("timestamp"))
+    a = sorted(r.offset for r in CON.expired_batches(s, c, 60, bucket=7).collect())
+    b = sorted(r.offset for r in CON.expired_batches(s, c, 60, bucket=10 ** 9).collect())
+    assert a == b and 0 < len(a) < len(sent)
+
+
+def test_write_and_prune_log(spark, sf_small):
+    import tempfile
+
+    from tidelog.sources.tables import read_log, write_log
+
+    path = tempfile.mkdtemp(prefix="tidelog-log-") + "/log"
+    log = td.event_log(spark, sf_small)
+    write_log(log, path, mode="overwrite")
+    one = read_log(spark, path, ["click"])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "click" in plan
+    assert one.count() == log.filter(F.col("event_type") == "click").count()

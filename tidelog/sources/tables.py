@@ -54,3 +54,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_log(log: DataFrame, path: str, mode: str = "append") -> None:
+    """Store a log table partitioned by ``event_type`` (scans of one type
+    prune the rest) and sorted by (partition, offset) inside each file."""
+    log.repartition("event_type", "partition").sortWithinPartitions("partition", "offset") \
+        .write.mode(mode).partitionBy("event_type").parquet(path)
+
+
+def read_log(spark: SparkSession, path: str, event_types: list[str] | None = None) -> DataFrame:
+    """Read a stored log; a type filter becomes partition pruning."""
+    df = spark.read.parquet(path)
+    return df.filter(F.col("event_type").isin(event_types)) if event_types else df
