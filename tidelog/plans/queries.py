@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog import schemas as S
@@ -22,7 +22,6 @@ from tidelog.operators import consume as CON
 from tidelog.operators import envelope as ENV
 from tidelog.operators import publish as PUB
 from tidelog.operators import stats as ST
-from tidelog.operators.offsets import assign_offsets
 from tidelog.sources import testdata as td
 from tidelog.sources.tables import checkpoint_dir, read_table
 
@@ -67,10 +66,6 @@ def _parsed(spark, sf):
     return B.parse_batches(td.batch_lines(_env(spark, sf)).select("batch_no", "line"))
 
 
-def _as_of(log: DataFrame) -> DataFrame:
-    return log.agg(F.max("ts").alias("as_of"))
-
-
 # ---------------------------------------------------------------------------
 # flagship: events -> envelopes -> batches -> decode -> dead letter -> lag
 # ---------------------------------------------------------------------------
@@ -382,8 +377,9 @@ def q_with_event_type(spark, sf):
 def q_retention_filter(spark, sf):
     """P20: as of the newest event."""
     log = read_table(spark, sf, "events").select("event_id", "event_type", "ts")
-    as_of = F.max("ts").over(Window.partitionBy()).cast("timestamp")
-    kept = CAT.retention_filter(log.withColumn("_as_of", as_of), td.registry(spark), F.col("_as_of"))
+    # as_of is a scalar subquery: one partial max per task, no whole-table window
+    as_of = log.select(F.max("ts")).scalar().cast("timestamp")
+    kept = CAT.retention_filter(log, td.registry(spark), as_of)
     return kept.select("event_id", "event_type")
 
 
@@ -405,10 +401,6 @@ def _publish_input(spark, sf) -> DataFrame:
                       "data_type", "data_op", "raw")
 
 
-def _received_at(df: DataFrame) -> F.Column:
-    return F.max(F.col("metadata.occurred_at")).over(Window.partitionBy("batch_id"))
-
-
 def _write_failed(round_no: int = 0) -> F.Column:
     """Simulated broker write failures: partition 3 of every 4th block fails in
     rounds 0-2."""
