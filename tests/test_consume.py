@@ -99,3 +99,17 @@ def test_write_and_prune_log(spark, sf_small):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "click" in plan
     assert one.count() == log.filter(F.col("event_type") == "click").count()
+
+
+def test_commit_keepalive_sends_nothing(spark):
+    stored = spark.createDataFrame([("s", "t", "0", "10", "a")],
+                                   "subscription_id string, event_type string, partition string, offset string, "
+                                   "cursor_token string")
+    table, results = CON.commit_cursors(stored, stored, event_batch=False)
+    assert results is None and table is stored
+
+
+def test_batch_limit_zero_is_one_batch(spark, sf_small):
+    env = td.with_envelope(td.event_log(spark, sf_small))
+    lines = td.batch_lines(env, batch_limit=0).filter(~F.col("keepalive"))
+    assert lines.count() == env.select("event_type", "partition").distinct().count()

@@ -116,10 +116,13 @@ def batch_lines(log_with_raw: DataFrame, batch_limit: int = BATCH_LIMIT) -> Data
     """W2 + framing: one JSON line per batch of one (event_type, partition).
 
     Columns: ``event_type, partition, batch_no, last_offset, n_events, line``.
-    The group per batch holds at most ``batch_limit`` events.
+    The group per batch holds at most ``batch_limit`` events; a limit of 0 or
+    None means one batch per partition (as the broker does -- unbounded, so
+    only for small logs).
     """
+    batch_no = F.floor(F.col("offset") / F.lit(batch_limit)).cast("bigint") if batch_limit else F.lit(0).cast("bigint")
     b = (
-        log_with_raw.withColumn("batch_no", F.floor(F.col("offset") / F.lit(batch_limit)).cast("bigint"))
+        log_with_raw.withColumn("batch_no", batch_no)
         .groupBy("event_type", "partition", "batch_no")
         .agg(
             F.max("offset").alias("last_offset"),
