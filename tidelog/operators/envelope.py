@@ -150,14 +150,24 @@ def metadata_struct(md: Column) -> Column:
 
 
 def encode_event(category: Column, metadata: Column, payload: Column, data_type: Column,
-                 data_op: Column, payload_fields: list[str]) -> Column:
+                 data_op: Column, payload_fields: list[str],
+                 payload_metadata_fields: list[str] | None = None) -> Column:
     """event row -> JSON text; null fields are dropped.
 
-    business  = payload fields with ``metadata`` merged in (metadata wins)
+    business  = payload deep-merged with ``{"metadata": ...}``, metadata wins:
+                when the payload has its own ``metadata`` object
+                (``payload_metadata_fields`` names its keys), its keys that
+                are not envelope keys are kept, the envelope's keys replace
+                the rest (a null envelope value removes the key, as the
+                merged null is dropped when printing)
     data      = ``{"data", "data_type", "data_op", "metadata"}``
     undefined = payload only
     """
     md = metadata_struct(metadata)
+    if payload_metadata_fields:
+        own = {f.name for f in S.METADATA.fields}
+        extra = [payload.getField("metadata").getField(k).alias(k) for k in payload_metadata_fields if k not in own]
+        md = F.struct(*[md.getField(f.name).alias(f.name) for f in S.METADATA.fields], *extra)
     fields = [payload.getField(n).alias(n) for n in payload_fields if n != "metadata"]
     business = F.to_json(F.struct(*fields, md.alias("metadata")))
     data = F.to_json(F.struct(payload.alias("data"), data_type.alias("data_type"),
