@@ -1,9 +1,9 @@
 """Registry and subscription catalog.
 
 The registry and ACLs are dimensions (one row per event type) and are
-broadcast after ``broadcast_if_bounded``; subscription lookups take a small
-request table and join it against the subscription table on the owning
-application (equi key) plus the "has all requested types" predicate.
+broadcast after ``broadcast_if_bounded``; subscription lookups take a request
+table and find "has all requested types" by relational division: an equi
+join on (owning application, event type) and a count per pair.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ def subscription(subscriptions: DataFrame, subscription_id: str) -> DataFrame:
     return subscriptions.filter(F.col("id") == F.lit(subscription_id))
 
 
-def _has_all(have: Column, want: Column) -> Column:
+def _has_all(have: Column, want: Column) -> Column:  # used by list_subscriptions
     return F.size(F.array_except(want, have)) == 0
 
 
@@ -36,16 +36,26 @@ def find_subscription(subscriptions: DataFrame, requests: DataFrame) -> DataFram
     event type, and consumer_group / id equal unless the request leaves them
     null (wildcards). First = newest ``created_at``, then ``id``. ``requests``
     has ``request_id, owning_application, event_types, consumer_group, id``.
+
+    "Has every requested type" is relational division, not a predicate over
+    all (request, subscription) pairs of an application: both sides are
+    exploded to (application, event type), equi-joined on that pair, and a
+    subscription matches when it is hit by all of the request's distinct
+    types. Only subscriptions sharing a requested type ever meet a request.
+    A request must name at least one event type.
     """
     req = broadcast_if_bounded(requests.select(
-        "request_id", "owning_application", F.col("event_types").alias("_want"),
-        F.col("consumer_group").alias("_cg"), F.col("id").alias("_id")))
-    s = subscriptions.select("id", "owning_application", "event_types", "consumer_group", "created_at")
-    cond = ((s["owning_application"] == req["owning_application"])
-            & _has_all(s["event_types"], req["_want"])
-            & (req["_cg"].isNull() | (s["consumer_group"].eqNullSafe(req["_cg"])))
-            & (req["_id"].isNull() | (s["id"] == req["_id"])))
-    m = s.join(req, cond, "inner").select("request_id", s["id"].alias("subscription_id"), "created_at")
+        "request_id", "owning_application", F.col("consumer_group").alias("_cg"), F.col("id").alias("_id"),
+        F.array_distinct("event_types").alias("_want")))
+    want = req.select("request_id", "owning_application", "_cg", "_id", F.size("_want").alias("_n"),
+                      F.explode("_want").alias("_t"))
+    have = subscriptions.select("id", "owning_application", "consumer_group", "created_at",
+                                F.explode(F.array_distinct("event_types")).alias("_t"))
+    hits = have.join(want, ["owning_application", "_t"]).filter(
+        (F.col("_cg").isNull() | F.col("consumer_group").eqNullSafe(F.col("_cg")))
+        & (F.col("_id").isNull() | (F.col("id") == F.col("_id"))))
+    m = hits.groupBy("request_id", "id", "created_at", "_n").agg(F.count(F.lit(1)).alias("_k")) \
+        .filter(F.col("_k") == F.col("_n")).select("request_id", F.col("id").alias("subscription_id"), "created_at")
     first = Window.partitionBy("request_id").orderBy(F.col("created_at").desc(), F.col("subscription_id"))
     return m.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") == 1).drop("_rn", "created_at")
 
