@@ -47,35 +47,48 @@ def _bucket_cols(df: DataFrame, first: str, fine: float) -> tuple[Column, Column
 def running_total(
     df: DataFrame,
     order: tuple[str, ...] | list[str],
-    value: str | None,
-    out: str,
+    value: str | list[str] | None,
+    out: str | list[str],
     keys: tuple[str, ...] | list[str] = (),
     exclusive: bool = False,
     fine: float = 1.0,
 ) -> DataFrame:
     """Running ``sum(value)`` (``count`` when ``value`` is None) per ``keys``
-    in ``order``; ``exclusive`` leaves the current row out.
+    in ``order``; ``exclusive`` leaves the current row out. ``value`` / ``out``
+    may be lists: all sums are computed in the same pass.
 
     ``order[0]`` must be a timestamp or a number; ``fine`` is the bucket width
     in its unit (seconds for timestamps). Keys must be non-null.
     """
     keys, order = list(keys), list(order)
+    values = value if isinstance(value, list) else [value]
+    outs = out if isinstance(out, list) else [out]
     coarse, fine_b = _bucket_cols(df, order[0], fine)
-    v = F.lit(1).cast("bigint") if value is None else F.col(value)
-    x = df.withColumn("_c", coarse).withColumn("_f", fine_b).withColumn("_v", v)
-
-    per_fine = x.groupBy(*keys, "_c", "_f").agg(F.sum("_v").alias("_t"))
-    per_coarse = per_fine.groupBy(*keys, "_c").agg(F.sum("_t").alias("_ct"))
+    x = df.withColumn("_c", coarse).withColumn("_f", fine_b)
+    vcols = []
+    for i, v in enumerate(values):
+        x = x.withColumn(f"_v{i}", F.lit(1).cast("bigint") if v is None else F.col(v))
+        vcols.append(f"_v{i}")
+
+    per_fine = x.groupBy(*keys, "_c", "_f").agg(*[F.sum(v).alias(f"_t{i}") for i, v in enumerate(vcols)])
+    per_coarse = per_fine.groupBy(*keys, "_c").agg(*[F.sum(f"_t{i}").alias(f"_ct{i}") for i in range(len(vcols))])
     coarse_before = Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
-    per_coarse = per_coarse.select(*keys, "_c", F.coalesce(F.sum("_ct").over(coarse_before), F.lit(0)).alias("_cb"))
+    per_coarse = per_coarse.select(*keys, "_c", *[
+        F.coalesce(F.sum(f"_ct{i}").over(coarse_before), F.lit(0)).alias(f"_cb{i}") for i in range(len(vcols))])
     fine_before = Window.partitionBy(*keys, "_c").orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)
-    bases = per_fine.select(*keys, "_c", "_f", F.coalesce(F.sum("_t").over(fine_before), F.lit(0)).alias("_fb")) \
-        .join(per_coarse, [*keys, "_c"]).select(*keys, "_c", "_f", (F.col("_cb") + F.col("_fb")).alias("_base"))
+    bases = per_fine.select(*keys, "_c", "_f", *[
+        F.coalesce(F.sum(f"_t{i}").over(fine_before), F.lit(0)).alias(f"_fb{i}") for i in range(len(vcols))]) \
+        .join(per_coarse, [*keys, "_c"]).select(*keys, "_c", "_f", *[
+            (F.col(f"_cb{i}") + F.col(f"_fb{i}")).alias(f"_base{i}") for i in range(len(vcols))])
 
     within = Window.partitionBy(*keys, "_c", "_f").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    res = x.withColumn("_r", F.sum("_v").over(within)).join(bases, [*keys, "_c", "_f"])
-    total = F.col("_base") + F.col("_r") - (F.col("_v") if exclusive else F.lit(0))
-    return res.withColumn(out, total).drop("_c", "_f", "_v", "_r", "_base")
+    res = x.select("*", *[F.sum(v).over(within).alias(f"_r{i}") for i, v in enumerate(vcols)]) \
+        .join(bases, [*keys, "_c", "_f"])
+    for i, o in enumerate(outs):
+        total = F.col(f"_base{i}") + F.col(f"_r{i}") - (F.col(f"_v{i}") if exclusive else F.lit(0))
+        res = res.withColumn(o, total)
+    drop = ["_c", "_f", *vcols, *[f"_r{i}" for i in range(len(vcols))], *[f"_base{i}" for i in range(len(vcols))]]
+    return res.drop(*drop)
 
 
 def assign_offsets(

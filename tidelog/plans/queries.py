@@ -23,7 +23,7 @@ from tidelog.operators import envelope as ENV
 from tidelog.operators import publish as PUB
 from tidelog.operators import stats as ST
 from tidelog.sources import testdata as td
-from tidelog.sources.tables import checkpoint_dir, read_table
+from tidelog.sources.tables import checkpoint_dir, cut_lineage, read_table
 
 # Fixed parameters of the registered queries
 READER = ("service", "stups_reporting")
@@ -233,15 +233,20 @@ def q_reset_cursors(spark, sf):
                           F.lit("reset").alias("cursor_token")).unionByName(
         first.select(F.lit(td.UNKNOWN_SUBSCRIPTION_ID).alias("subscription_id"), "event_type", "partition", "offset",
                      F.lit("reset").alias("cursor_token")))
-    table, result = CON.reset_cursors(stored, subs, resets)
-    return table.join(result, "subscription_id", "left").select(
-        "subscription_id", "event_type", "partition", "offset", F.coalesce("reset", F.lit(False)).alias("reset"))
+    table, _ = CON.reset_cursors(stored, subs, resets)
+    return table.select("subscription_id", "event_type", "partition", "offset", "reset")
+
+
+def _timeline(spark, sf):
+    """The batch timeline, written to the shared checkpoint folder: it is read
+    twice by the bucketed prefix sums, and its own lineage (the log offsets)
+    should not be planned -- or recomputed -- twice."""
+    return cut_lineage(td.sent_batches(_log(spark, sf)))
 
 
 def q_expired_batches(spark, sf):
     """Batches not committed within 60 s."""
-    log = _log(spark, sf)
-    sent = td.sent_batches(log).filter(~F.col("keepalive"))
+    sent = _timeline(spark, sf).filter(~F.col("keepalive"))
     commits = sent.filter("committed").select("event_type", "partition", "offset", "commit_ts")
     lost = CON.expired_batches(sent.select("event_type", "partition", "offset", "batch_no", "sent_ts"), commits)
     return lost.select("event_type", "partition", "batch_no")
@@ -249,14 +254,14 @@ def q_expired_batches(spark, sf):
 
 def q_inflight_pause(spark, sf):
     """W6."""
-    sent = td.sent_batches(_log(spark, sf)).filter(~F.col("keepalive"))
+    sent = _timeline(spark, sf).filter(~F.col("keepalive"))
     p = CON.inflight_pause(sent, MAX_UNCOMMITTED)
     return p.select("event_type", "partition", "batch_no", F.col("outstanding_before").cast("bigint"), "paused")
 
 
 def q_keepalive_runs(spark, sf):
     """W7."""
-    sent = td.sent_batches(_log(spark, sf))
+    sent = _timeline(spark, sf)
     r = CON.keepalive_runs(sent, KEEPALIVE_LIMIT, order=("sent_ts", "event_type", "partition", "offset", "keepalive"))
     return r.select("event_type", "partition", "batch_no", "keepalive",
                     F.col("island").cast("bigint"), "run_length", "closes")
