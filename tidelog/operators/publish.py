@@ -186,9 +186,11 @@ def events_to_retry(events: DataFrame, responses: DataFrame) -> DataFrame:
     """
     ev = events.withColumn("_id", event_id(F.col("category"), F.col("metadata"), F.col("raw")))
     retry_ids = responses.filter(needs_retry(F.col("publishing_status"), F.col("step")) & F.col("eid").isNotNull()) \
-        .select(F.col("eid").alias("_id")).distinct()
-    with_id = ev.filter(F.col("_id").isNotNull()).join(retry_ids, "_id", "left_semi")
-    return with_id.unionByName(ev.filter(F.col("_id").isNull())).drop("_id")
+        .select(F.col("eid").alias("_id"), F.lit(True).alias("_retry")).distinct()
+    # one pass over the events: a left join with the distinct retry ids keeps
+    # the matched ones and every event without an id
+    return ev.join(retry_ids, "_id", "left").filter(F.col("_id").isNull() | F.col("_retry").isNotNull()) \
+        .drop("_id", "_retry")
 
 
 def outcome_summary(outcomes: DataFrame, keys: list[str] | None = None) -> DataFrame:
