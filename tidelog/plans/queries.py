@@ -26,7 +26,7 @@ from tidelog.sources import testdata as td
 from tidelog.sources.tables import checkpoint_dir, cut_lineage, read_table
 
 # Fixed parameters of the registered queries
-READER = ("service", "stups_reporting")
+READER = ("service", "svc_reporting")
 SESSION_SCOPES = ["view.read", "orders.read"]
 DELETED_TYPES = ["error"]
 MAX_UNCOMMITTED = 100

@@ -209,23 +209,23 @@ def _acl(*pairs):
 REGISTRY_ROWS = [
     ("click", "web-frontend", "business", ["metadata_enrichment"], "hash", "compatible", ["user_id"],
      "delete", 20 * _DAY_MS, ["click.read"], ["click.write"], _acl(("user", "alice")),
-     _acl(("service", "stups_reporting")), _acl(("service", "stups_web")), None, None,
+     _acl(("service", "svc_reporting")), _acl(("service", "svc_web")), None, None,
      "company-internal", N_PARTITIONS),
     ("error", "monitoring", "undefined", [], "random", "none", None,
      "delete", 7 * _DAY_MS, None, None, _acl(("user", "bob")),
-     _acl(("*", "*")), _acl(("service", "stups_monitor")), None, None,
+     _acl(("*", "*")), _acl(("service", "svc_monitor")), None, None,
      "component-internal", N_PARTITIONS),
     ("purchase", "checkout", "data", ["metadata_enrichment"], "user_defined", "compatible", None,
      "compact", None, ["purchase.read", "orders.read"], ["purchase.write"], _acl(("user", "carol")),
-     _acl(("service", "stups_finance"), ("user", "dave")), _acl(("service", "stups_checkout")),
+     _acl(("service", "svc_finance"), ("user", "dave")), _acl(("service", "svc_checkout")),
      ["value"], ["user_id"], "business-unit-internal", N_PARTITIONS),
     ("signup", "accounts", "business", ["metadata_enrichment"], "hash", "forward", ["user_id"],
      "compact", None, [], ["signup.write"], _acl(("user", "erin")),
-     _acl(("service", "stups_crm")), _acl(("service", "stups_accounts")), None, None,
+     _acl(("service", "svc_crm")), _acl(("service", "svc_accounts")), None, None,
      "external-partner", N_PARTITIONS),
     ("view", "web-frontend", "business", ["metadata_enrichment"], "random", "compatible", None,
      "delete", 25 * _DAY_MS, ["view.read"], ["view.write"], _acl(("user", "alice")),
-     _acl(("service", "stups_reporting"), ("service", "stups_search")), _acl(("service", "stups_web")),
+     _acl(("service", "svc_reporting"), ("service", "svc_search")), _acl(("service", "svc_web")),
      None, None, "company-internal", N_PARTITIONS),
 ]
 
