@@ -51,3 +51,12 @@ def test_seconds_between_truncates(spark):
 
 def test_seconds_of_interval(spark):
     assert one(spark, C.seconds(F.expr("INTERVAL '1 00:00:01.9' DAY TO SECOND"))) == 86401
+
+
+def test_cluster_conf_sizes_partitions():
+    from tidelog.session import cluster_conf
+
+    c = cluster_conf(100 * (1 << 40), executors=1000, cores_per_executor=4)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
+    assert cluster_conf(1 << 30)["spark.sql.shuffle.partitions"] == str(2 * 1000 * 4)
+    assert c["spark.sql.adaptive.enabled"] == "true"
