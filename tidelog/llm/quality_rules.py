@@ -29,8 +29,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import stored
-
 CLASSES = ("lower", "upper", "digit", "space", "stop", "symbol", "other_ascii", "beyond_ascii")
 COMMON_WORDS = 50
 MIN_SHARE = 0.002

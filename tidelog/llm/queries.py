@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import byte_bpe, quality_rules, quality_trees, sharding, toxicity
-from tidelog.llm.common import id_bucket, table
+from tidelog.llm import byte_bpe, decontamination, quality_rules, quality_trees, sharding, token_rollup, toxicity
+from tidelog.llm.common import id_bucket, table, work_dir
 
 
 def _with_held_out(df: DataFrame, modulus: int, remainder: int) -> DataFrame:
@@ -34,6 +34,14 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", "n_words", F.size("hit").cast("bigint").alias("n_hit"),
+                        F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.size("hit") > 0).alias("contaminated"))
+
+
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(table(spark, sf_dir, "documents"), n_shards=40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -50,8 +58,58 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in; every seventh is revised (a line is added, counted anew by both
+    tokenizers); every eleventh goes; each batch is committed twice."""
+    docs = table(spark, sf_dir, "documents")
+    names = list(token_rollup.TOKENIZERS)
+    revised = docs.filter(F.col("doc_id") % 7 == 0)
+    later = revised.withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.lit("\nRevised edition, 2nd.")))
+    now = docs.filter(~F.coalesce(F.col("doc_id") % 7 == 0, F.lit(False))).unionByName(later)
+    count = lambda df: token_rollup.count_tokens(df, names)
+    root = work_dir(spark, "token_rollup")
+    batches = [("1-load", token_rollup.inserts(count(docs))),
+               ("2-revise", token_rollup.revisions(count(revised), count(later))),
+               ("3-delete", token_rollup.deletes(count(now.filter(F.col("doc_id") % 11 == 0))))]
+    for _ in range(2):
+        for batch_id, changes in batches:
+            token_rollup.commit(changes, root, batch_id)
+    return token_rollup.totals(spark, root)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op4_shards, op8_quality, op9_rules)
+    f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_decontamination, op4_shards, op8_quality, op9_rules,
+                              op10_token_counts)
 }
 
-ORACLE: dict[str, str] = {}
+# Words of op3, and of the two tokenizers of op10, as DuckDB expressions of ``text``.
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
+         r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_SPACE = r"len(regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+'))"
+_ALNUM = r"len(regexp_extract_all(coalesce({}, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
+
+ORACLE: dict[str, str] = {
+    "op3_decontamination": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
+i AS (SELECT item_id, w, least(len(w), 10) AS k FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, k, array_to_string(w[s:s + k - 1], ' ') AS t
+        FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM i)),
+at AS (SELECT r, k, s, array_to_string(w[s:s + k - 1], ' ') AS t
+       FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, (SELECT DISTINCT k FROM win))),
+hit AS (SELECT r, s, at.k AS k, item_id FROM at JOIN win ON at.t = win.t AND at.k = win.k),
+pos AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(s, s + k)) AS p FROM hit) GROUP BY r),
+items AS (SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+          FROM (SELECT DISTINCT r, item_id FROM hit) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(pos.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, pos.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN pos USING (r) LEFT JOIN items USING (r)""",
+    "op10_token_counts": f"""
+WITH d AS (SELECT doc_id, source, lang, CASE WHEN doc_id % 7 = 0
+             THEN coalesce(text, '') || chr(10) || 'Revised edition, 2nd.' ELSE text END AS text FROM documents),
+k AS (SELECT * FROM d WHERE doc_id IS NULL OR doc_id % 11 <> 0),
+c AS (SELECT source, lang, 'space-1' AS tokenizer, {_SPACE.format("text")} AS n FROM k
+      UNION ALL SELECT source, lang, 'alnum-1', {_ALNUM.format("text")} FROM k)
+SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
+FROM c GROUP BY source, lang, tokenizer""",
+}
