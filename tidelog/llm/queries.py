@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import byte_bpe, decontamination, quality_rules, quality_trees, sharding, token_rollup, toxicity
+from tidelog.llm import byte_bpe, decontamination, ngram_join, quality_rules, quality_trees, sharding, token_rollup, toxicity
 from tidelog.llm.common import id_bucket, table, work_dir
 
 
@@ -48,6 +48,10 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     forest = quality_trees.train(docs, labels, id_bucket(F.col("doc_id"), 3) != 1)
@@ -78,7 +82,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_decontamination, op4_shards, op8_quality, op9_rules,
+    f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_decontamination, op4_shards, op6_ngram_join, op8_quality, op9_rules,
                               op10_token_counts)
 }
 
@@ -95,9 +99,9 @@ b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
 i AS (SELECT item_id, w, least(len(w), 10) AS k FROM b WHERE len(w) > 0),
 win AS (SELECT DISTINCT item_id, k, array_to_string(w[s:s + k - 1], ' ') AS t
         FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM i)),
-at AS (SELECT r, k, s, array_to_string(w[s:s + k - 1], ' ') AS t
+seen AS (SELECT r, k, s, array_to_string(w[s:s + k - 1], ' ') AS t
        FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, (SELECT DISTINCT k FROM win))),
-hit AS (SELECT r, s, at.k AS k, item_id FROM at JOIN win ON at.t = win.t AND at.k = win.k),
+hit AS (SELECT r, s, seen.k AS k, item_id FROM seen JOIN win ON seen.t = win.t AND seen.k = win.k),
 pos AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(s, s + k)) AS p FROM hit) GROUP BY r),
 items AS (SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
           FROM (SELECT DISTINCT r, item_id FROM hit) GROUP BY r)
