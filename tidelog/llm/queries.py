@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import byte_bpe, decontamination, ngram_join, quality_rules, quality_trees, sharding, token_rollup, toxicity
+from tidelog.llm import byte_bpe, decontamination, html_extraction, ngram_join, quality_rules, quality_trees, sharding, token_rollup, toxicity
 from tidelog.llm.common import id_bucket, table, work_dir
 
 
@@ -52,6 +52,10 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar(table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.main_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     forest = quality_trees.train(docs, labels, id_bucket(F.col("doc_id"), 3) != 1)
@@ -82,8 +86,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_decontamination, op4_shards, op6_ngram_join, op8_quality, op9_rules,
-                              op10_token_counts)
+    f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_decontamination, op4_shards, op6_ngram_join, op7_main_text, op8_quality, op9_rules, op10_token_counts)
 }
 
 # Words of op3, and of the two tokenizers of op10, as DuckDB expressions of ``text``.
