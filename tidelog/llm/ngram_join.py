@@ -239,26 +239,30 @@ def _sketch_filter(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _block_pairs(blocks: DataFrame, percent: int, id_type: str) -> DataFrame:
-    """Candidate pairs of every block: rows sorted by block arrive as a stream and are cut where it changes."""
-
-    def pairs(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.reset_index(drop=True)
-        left, right = rows[rows["side"] <= 0], rows[rows["side"] >= 0]
-        ids = rows["id"].to_numpy()
-        comp, n = rows["component"].to_numpy(), rows["n"].to_numpy()
+    """Candidate pairs of every block. Rows sorted by block arrive as a stream; a batch of whole
+    blocks is compared at once, each row with the one ``lag`` rows on while that is in its block."""
+
+    def pairs(rows: pd.DataFrame, key: np.ndarray) -> pd.DataFrame:
+        new = np.append(True, (key[1:] != key[:-1]).any(axis=1))
+        ends = np.append(np.flatnonzero(new)[1:], len(rows))
+        end = ends[np.cumsum(new) - 1]
+        ids, comp, n, side = (rows[c].to_numpy() for c in ("id", "component", "n", "side"))
         vec = np.frombuffer(b"".join(rows["sketch"]), dtype=np.uint8).reshape(-1, SKETCH).astype(np.int16)
-        same_block = bool((rows["side"] == 0).all())
-        out_a, out_b = [], []
-        cols = right.index.to_numpy()
-        for i in left.index:
-            j = cols[cols > i] if same_block else cols
-            j = j[(comp[j] != comp[i]) & (np.minimum(n[j], n[i]) * 100 >= np.maximum(n[j], n[i]) * percent)]
-            if len(j) == 0:
-                continue
-            j = j[np.abs(vec[j] - vec[i]).sum(axis=1) <= least_difference(percent, n[i], n[j])]
-            out_a.extend(np.minimum(ids[j], ids[i]))
-            out_b.extend(np.maximum(ids[j], ids[i]))
-        return pd.DataFrame({"a": out_a, "b": out_b})
+        out_a, out_b = [ids[:0]], [ids[:0]]
+        x, lag = np.arange(len(rows)), 0
+        while True:
+            lag += 1
+            x = x[x + lag < end[x]]
+            if len(x) == 0:
+                break
+            y = x + lag
+            ok = (comp[x] != comp[y]) & ((side[x] == 0) | (side[x] != side[y])) \
+                & (np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * percent)
+            u, v = x[ok], y[ok]
+            near = np.abs(vec[u] - vec[v]).sum(axis=1) <= least_difference(percent, n[u], n[v])
+            out_a.append(np.minimum(ids[u[near]], ids[v[near]]))
+            out_b.append(np.maximum(ids[u[near]], ids[v[near]]))
+        return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -266,11 +270,12 @@ def _block_pairs(blocks: DataFrame, percent: int, id_type: str) -> DataFrame:
             batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
             key = batch[["token", "i", "j"]].to_numpy()
             cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            for start, end in zip(np.append(0, cut), cut):
-                yield pairs(batch.iloc[start:end])
-            held = batch.iloc[cut[-1] if len(cut) else 0:]
+            last = int(cut[-1]) if len(cut) else 0
+            if last:
+                yield pairs(batch.iloc[:last], key[:last])
+            held = batch.iloc[last:]
         if held is not None and len(held):
-            yield pairs(held)
+            yield pairs(held, held[["token", "i", "j"]].to_numpy())
 
     return blocks.mapInPandas(run, f"a {id_type}, b {id_type}")
 
