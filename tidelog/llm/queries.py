@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import byte_bpe, decontamination, html_extraction, ngram_join, quality_rules, quality_trees, sharding, token_rollup, toxicity
+from tidelog.llm import (byte_bpe, decontamination, html_extraction, ngram_join, pii, quality_rules, quality_trees,
+                         sharding, token_rollup, toxicity)
 from tidelog.llm.common import id_bucket, table, work_dir
 
 
@@ -48,6 +49,15 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"), ["doc_id"])
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+    base, terms = pii.as_text(F.col("base")), pii.as_text(F.col("terms"), F.lit("term"))
+    both = F.array_join(F.filter(F.array(base, terms), lambda s: s != ""), ",")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in pii.KINDS],
+                        F.sha2(base.cast("binary"), 256).alias("base_sha256"), both.alias("spans"))
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar(table(spark, sf_dir, "documents"), width=3, percent=90)
 
@@ -86,7 +96,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_decontamination, op4_shards, op6_ngram_join, op7_main_text, op8_quality, op9_rules, op10_token_counts)
+    f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_decontamination, op4_shards, op5_pii, op6_ngram_join, op7_main_text, op8_quality, op9_rules, op10_token_counts)
 }
 
 # Words of op3, and of the two tokenizers of op10, as DuckDB expressions of ``text``.
