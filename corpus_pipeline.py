@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import byte_bpe, toxicity
+from tidelog.llm import byte_bpe, decontamination, ngram_join, pii, toxicity
 from tidelog.llm.common import stored, table
 from tidelog.llm.queries import bpe_files
 
@@ -24,6 +24,34 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(F.col("predicted") == 0).select(*docs.columns)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document (the smallest id) of each group of similar texts: five-word shingles, similarity 0.8.
+
+    Texts without words and rows without an id stay; of rows repeated in full one stays.
+    """
+    found = stored(ngram_join.similar(docs, width=5, percent=80), "groups")
+    gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    twice = stored(found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1")
+                   .select("doc_id"), "repeated_ids")
+    if not twice.limit(1).count():
+        return left
+    return left.join(twice, "doc_id", "left_anti").select(*docs.columns) \
+        .unionByName(left.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates())
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    found = decontamination.scan(docs, table(spark, sf_dir, "benchmark"))
+    return found.filter(F.size("hit") == 0).select(*docs.columns)
+
+
+def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data generalised or removed; ``n_chars`` follows the text."""
+    clean = pii.sanitise(pii.find(docs, docs.columns))
+    return clean.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids (little-endian uint32) and whether decoding gave the text back."""
     coded = byte_bpe.encode_decode(docs, *bpe_files(), keep=["doc_id", "lang", "source", "text"])
@@ -33,6 +61,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("pii", remove_personal_data),
     ("byte_bpe", encode),
 ]
 
