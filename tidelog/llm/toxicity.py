@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import labelled
+from tidelog.llm.common import stored
 
 BUCKETS = 1 << 20
 SIZES = (3, 4, 5, 6)
@@ -68,8 +69,8 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -60, 60))))
 
 
-def presence_counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Texts of label 0 and 1 in the sample that hold each cell (first entry: all texts)."""
+def presence_counts(sample: DataFrame) -> DataFrame:
+    """``cell``, ``n0``, ``n1``: texts of label 0 and 1 in the sample that hold the cell (cell -1: all texts)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros((2, BUCKETS), dtype=np.int32)
@@ -86,11 +87,9 @@ def presence_counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             on = np.flatnonzero(counts[y])
             yield pd.DataFrame({"label": y, "cell": np.append(on, -1), "n": np.append(counts[y][on], texts[y])})
 
-    total = sample.select("text", "label").mapInPandas(run, "label int, cell int, n int") \
-        .groupBy("label", "cell").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros((2, BUCKETS + 1))
-    out[total["label"], total["cell"]] = total["n"]  # cell -1: the last entry
-    return out[:, :BUCKETS], out[:, BUCKETS]
+    of = lambda y: F.sum(F.when(F.col("label") == y, F.col("n")).otherwise(0))
+    return sample.select("text", "label").mapInPandas(run, "label int, cell int, n int") \
+        .groupBy("cell").agg(of(0).alias("n0"), of(1).alias("n1"))
 
 
 def fit(sample: DataFrame) -> Model:
@@ -99,17 +98,19 @@ def fit(sample: DataFrame) -> Model:
     With no rows, or rows of one label only, the scores are that label's
     smoothed share.
     """
-    counts, texts = presence_counts(sample)
-    prior = float(np.log((texts[1] + 0.5) / (texts[0] + 0.5)))
+    counts = stored(presence_counts(sample), "cells")
+    totals = counts.filter("cell = -1").first()
+    n0, n1 = (totals["n0"], totals["n1"]) if totals else (0, 0)
+    prior = float(np.log((n1 + 0.5) / (n0 + 0.5)))
     slots = np.full(BUCKETS, -1, dtype=np.int32)
-    if min(texts) == 0:
+    if min(n0, n1) == 0:
         return Model(slots, np.zeros(1), prior)
-    ratio = np.log((counts[1] + 0.5) / (texts[1] + 1)) - np.log((counts[0] + 0.5) / (texts[0] + 1))
-    support = counts.sum(axis=0)
-    telling = np.abs(ratio) * np.sqrt(support) * (support >= MIN_SUPPORT)
-    best = np.lexsort((np.arange(BUCKETS), -telling))[:FEATURES]
-    best = best[telling[best] > 0]
-    slots[best] = np.arange(len(best))
+    ratio = F.log((F.col("n1") + 0.5) / (n1 + 1.0)) - F.log((F.col("n0") + 0.5) / (n0 + 1.0))
+    support = F.col("n0") + F.col("n1")
+    best = counts.filter((F.col("cell") >= 0) & (support >= MIN_SUPPORT)) \
+        .select("cell", ratio.alias("ratio"), (F.abs(ratio) * F.sqrt(support)).alias("telling")) \
+        .filter("telling > 0").orderBy(F.desc("telling"), "cell").limit(FEATURES).collect()
+    slots[[b["cell"] for b in best]] = np.arange(len(best))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -123,7 +124,7 @@ def fit(sample: DataFrame) -> Model:
     y = (rows["label"].to_numpy() > 0).astype(np.float32)
     x = np.unpackbits(np.frombuffer(b"".join(rows["bits"]), dtype=np.uint8).reshape(len(rows), -1), axis=1)
     r = np.zeros(FEATURES, dtype=np.float32)
-    r[:len(best)] = ratio[best]
+    r[:len(best)] = [b["ratio"] for b in best]
     w, bias = _logistic(x, y, r, prior)
     return Model(slots, (w * r).astype(np.float64), bias)
 
