@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.common import small_batches
+
 # Entries of the per-worker pre-token cache; it is emptied beyond that.
 CACHE_ENTRIES = 400_000
 LONG_TEXT = 1_000_000
@@ -119,6 +121,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str
     read. Special tokens are ordinary text. The model and vocabulary (about
     1 MB, fixed by the tokenizer) travel to the workers as one broadcast.
     """
+    small_batches(docs.sparkSession)
     vocab = read_ranks(ranks_path)
     shared = docs.sparkSession.sparkContext.broadcast((model_bytes(vocab), vocab, pattern))
     columns = [F.col(c) for c in keep]

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # A side is broadcast only when its measured size is at most this.
 BROADCAST_MAX_BYTES = 32 << 20
+# Rows of one Arrow batch of texts.
+TEXTS_PER_BATCH = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +61,12 @@ def broadcast_if_small(df: DataFrame, n_bytes: Column, limit: int = BROADCAST_MA
     return F.broadcast(df) if total <= limit else df
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send whole texts to Python workers in batches of ``TEXTS_PER_BATCH`` rows
+    (Spark's default of 10,000 rows of long texts fills a small executor)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_PER_BATCH))
+
+
 def id_bucket(col: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus`` (null: null)."""
     return F.crc32(col.cast("string")) % F.lit(modulus)

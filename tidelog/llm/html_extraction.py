@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import BROADCAST_MAX_BYTES, stored
+from tidelog.llm.common import BROADCAST_MAX_BYTES, small_batches, stored
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -422,6 +422,7 @@ def main_text(pages: DataFrame, keep: list[str], url_col: str = "url", html_col:
     are joined by host in pieces, so no host goes to one task.
     """
     spark = pages.sparkSession
+    small_batches(spark)
     by_host = wrappers(pages, url_col, html_col)
     size = by_host.agg(F.sum(F.octet_length("wrapper")).alias("b")).first()["b"] or 0
     columns = [F.col(c) for c in keep]

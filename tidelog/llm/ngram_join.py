@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import broadcast_if_small, shared_dir, stored
+from tidelog.llm.common import broadcast_if_small, small_batches, stored
 
 CELLS = 1 << 20          # counted cells of shingles
 CHUNK = 1 << 14          # cells of one counts row
@@ -46,7 +46,7 @@ _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvw
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -286,7 +286,7 @@ def classes(docs: DataFrame, width: int, percent: int, id_col: str = "doc_id",
 
     See ``similar`` for the cases of nulls and repeats.
     """
-    shared_dir(docs.sparkSession)
+    small_batches(docs.sparkSession)
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
     counts = cell_counts(rows.select("text"), width)

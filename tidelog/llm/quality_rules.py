@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelog.llm.common import small_batches
+
 CLASSES = ("lower", "upper", "digit", "space", "stop", "symbol", "other_ascii", "beyond_ascii")
 COMMON_WORDS = 50
 MIN_SHARE = 0.002
@@ -126,6 +128,7 @@ def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
     A null language is a language of its own. What reaches the driver is one
     row per class or common word of at most ``MAX_LANGUAGES`` languages.
     """
+    small_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     texts = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")) \
         .filter(F.length("text") > 0)

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import labelled
+from tidelog.llm.common import small_batches
 from tidelog.llm.quality_rules import CLASSES, char_counts, repeated_words
 
 # At most so many labelled rows are learnt from.
@@ -149,6 +150,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qual
     """Fit on at most ``max_rows`` labelled rows for which ``usable`` holds; only their
     statistics (200 bytes a row) reach the driver. No rows: every score is 0.5."""
 
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"id": batch["__id"].astype(str), "label": batch["label"],

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import labelled
-from tidelog.llm.common import stored
+from tidelog.llm.common import small_batches, stored
 
 BUCKETS = 1 << 20
 SIZES = (3, 4, 5, 6)
@@ -155,6 +155,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
     read; repeated rows are scored each; an empty table gives an empty result;
     columns not named are not read. The broadcast model is 4 MB, whatever the data.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     columns = [F.col(c) for c in keep]
     schema = docs.select(*columns).schema.simpleString()[len("struct<"):-1]
@@ -173,4 +174,5 @@ def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic",
           max_rows: int = MAX_SAMPLE_ROWS) -> Model:
     """Fit on at most ``max_rows`` labelled rows for which ``usable`` holds."""
+    small_batches(docs.sparkSession)
     return fit(labelled.sample(docs, labels, label, usable, max_rows))
