@@ -49,3 +49,16 @@ def test_order_in_instance(spark):
     df = spark.createDataFrame([(1, 1, 1), (1, 3, 2), (1, 2, 3), (2, 1, 1)], "o long, k long, a long")
     out = {(r.o, r.k): r.out_of_order for r in CAT.order_in_instance(df, ["o"], ["k"], ["a"]).collect()}
     assert out == {(1, 1): False, (1, 3): False, (1, 2): True, (2, 1): False}
+
+
+def test_create_if_absent_keeps_every_column(spark):
+    subs = spark.createDataFrame(
+        [("s1", "app", ["t"], "g", None, "begin")],
+        "id string, owning_application string, event_types array<string>, consumer_group string, "
+        "created_at timestamp_ntz, read_from string")
+    req = spark.createDataFrame([(1, "app", ["t"], "g", None), (2, "app", ["u"], "g", None)],
+                                "request_id long, owning_application string, event_types array<string>, "
+                                "consumer_group string, id string")
+    table, results = CAT.create_if_absent(subs, req, F.lit("2025-01-01 00:00:00").cast("timestamp_ntz"))
+    assert {(r.id == "s1", r.read_from) for r in table.collect()} == {(True, "begin"), (False, None)}
+    assert {r.request_id: r.created for r in results.collect()} == {1: False, 2: True}

@@ -113,3 +113,15 @@ def test_batch_limit_zero_is_one_batch(spark, sf_small):
     env = td.with_envelope(td.event_log(spark, sf_small))
     lines = td.batch_lines(env, batch_limit=0).filter(~F.col("keepalive"))
     assert lines.count() == env.select("event_type", "partition").distinct().count()
+
+
+def test_running_total_keeps_rows_without_an_order_value(spark):
+    import pytest
+
+    from tidelog.operators.offsets import assign_offsets
+    df = spark.createDataFrame([("a", None, "1"), ("a", 5.0, "2"), ("a", 3.0, "3"), ("b", None, "4")],
+                               "k string, ts double, id string")
+    got = {r.id: r.offset for r in assign_offsets(df, ("k",), ("ts", "id")).collect()}
+    assert got == {"1": 0, "3": 1, "2": 2, "4": 0}
+    with pytest.raises(Exception, match="null key"):
+        assign_offsets(df.selectExpr("nullif(k, 'a') AS k", "ts", "id"), ("k",), ("ts", "id")).collect()

@@ -15,8 +15,8 @@ def test_default_metadata_and_flow_id(spark):
                F.countDistinct("flow").alias("flows"), F.max("md.occurred_at").isNotNull().alias("ts"),
                F.countDistinct("kept").alias("kept")).first()
     assert (r.ids, r.uuid, r.flows, r.ts, r.kept) == (500, 1, 500, True, 1)
-    own = spark.range(1).select(ENV.default_metadata(F.lit("04ba01db-9990-44bd-b733-be69008c5da3")).alias("m"))
-    assert own.first().m.eid == "04ba01db-9990-44bd-b733-be69008c5da3"
+    own = spark.range(1).select(ENV.default_metadata(F.lit("6f1d2c3b-5a47-4e89-9b10-2d7c8e4f0a61")).alias("m"))
+    assert own.first().m.eid == "6f1d2c3b-5a47-4e89-9b10-2d7c8e4f0a61"
 
 
 def test_nested_stats_shape(spark):
@@ -34,12 +34,12 @@ def test_business_deep_merge(spark):
     from tidelog import schemas as S
 
     df = spark.createDataFrame(
-        [({"eid": "04ba01db-9990-44bd-b733-be69008c5da3", "event_type": "x"},
+        [({"eid": "6f1d2c3b-5a47-4e89-9b10-2d7c8e4f0a61", "event_type": "x"},
           {"a": 1, "metadata": {"trace": "t-1", "event_type": "payload-type"}})],
         T_SCHEMA)
     enc = df.select(ENV.encode_event(F.lit("business"), F.col("md"), F.col("payload"), F.lit(None), F.lit(None),
                                      ["a", "metadata"], ["trace", "event_type"]).alias("j")).first().j
-    assert json.loads(enc) == {"a": 1, "metadata": {"eid": "04ba01db-9990-44bd-b733-be69008c5da3",
+    assert json.loads(enc) == {"a": 1, "metadata": {"eid": "6f1d2c3b-5a47-4e89-9b10-2d7c8e4f0a61",
                                                     "event_type": "x", "trace": "t-1"}}
     assert S.METADATA.fieldNames()[0] == "eid"
 

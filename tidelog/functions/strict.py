@@ -55,13 +55,15 @@ def materialize(df, **cols: Column):
 def parse_line(raw: Column) -> Column:
     """Parse one JSON document; null when it is malformed or has trailing data.
 
-    The text is wrapped in ``[...]`` so that two roots on one line (which a
-    plain parse would truncate to the first) no longer form valid JSON, and a
-    comma-separated second root shows up as a second array element.
+    A plain parse stops after the first root and ignores the rest of the line.
+    The text is therefore read as the first element of an array whose second
+    element is the text's own md5: a second root, closing brackets or any other
+    trailing text moves that mark away or out of the array.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
-    single = F.try_variant_get(wrapped, "$[1]", "variant").isNull()
-    return F.when(single, F.try_variant_get(wrapped, "$[0]", "variant"))
+    mark = F.md5(raw)
+    wrapped = F.try_parse_json(F.concat(F.lit("["), raw, F.lit(',"'), mark, F.lit('"]')))
+    alone = F.try_variant_get(wrapped, "$[1]", "string") == mark
+    return F.when(alone, F.try_variant_get(wrapped, "$[0]", "variant"))
 
 
 def sub(v: Column, path: str) -> Column:
@@ -134,13 +136,20 @@ def _leaf(field: T.StructField, x: Column, typed: Column, path: str) -> list[Col
         out.append(F.when(p & typed.isNull(), F.lit(f"{path}: expected an object")))
         if isinstance(dt.valueType, T.StringType):
             vals = F.map_values(F.try_variant_get(x, "$", "map<string,variant>"))
-            out.append(F.when(p & F.exists(vals, lambda e: present(e) & (vtype(e) != F.lit("STRING"))),
+            out.append(F.when(p & F.exists(vals, lambda e: ~present(e) | (vtype(e) != F.lit("STRING"))),
                               F.lit(f"{path}: expected string values")))
         else:
             out.append(F.when(p & F.exists(F.map_values(typed), lambda e: e.isNull()),
                               F.lit(f"{path}: bad value")))
     else:  # numbers, booleans, dates
-        out.append(F.when(p & typed.isNull(), F.lit(f"{path}: expected {dt.simpleString()}")))
+        bad = typed.isNull()
+        if isinstance(dt, T.BooleanType):
+            bad = bad | (vtype(x) != F.lit("BOOLEAN"))
+        elif isinstance(dt, T.NumericType):
+            bad = bad | ~vtype(x).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+            if isinstance(dt, T.IntegralType):  # 2.0 is a whole number, 2.5 is not
+                bad = bad | (F.try_variant_get(x, "$", "double") != typed.cast("double"))
+        out.append(F.when(p & bad, F.lit(f"{path}: expected {dt.simpleString()}")))
     return out
 
 

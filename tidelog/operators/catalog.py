@@ -63,6 +63,9 @@ def find_subscription(subscriptions: DataFrame, requests: DataFrame) -> DataFram
 def create_if_absent(subscriptions: DataFrame, requests: DataFrame, created_at: Column) -> tuple[DataFrame, DataFrame]:
     """Insert only requests without a match; returns (new table, results).
 
+    The new table keeps every column of ``subscriptions``; what a request does
+    not set is null in a new row.
+
     results: ``request_id, subscription_id, created`` -- the existing match, or
     the new id (md5 of the request identity, so a retried job inserts the same
     row) with ``created = true``.
@@ -80,7 +83,7 @@ def create_if_absent(subscriptions: DataFrame, requests: DataFrame, created_at:
         F.first("consumer_group").alias("consumer_group"), F.first("created_at").alias("created_at"),
         F.collect_set("request_id").alias("_reqs"))
     cols = ["id", "owning_application", "event_types", "consumer_group", "created_at"]
-    table = subscriptions.select(*cols).unionByName(new_rows.select(*cols))
+    table = subscriptions.unionByName(new_rows.select(*cols), allowMissingColumns=True)
     results = found.withColumn("created", F.lit(False)).unionByName(
         new_rows.select(F.explode("_reqs").alias("request_id"), F.col("id").alias("subscription_id"),
                         F.lit(True).alias("created")))

@@ -58,13 +58,19 @@ def running_total(
     may be lists: all sums are computed in the same pass.
 
     ``order[0]`` must be a timestamp or a number; ``fine`` is the bucket width
-    in its unit (seconds for timestamps). Keys must be non-null.
+    in its unit (seconds for timestamps). A null order value sorts first; a
+    null key is an error.
     """
     keys, order = list(keys), list(order)
     values = value if isinstance(value, list) else [value]
     outs = out if isinstance(out, list) else [out]
     coarse, fine_b = _bucket_cols(df, order[0], fine)
-    x = df.withColumn("_c", coarse).withColumn("_f", fine_b)
+    # Rows without an order value come first in their key, in a bucket of their own.
+    first = F.lit(-(2 ** 62)).cast("bigint")
+    x = df.withColumn("_c", F.coalesce(coarse, first)).withColumn("_f", F.coalesce(fine_b, first))
+    for k in keys:
+        refused = F.raise_error(F.lit(f"running total: null key {k}")).cast(df.schema[k].dataType)
+        x = x.withColumn(k, F.coalesce(F.col(k), refused))
     vcols = []
     for i, v in enumerate(values):
         x = x.withColumn(f"_v{i}", F.lit(1).cast("bigint") if v is None else F.col(v))

@@ -114,7 +114,8 @@ def assign_partition(df: DataFrame, registry: DataFrame) -> DataFrame:
       error at step ``partitioning``;
     * ``random``: md5 of the event id (P9; the text when there is none): an
       even spread that is repeatable, so a retried task re-assigns the same
-      partition.
+      partition;
+    * a type without a registry row is an error at step ``partitioning``.
     """
     reg = broadcast_if_bounded(registry.select(
         F.col("name").alias("event_type"), "partition_strategy", "partition_key_fields", "n_partitions"))
@@ -131,8 +132,9 @@ def assign_partition(df: DataFrame, registry: DataFrame) -> DataFrame:
     part = (F.when(F.col("partition_strategy") == "hash", h)
             .when(F.col("partition_strategy") == "user_defined", F.when(ud_ok, ud))
             .otherwise(rnd))
-    err = F.when((F.col("partition_strategy") == "user_defined") & ~ud_ok,
-                 F.lit("metadata.partition missing or unknown"))
+    err = F.when(F.col("n_partitions").isNull(), F.lit("unknown event type")) \
+        .when((F.col("partition_strategy") == "user_defined") & ~ud_ok,
+              F.lit("metadata.partition missing or unknown"))
     return j.withColumn("partition", part.cast("string")).withColumn("partition_error", err) \
         .drop("partition_strategy", "partition_key_fields", "n_partitions")
 

@@ -127,23 +127,6 @@ EVENT_PAYLOAD = T.StructType(
     ]
 )
 
-# Payloads of the golden fixtures.
-SOME_EVENT = T.StructType(
-    [
-        T.StructField("first_name", T.StringType(), False),
-        T.StructField("last_name", T.StringType(), False),
-        uuid_field("uuid", nullable=False),
-    ]
-)
-SOME_BAD_EVENT = T.StructType(
-    [
-        T.StructField("first_name", T.StringType(), False),
-        T.StructField("last_name", T.IntegerType(), False),
-        uuid_field("uuid", nullable=False),
-    ]
-)
-
-
 def plain(schema: T.DataType) -> T.DataType:
     """The same type with field metadata stripped (for casts and DDL)."""
     if isinstance(schema, T.StructType):
