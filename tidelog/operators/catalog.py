@@ -44,9 +44,9 @@ def find_subscription(subscriptions: DataFrame, requests: DataFrame) -> DataFram
     types. Only subscriptions sharing a requested type ever meet a request.
     A request must name at least one event type.
     """
-    req = broadcast_if_bounded(requests.select(
+    req = requests.select(
         "request_id", "owning_application", F.col("consumer_group").alias("_cg"), F.col("id").alias("_id"),
-        F.array_distinct("event_types").alias("_want")))
+        F.array_distinct("event_types").alias("_want"))
     want = req.select("request_id", "owning_application", "_cg", "_id", F.size("_want").alias("_n"),
                       F.explode("_want").alias("_t"))
     have = subscriptions.select("id", "owning_application", "consumer_group", "created_at",

@@ -447,13 +447,18 @@ SELECT event_type, "partition", max(last_offset) AS committed_offset,
 FROM bat GROUP BY ALL""",
 
     "stream_flush": f"""WITH {LOG}, {BAT}
-SELECT event_type, "partition", batch_no, batch_no * 20 AS first_offset, last_offset, n_events, 'limit' AS reason
-FROM bat WHERE n_events = 20""",
+SELECT event_type, "partition", batch_no, batch_no * 20 AS first_offset, last_offset, n_events,
+       CASE WHEN n_events = 20 THEN 'limit' ELSE 'timeout' END AS reason
+FROM bat""",
 
-    "stream_compaction": f"""WITH {LOG}
-SELECT event_type, "partition", 'u' || CAST(user_id AS VARCHAR) AS partition_compaction_key,
-       arg_max(event_id, "offset") AS event_id, max("offset") AS "offset"
-FROM log WHERE event_type IN ('purchase', 'signup') AND category <> 'undefined' GROUP BY ALL""",
+    "stream_compaction": f"""WITH {LOG},
+c AS (SELECT *, CASE WHEN category <> 'undefined' THEN 'u' || CAST(user_id AS VARCHAR) END AS ckey
+      FROM log WHERE event_type IN ('purchase', 'signup'))
+SELECT event_type, "partition", ckey AS partition_compaction_key, arg_max(event_id, "offset") AS event_id,
+       max("offset") AS "offset"
+FROM c WHERE ckey IS NOT NULL GROUP BY ALL
+UNION ALL
+SELECT event_type, "partition", ckey, event_id, "offset" FROM c WHERE ckey IS NULL""",
 
     "stream_traffic": """SELECT event_type, round(avg(n), 6) AS messages_per_minute,
        CAST(count(*) AS BIGINT) AS active_minutes

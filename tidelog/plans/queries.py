@@ -23,7 +23,7 @@ from tidelog.operators import envelope as ENV
 from tidelog.operators import publish as PUB
 from tidelog.operators import stats as ST
 from tidelog.sources import testdata as td
-from tidelog.sources.tables import checkpoint_dir, cut_lineage, read_table
+from tidelog.sources.tables import broadcast_if_bounded, checkpoint_dir, cut_lineage, read_table
 
 # Fixed parameters of the registered queries
 READER = ("service", "svc_reporting")
@@ -37,6 +37,7 @@ LIST_TYPES = ["click", "view"]
 PAGE_LIMIT = 10
 PAGE_OFFSET = 5
 WRITE_FAIL_PARTITION = "3"
+FLUSH_TIMEOUT_S = 1
 
 
 def micros(c) -> F.Column:
@@ -271,13 +272,17 @@ def q_keepalive_runs(spark, sf):
 # aggregates and catalog
 # ---------------------------------------------------------------------------
 
-def q_compact_latest(spark, sf):
-    """A7 over the compacted types."""
-    env = _env(spark, sf)
+def _compacted_types(spark, env: DataFrame) -> DataFrame:
+    """Events of the types whose registry row asks for compaction."""
     reg = td.registry(spark).filter(F.col("cleanup_policy") == "compact").select(F.col("name").alias("event_type"))
-    log = env.join(F.broadcast(reg), "event_type", "left_semi").select(
+    return env.join(broadcast_if_bounded(reg), "event_type", "left_semi").select(
         "event_type", "partition", F.col("metadata.partition_compaction_key").alias("partition_compaction_key"),
         "event_id", "offset")
+
+
+def q_compact_latest(spark, sf):
+    """A7 over the compacted types."""
+    log = _compacted_types(spark, _env(spark, sf))
     return CAT.compact_latest(log).select(
         "event_type", "partition", "partition_compaction_key", "event_id", "offset")
 
@@ -392,7 +397,7 @@ def q_scope_allowed(spark, sf):
     """Events per type readable with the session's scopes."""
     reg = td.registry(spark).filter(CAT.scope_allowed(F.col("read_scopes"), SESSION_SCOPES))
     ev = read_table(spark, sf, "events").select("event_type")
-    allowed = ev.join(F.broadcast(reg.select(F.col("name").alias("event_type"))), "event_type", "left_semi")
+    allowed = ev.join(broadcast_if_bounded(reg.select(F.col("name").alias("event_type"))), "event_type", "left_semi")
     return allowed.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
 
 
@@ -579,7 +584,7 @@ def q_stream_consume(spark, sf):
 
 
 def q_stream_flush(spark, sf):
-    """Batches flushed when the batch limit is reached (stateful)."""
+    """Batches flushed at the batch limit, and the rest of each partition on timeout (stateful)."""
     from tidelog.streaming import stateful as ST2
 
     root = scratch_dir(spark, "flush")
@@ -587,39 +592,41 @@ def q_stream_flush(spark, sf):
     src = spark.readStream.schema("event_type string, partition string, offset long").parquet(f"{root}/in")
     # a processing-time timeout always asks for another (no-data) batch, so
     # neither availableNow nor processAllAvailable ends: drain, then stop
-    q = ST2.flush_batches(src, td.BATCH_LIMIT, 30).writeStream.outputMode("append") \
+    q = ST2.flush_batches(src, td.BATCH_LIMIT, FLUSH_TIMEOUT_S).writeStream.outputMode("append") \
         .format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt") \
         .trigger(processingTime="1 second").start()
     from tidelog.streaming.consume import drain
 
-    drain(q)
+    drain(q, settle_s=FLUSH_TIMEOUT_S + 1)
     q.stop()
     return spark.read.parquet(f"{root}/out").select("event_type", "partition", "batch_no", "first_offset",
                                                      "last_offset", "n_events", "reason")
 
 
 def q_stream_compaction(spark, sf):
-    """Streaming A7 for the compacted types (keyed events)."""
+    """Streaming A7 for the compacted types; events without a key pass through."""
     from tidelog.streaming import stateful as ST2
 
     root = scratch_dir(spark, "compact")
-    env = _env(spark, sf).filter(F.col("event_type").isin("purchase", "signup"))
-    env.select("event_type", "partition", F.col("metadata.partition_compaction_key").alias("partition_compaction_key"),
-               "event_id", "offset").filter(F.col("partition_compaction_key").isNotNull()) \
-        .repartition(3).write.parquet(f"{root}/in")
+    keys = ["event_type", "partition", "partition_compaction_key"]
+    _compacted_types(spark, _env(spark, sf)).repartition(3).write.parquet(f"{root}/in")
     src = spark.readStream.schema("event_type string, partition string, partition_compaction_key string, "
                                   "event_id long, offset long").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    latest = ST2.streaming_latest(src, ["event_type", "partition", "partition_compaction_key"], "offset", ["event_id"])
+    keyed = F.col("partition_compaction_key").isNotNull()
+    latest = ST2.streaming_latest(src.filter(keyed), keys, "offset", ["event_id"])
 
     def upsert(df, batch_id):
-        df.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(f"{root}/out")
-
-    q = latest.writeStream.outputMode("update").foreachBatch(upsert) \
-        .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
-    q.awaitTermination()
-    out = spark.read.parquet(f"{root}/out")
-    keys = ["event_type", "partition", "partition_compaction_key"]
-    return out.groupBy(*keys).agg(F.max_by("event_id", "offset").alias("event_id"), F.max("offset").alias("offset"))
+        df.write.mode("overwrite").parquet(f"{root}/latest/batch_id={batch_id}")
+
+    runs = [latest.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", f"{root}/ckpt"),
+            src.filter(~keyed).writeStream.format("parquet").option("path", f"{root}/unkeyed")
+            .option("checkpointLocation", f"{root}/ckpt-unkeyed")]
+    for q in [w.trigger(availableNow=True).start() for w in runs]:
+        q.awaitTermination()
+    schema = "event_type string, partition string, partition_compaction_key string, offset long, event_id long"
+    out = spark.read.schema(schema + ", batch_id long").parquet(f"{root}/latest")
+    return out.groupBy(*keys).agg(F.max_by("event_id", "offset").alias("event_id"), F.max("offset").alias("offset")) \
+        .unionByName(spark.read.schema(schema).parquet(f"{root}/unkeyed"))
 
 
 def q_stream_traffic(spark, sf):

@@ -8,8 +8,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest dimension (rows) we broadcast after an explicit check.
-BROADCAST_MAX_ROWS = 1_000_000
+# A dimension is broadcast when its rows, as JSON text, take at most so many bytes.
+BROADCAST_MAX_BYTES = 32 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,23 +17,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only behind a size check; otherwise leave the choice to AQE.
+def broadcast_if_bounded(dim: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast a dimension only when its measured size is within ``max_bytes``.
 
-    * a driver-local table (``isLocal``: literal rows, e.g. a registry handed
-      in by the caller) is counted with ``limit(max_rows + 1)`` -- cheap -- and
-      broadcast when within the bound;
-    * a derived table (an aggregate of the log, a filter of a stored table)
-      is NOT counted up front, which would run its whole lineage twice.
-      Adaptive execution measures its shuffle output at runtime and turns the
-      join into a broadcast join only below
-      ``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond it the join
-      stays a shuffle join.
+    One job sums the bytes of its rows as JSON text; beyond the bound the join
+    keeps its shuffle. Hand in dimensions the caller holds or stores (registry,
+    ACL, deleted types). Tables derived from the log would run twice here: leave
+    those to adaptive execution, which measures them at runtime.
     """
-    if df.isLocal():
-        n = df.limit(max_rows + 1).count()
-        return F.broadcast(df) if n <= max_rows else df
-    return df
+    size = dim.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b")).first()["b"] or 0
+    return F.broadcast(dim) if size <= max_bytes else dim
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
