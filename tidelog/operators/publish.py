@@ -78,10 +78,12 @@ def with_validation(df: DataFrame, payload_schema: T.StructType, raw_col: str =
     return x.withColumn(out, err).drop("_v", "_pv", "_pl")
 
 
-def enrich_metadata(df: DataFrame, received_at: Column, flow_id: Column | None = None,
+def enrich_metadata(df: DataFrame, registry: DataFrame, received_at: Column, flow_id: Column | None = None,
                     published_by: Column | None = None) -> DataFrame:
     """Fill absent metadata of business / data events; never overwrite.
 
+    Only types whose ``enrichment_strategies`` hold ``metadata_enrichment`` are enriched.
+
     Filled: ``event_type`` (the type published to), ``received_at``,
     ``flow_id``, ``published_by``. A present value that differs from the
     enrichment is an overwrite attempt: ``enrich_error`` names it and the
@@ -93,15 +95,18 @@ def enrich_metadata(df: DataFrame, received_at: Column, flow_id: Column | None =
     if published_by is not None:
         fills["published_by"] = published_by
     md = F.col("metadata")
-    enrichable = F.col("category").isin("business", "data")
+    wanted = registry.filter(F.array_contains("enrichment_strategies", "metadata_enrichment")) \
+        .select(F.col("name").alias("event_type"), F.lit(True).alias("_enrich"))
+    df = df.drop("_enrich").join(broadcast_if_bounded(wanted), "event_type", "left")
+    enrichable = F.col("category").isin("business", "data") & F.coalesce("_enrich", F.lit(False))
     conflicts = [F.when(md.getField(k).isNotNull() & ~md.getField(k).eqNullSafe(v),
                         F.lit(f"metadata.{k}: enrichment would overwrite a present value"))
-                 for k, v in fills.items() if k != "received_at"]
+                 for k, v in fills.items()]
     new_md = md
     for k, v in fills.items():
         new_md = new_md.withField(k, F.coalesce(md.getField(k), v))
-    return df.withColumn("enrich_error", F.when(enrichable, F.coalesce(*conflicts)) if conflicts else F.lit(None)) \
-        .withColumn("metadata", F.when(enrichable, new_md).otherwise(md))
+    return df.withColumn("enrich_error", F.when(enrichable, F.coalesce(*conflicts))) \
+        .withColumn("metadata", F.when(enrichable, new_md).otherwise(md)).drop("_enrich")
 
 
 def assign_partition(df: DataFrame, registry: DataFrame) -> DataFrame:
@@ -288,7 +293,7 @@ def publish_once(events: DataFrame, registry: DataFrame, payload_schema: T.Struc
 
     x = fill_metadata(events, "event_type", enabled=fill)
     x = with_validation(x, payload_schema)
-    x = enrich_metadata(x, received_at)
+    x = enrich_metadata(x, registry, received_at)
     x = x.drop("partition") if "partition" in x.columns else x
     x = assign_partition(x, registry)
     x = batch_outcome(x)

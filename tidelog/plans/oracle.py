@@ -91,11 +91,11 @@ PIN = f"""pin AS (
   SELECT event_id, resolved_eid, event_type || '/' || CAST(event_id // 50 AS VARCHAR) AS batch_id,
          CAST(event_id // 50 AS BIGINT) AS blk, category,
          CASE WHEN malformed THEN 'validating'
-              WHEN category <> 'undefined' AND event_id % 89 = 1 THEN 'enriching'
+              WHEN category <> 'undefined' AND event_type <> 'error' AND event_id % 89 = 1 THEN 'enriching'
               WHEN event_type = 'purchase' AND category = 'undefined' THEN 'partitioning' END AS fail_step,
          CASE WHEN malformed THEN CASE WHEN category = 'data' THEN '$.data.value' ELSE '$.value' END
                                   || ': expected double'
-              WHEN category <> 'undefined' AND event_id % 89 = 1
+              WHEN category <> 'undefined' AND event_type <> 'error' AND event_id % 89 = 1
                    THEN 'metadata.event_type: enrichment would overwrite a present value'
               WHEN event_type = 'purchase' AND category = 'undefined' THEN 'metadata.partition missing or unknown'
          END AS fail_detail,
@@ -385,10 +385,10 @@ FROM ev""",
 
     "enrich_metadata": f"""WITH {EV}
 SELECT event_id,
-       CASE WHEN category <> 'undefined' AND event_id % 89 = 1
+       CASE WHEN category <> 'undefined' AND event_type <> 'error' AND event_id % 89 = 1
             THEN 'metadata.event_type: enrichment would overwrite a present value' END AS enrich_error,
-       CASE WHEN category <> 'undefined' THEN 'flow-1' END AS flow_id,
-       CASE WHEN category <> 'undefined' THEN epoch_us(TIMESTAMP '2025-01-01 00:00:00') END AS received_us
+       CASE WHEN category <> 'undefined' AND event_type <> 'error' THEN 'flow-1' END AS flow_id,
+       CASE WHEN category <> 'undefined' AND event_type <> 'error' THEN epoch_us(TIMESTAMP '2025-01-01 00:00:00') END AS received_us
 FROM ev""",
 
     "events_to_retry": f"""WITH {EV}, {R0}

@@ -442,7 +442,7 @@ def q_validate_events(spark, sf):
 def q_enrich_metadata(spark, sf):
     """P19."""
     ev = _publish_input(spark, sf)
-    e = PUB.enrich_metadata(ev, F.lit("2025-01-01 00:00:00").cast("timestamp"), flow_id=F.lit("flow-1"))
+    e = PUB.enrich_metadata(ev, td.registry(spark), F.lit("2025-01-01 00:00:00").cast("timestamp"), flow_id=F.lit("flow-1"))
     return e.select("event_id", "enrich_error", F.col("metadata.flow_id").alias("flow_id"),
                     micros(F.col("metadata.received_at")).alias("received_us"))
 
