@@ -140,11 +140,10 @@ def disclosing(found_rows: DataFrame, texts: DataFrame, min_contexts: int = MIN_
     entities = found_rows.select("__text_hash", F.explode(F.transform("base", lambda s: s["value"])).alias("entity")) \
         .join(n_ct.select("entity").distinct(), "entity", "left_semi").distinct() \
         .groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
-    terms = stored(n_ct.select("term").distinct(), "pii_terms")
-    some = broadcast_if_small(terms, F.octet_length("term") + F.lit(16))
+    # All terms are counted before the join, so it meets one row per term and not one per occurrence.
     words = F.array_distinct(F.transform(F.regexp_extract_all("__text", F.lit(f"({TERM})"), F.lit(1)), F.lower))
-    n_t = texts.select("__text_hash", F.explode(words).alias("term")).join(some, "term", "left_semi") \
-        .distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    n_t = texts.select("__text_hash", F.explode(words).alias("term")).distinct() \
+        .groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     n = texts.select("__text_hash").distinct().count()
     ratio = F.log(F.lit(float(max(n, 1))) * F.col("n_ct") / F.col("n_c") / F.col("n_t")) \
         / F.log(F.lit(float(max(n, 1))) / F.col("n_c"))
