@@ -269,6 +269,29 @@ def test_wrappers_do_not_depend_on_the_order():
     assert "(<h2>#</>? <p>" in expression and ")+" in expression
 
 
+def _texts(pages):
+    """The texts of the pages of one host."""
+    wrapper = html_extraction.page_wrapper(pages[0])
+    for page in pages[1:]:
+        wrapper = html_extraction.align(wrapper, html_extraction.page_wrapper(page))
+    roles = html_extraction.chosen(html_extraction.load(html_extraction.dump(wrapper)))
+    return [html_extraction.extract(page, roles) for page in pages]
+
+
+def test_html_slots_of_the_wrapper_decide():
+    pages, want = [], []
+    for i in range(14):
+        promo = "<div class=box>Buy it</div>" if i % 2 else ""
+        pages.append(f"<body class='page nav-open'><div class='sidebar-layout'><article class='post share'><h1>Title {i}</h1>"
+                     f"<p>From our desk</p><p>Own {i}</p>{promo}<ul><li>item {i}</li><li>See all</li></ul></article></div></body>")
+        want.append(f"Title {i} Own {i} item {i}")
+    assert _texts(pages) == want
+    few = [f"Title {i} From our desk Own {i}" + (" Buy it" if i % 2 else "") + f" item {i} See all" for i in range(4)]
+    assert _texts(pages[:4]) == few
+    comments = "<div class=comments><article>c1</article><article>c2</article></div>"
+    assert _texts([f"<article>text</article>{comments}"]) == ["text"]
+
+
 def test_toxicity_and_quality_learn(spark):
     rng = random.Random(1)
     good = ["stone", "river", "lamp", "cloud", "garden", "winter", "paper", "music"]

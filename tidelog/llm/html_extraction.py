@@ -8,8 +8,9 @@ the wrapper level by level. Along the children of an element
   page becomes optional;
 * a child that repeats becomes a repeated group of itself; children that appear
   in both orders become one repeated group of optional members;
-* text becomes a slot; a slot is constant while every page has the same words in
-  it, and a field once two pages differ.
+* text becomes a slot. Its constants are the blocks of text that every page with
+  the slot has in it (one for plain template text, some members of a repeated
+  group); what differs makes it a field.
 
 Folding two wrappers is the same alignment, and the result does not depend on
 the order: each task folds the pages it reads, then the wrappers of a host are
@@ -18,13 +19,16 @@ folded in a second step (equal ones once), in parts where a host has many.
 The slots of the article are chosen on the wrapper: those inside the article
 (else main, else the best named container, else the body) and outside of menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-comments; without an article, constant slots of several pages go as well. Every
-page is then parsed along its host's wrapper and the texts in the chosen slots
-are its main text, block by block.
+comments; names of classes and ids are a hint there, which drops no body,
+article or main. Inside the chosen elements the constants of required, optional
+and repeated slots go as well where at least ``SEVERAL`` different pages have
+the slot. Every page is then parsed along its host's wrapper and the texts in
+the chosen slots are its main text, block by block.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
@@ -63,6 +67,10 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 # A wrapper has at most so many levels; deeper elements count as part of the last one.
 MAX_LEVELS = 40
+# Elements that names of classes and ids never drop.
+CONTAINERS = frozenset("html body article main".split())
+# Different pages (copies count once) that a slot's constants need to count as the host's text.
+SEVERAL = 5
 # Wrappers of a host that are folded in one group of the second step.
 FOLD = 64
 
@@ -92,10 +100,11 @@ def events(page: str) -> Iterator[tuple[str, str]]:
     """
     stack: list[str] = []
     tags: list[str] = []
+    opened: dict[str, int] = {}
 
     def close(depth: int):
         while len(stack) > depth:
-            tags.pop()
+            opened[tags.pop()] -= 1
             yield "close", stack.pop()
 
     pos, size = 0, len(page)
@@ -112,8 +121,10 @@ def events(page: str) -> Iterator[tuple[str, str]]:
             continue
         tag = tag.lower()
         if m.group(1):
-            if tag in tags:
-                at = len(tags) - 1 - tags[::-1].index(tag)
+            if opened.get(tag):
+                at = len(tags) - 1
+                while tags[at] != tag:
+                    at -= 1
                 yield from close(at)
             elif tag in ("br", "p"):
                 yield "text", " "
@@ -135,9 +146,11 @@ def events(page: str) -> Iterator[tuple[str, str]]:
             continue
         if tag in INLINE and _bare(key):
             continue
-        if tag in BLOCKS and "p" in tags:
-            at = len(tags) - 1 - tags[::-1].index("p")
-            if not SCOPES.intersection(tags[at:]):
+        if tag in BLOCKS and opened.get("p"):
+            at = len(tags) - 1
+            while tags[at] != "p" and tags[at] not in SCOPES:
+                at -= 1
+            if tags[at] == "p":
                 yield from close(at)
         ends = ENDS.get(tag)
         if ends:
@@ -149,6 +162,7 @@ def events(page: str) -> Iterator[tuple[str, str]]:
                     break
         stack.append(key)
         tags.append(tag)
+        opened[tag] = opened.get(tag, 0) + 1
         yield "open", key
     yield from close(0)
 
@@ -172,32 +186,83 @@ def _bare(key: str) -> bool:
 
 
 def _not_text(key: str) -> bool:
-    tag, names, role = _names(key)
-    return tag in NOT_TEXT or bool(names & NOT_TEXT_NAMES) or bool(set(role.split("@")) & (NOT_TEXT_ROLES | {"hidden"}))
+    return _never_text(key) or _hinted(key)
 
 
-# A wrapper node: {"n": pages or parents with it, "r": repeats, "c": {key: node}, "o": [[before, after]],
-# "s": constant slot text or "" for a field, "t": parents in which it had text}
+def _never_text(key: str) -> bool:
+    """Whether tag or role say that an element is not article text."""
+    tag, _, role = _names(key)
+    if tag in ("html", "body"):
+        return False
+    return tag in NOT_TEXT or bool(set(role.split("@")) & (NOT_TEXT_ROLES | {"hidden"}))
+
+
+def _hinted(key: str) -> bool:
+    """Whether names of class and id hint that an element is not article text."""
+    tag, names, _ = _names(key)
+    return tag not in CONTAINERS and bool(names & NOT_TEXT_NAMES)
+
+
+NEVER, DOUBTED, TEXT = range(3)
+
+
+def _shown(key: str, parent: int) -> int:
+    """Whether an element's text is article text; an article or main ends the doubts that names raise."""
+    if parent == NEVER or _never_text(key):
+        return NEVER
+    if _names(key)[0] in CONTAINERS:
+        return TEXT
+    return DOUBTED if parent == DOUBTED or _hinted(key) else TEXT
+
+
+# A wrapper node: {"n": pages or parents with it, "r": repeats, "c": {key: node}, "o": {(before, after)},
+# "k": hashes of the blocks of text that every page with text in it has (None: no text), "v": whether pages
+# differ in their blocks, "t": the least SEVERAL hashes of the pages with text in it}
 
 
 def _node() -> dict:
-    return {"n": 0, "r": 0, "c": {}, "o": set(), "s": None, "t": 0}
+    return {"n": 0, "r": 0, "c": {}, "o": set(), "k": None, "v": 0, "t": []}
+
+
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=7).digest(), "big")
+
+
+def _block(words: list[str]) -> str:
+    return _SPACE.sub(" ", "".join(words)).strip()
 
 
 def page_wrapper(page: str) -> dict:
-    """The wrapper of a single page."""
+    """The wrapper of a single page. Pages whose texts outside of menus and the like are equal are the same page."""
     root = _node()
     root["n"] = 1
-    # (node, keys of the children in order of their last appearance, text pieces)
-    path = [(root, {}, [])]
+    # (node, keys of the children in order of their last appearance, whether its text is article text)
+    path = [(root, {}, TEXT)]
+    words: list[str] = []
+    slots: list[dict] = []
+    own = hashlib.blake2b(digest_size=7)
+
+    def end_block():
+        text = _block(words) if words else ""
+        words.clear()
+        if text:
+            node, _, shown = path[-1]
+            if node["k"] is None:
+                node["k"] = set()
+                slots.append(node)
+            node["k"].add(_hash(text[:200]))
+            if shown == TEXT:
+                own.update(text.encode("utf-8", "surrogatepass") + b"\0")
+
     for kind, value in events(page):
-        node, order, words = path[-1]
         if kind == "text":
-            if not value.isspace():
-                words.append(value)
-        elif kind == "open":
+            words.append(value)
+            continue
+        end_block()
+        node, order, shown = path[-1]
+        if kind == "open":
             if len(path) > MAX_LEVELS:
-                path.append((node, order, words))
+                path.append(path[-1])
                 continue
             child = node["c"].setdefault(value, _node())
             if value in order:
@@ -206,62 +271,87 @@ def page_wrapper(page: str) -> dict:
                 if earlier != value:
                     node["o"].add((earlier, value))
             order[value] = child
-            path.append((child, {}, []))
+            path.append((child, {}, _shown(value, shown)))
         else:
-            node, order, words = path.pop()
-            if path and path[-1][0] is node:
-                continue
-            _leave(node, order, words)
-    _leave(root, path[0][1], path[0][2])
+            path.pop()
+            if path[-1][0] is not node:
+                _leave(order)
+    end_block()
+    _leave(path[0][1])
+    seen = [int.from_bytes(own.digest(), "big")]
+    root["t"] = seen
+    for node in slots:
+        node["t"] = seen
     return root
 
 
-def _leave(node: dict, order: dict, words: list[str]) -> None:
-    """Count an element that ends: itself, each kind of child once, and its text."""
+def _leave(order: dict) -> None:
+    """Count each kind of child of an element that ends once."""
     for child in order.values():
         child["n"] += 1
-    if words:
-        text = _SPACE.sub(" ", " ".join(words)).strip()[:200]
-        node["s"] = text if node["s"] in (None, text) else ""
-        node["t"] += 1
 
 
 def align(a: dict, b: dict) -> dict:
     """The wrapper of what ``a`` and ``b`` wrap; into ``a``."""
-    a["n"] += b["n"]
-    a["r"] = max(a["r"], b["r"])
-    a["t"] += b["t"]
-    if b["s"] is not None:
-        a["s"] = b["s"] if a["s"] in (None, b["s"]) else ""
-    a["o"] |= b["o"]
-    for key, child in b["c"].items():
-        if key in a["c"]:
-            align(a["c"][key], child)
-        else:
-            a["c"][key] = child
+    todo = [(a, b)]
+    while todo:
+        x, y = todo.pop()
+        x["n"] += y["n"]
+        x["r"] = max(x["r"], y["r"])
+        x["t"] = sorted({*x["t"], *y["t"]})[:SEVERAL]
+        x["v"] |= y["v"]
+        if x["k"] is None:
+            x["k"] = y["k"]
+        elif y["k"] is not None:
+            x["v"] |= int(x["k"] != y["k"])
+            x["k"] = x["k"] & y["k"]
+        x["o"] |= y["o"]
+        for key, child in y["c"].items():
+            if key in x["c"]:
+                todo.append((x["c"][key], child))
+            else:
+                x["c"][key] = child
     return a
 
 
 def dump(node: dict) -> str:
-    """A wrapper as text; equal wrappers have equal texts."""
-
-    def plain(x):
-        return [x["n"], x["r"], x["t"], x["s"], sorted(map(list, x["o"])), {k: plain(x["c"][k]) for k in sorted(x["c"])}]
-
-    return json.dumps(plain(node), ensure_ascii=False, separators=(",", ":"))
+    """A wrapper as text, one entry per element with its depth; equal wrappers have equal texts."""
+    out, todo = [], [(0, "", node)]
+    while todo:
+        depth, key, x = todo.pop()
+        constants = None if x["k"] is None else sorted(x["k"])
+        out.append([depth, key, x["n"], x["r"], x["t"], constants, x["v"], sorted(map(list, x["o"]))])
+        todo += [(depth + 1, k, x["c"][k]) for k in sorted(x["c"], reverse=True)]
+    return json.dumps(out, ensure_ascii=False, separators=(",", ":"))
 
 
 def load(text: str) -> dict:
-    def node(x):
-        return {"n": x[0], "r": x[1], "t": x[2], "s": x[3], "o": set(map(tuple, x[4])),
-                "c": {k: node(v) for k, v in x[5].items()}}
-
-    return node(json.loads(text))
+    path: list[dict] = []
+    for depth, key, n, r, t, k, v, o in json.loads(text):
+        node = {"n": n, "r": r, "t": t, "k": None if k is None else set(k), "v": v, "o": set(map(tuple, o)), "c": {}}
+        del path[depth:]
+        if path:
+            path[-1]["c"][key] = node
+        path.append(node)
+    return path[0]
+
+
+def expression(node: dict) -> str:
+    """The wrapper as a readable union-free expression: ``#`` fields, ``=`` constant slots, ``?`` optional,
+    ``+`` repeated, ``( )`` groups."""
+    out: list[str] = []
+    todo: list = [node]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            out.append(x)
+        else:
+            todo += reversed(_parts(x))
+    return "".join(out)
 
 
-def expression(node: dict, pages: int | None = None) -> str:
-    """The wrapper as a readable union-free expression: ``#`` slots, ``?`` optional, ``+`` repeated, ``( )`` groups."""
-    pages = pages or node["n"]
+def _parts(node: dict) -> list:
+    """What an element holds: pieces of the expression, and child nodes still to be written."""
     reach = {k: {k} for k in node["c"]}
     changed = True
     while changed:
@@ -278,66 +368,87 @@ def expression(node: dict, pages: int | None = None) -> str:
         group = sorted(k for k in reach[key] if key in reach[k])
         done.update(group)
         if len(group) > 1:
-            parts.append("(" + " ".join(f"{_item(k, node['c'][k])}?" for k in group) + ")+")
+            inner = [[*_item(k, node["c"][k]), "?"] for k in group]
+            parts.append(["(", *_joined(inner), ")+"])
         else:
             child = node["c"][key]
             mark = ("+" if child["r"] else "") + ("?" if child["n"] < max(node["n"], 1) else "")
-            parts.append(_item(key, child) + mark)
-    slot = ["#" if node["s"] == "" else repr(node["s"])] if node["s"] is not None else []
-    return " ".join(slot + parts)
+            parts.append([*_item(key, child), mark])
+    slot = [["#" if node["v"] or len(node["k"]) != 1 else "="]] if node["k"] is not None else []
+    return _joined(slot + parts)
 
 
-def _item(key: str, node: dict) -> str:
-    inner = expression(node)
-    return f"<{key}>{inner}</>" if inner else f"<{key}/>"
+def _joined(items: list[list]) -> list:
+    return [x for i, item in enumerate(items) for x in ([" ", *item] if i else item)]
 
 
-def chosen(wrapper: dict) -> dict:
-    """The tree of the wrapper's elements with, for each, whether its slot is article text."""
+def _item(key: str, node: dict) -> list:
+    return [f"<{key}>", node, "</>"] if node["c"] or node["k"] is not None else [f"<{key}/>"]
 
-    def find(node, test):
-        if test is None:
-            return []
-        found = []
-        for key, child in node["c"].items():
-            if test(key):
-                found.append((key, child))
-            elif not _not_text(key):
-                found.extend(find(child, test))
+
+def chosen(wrapper: dict) -> dict:
+    """The tree of the wrapper's elements with, for each, whether its slot is article text
+    ("keep") and the hashes of the blocks in it that are the host's ("drop")."""
+    parents: dict[int, int] = {}
+
+    def find(test, trusting):
+        """The outermost elements that pass; below a hint only if not ``trusting`` hints, and then such that do not repeat."""
+        found, todo = [], [(wrapper, False)]
+        while todo:
+            node, doubt = todo.pop()
+            for key, child in node["c"].items():
+                parents[id(child)] = id(node)
+                if _never_text(key):
+                    continue
+                if test(key) and not (doubt and child["r"]):
+                    found.append(id(child))
+                elif not _hinted(key):
+                    todo.append((child, doubt))
+                elif not trusting:
+                    todo.append((child, True))
         return found
 
     def named(name):
-        return lambda k: name in _names(k)[1] and _names(k)[0] in ("div", "section", "td")
-
-    tests = [lambda k: _names(k)[0] == "article" and not _not_text(k),
-             lambda k: (_names(k)[0] == "main" or _names(k)[2] == "main") and not _not_text(k),
-             lambda k: _names(k)[2] == "article" and not _not_text(k)]
-    tests += [named(n) for n in MAIN_NAMES]
-    roots: list[int] = []
-    for test in tests:
-        roots = [id(child) for _, child in find(wrapper, test)]
+        return lambda k: name in _names(k)[1] and _names(k)[0] in ("div", "section", "td") and not _hinted(k)
+
+    tests = [(lambda k: _names(k)[0] == "article", False),
+             (lambda k: _names(k)[0] == "main" or _names(k)[2] == "main" and not _hinted(k), False),
+             (lambda k: _names(k)[2] == "article" and not _hinted(k), True)]
+    tests += [(named(n), True) for n in MAIN_NAMES]
+    roots: set[int] = set()
+    for test, trusting in tests:
+        roots = set(find(test, trusting))
         if roots:
             break
     semantic = bool(roots)
-    several = wrapper["n"] >= 5
-
-    def role(node, inside, tag):
-        # Without a container to trust, text that is the same on every page is the host's, not the article's.
-        constant = not semantic and several and node["s"] not in (None, "") and node["t"] >= wrapper["n"] > 1
-        children = {}
+    holders: set[int] = set()
+    for at in roots:
+        while at in parents and parents[at] not in holders:
+            at = parents[at]
+            holders.add(at)
+
+    out = {"keep": not semantic, "drop": frozenset(), "c": {}}
+    slots, todo = [], [(wrapper, out, not semantic)]
+    while todo:
+        node, role, inside = todo.pop()
+        if role["keep"] and node["k"] is not None:
+            slots.append((node, role))
         for key, child in node["c"].items():
-            own_tag = _names(key)[0]
-            if own_tag == "header" and inside and HEADINGS & {_names(k)[0] for k in child["c"]} and semantic:
+            tag = _names(key)[0]
+            own = role["c"][key] = {"keep": False, "drop": frozenset(), "c": {}}
+            if tag == "header" and inside and HEADINGS & {_names(k)[0] for k in child["c"]} and semantic:
                 # An article's own heading: its title stays, the rest of the header goes.
-                children[key] = {"keep": False, "c": {k: role(c, _names(k)[0] in HEADINGS, k)
-                                                      for k, c in child["c"].items()}}
-            elif _not_text(key):
-                children[key] = {"keep": False, "c": {}}
-            else:
-                children[key] = role(child, inside or id(child) in roots, own_tag)
-        return {"keep": inside and not constant, "c": children}
-
-    return role(wrapper, not semantic, "")
+                for k, c in child["c"].items():
+                    if _names(k)[0] in HEADINGS:
+                        own["c"][k] = {"keep": True, "drop": frozenset(), "c": {}}
+                        todo.append((c, own["c"][k], True))
+            elif id(child) in holders or not _not_text(key) or id(child) in roots:
+                own["keep"] = inside or id(child) in roots
+                todo.append((child, own, own["keep"]))
+    for node, role in slots:
+        if len(node["t"]) >= SEVERAL:
+            role["drop"] = frozenset(node["k"])
+    return out
 
 
 def extract(page: str, roles: dict) -> str:
@@ -345,12 +456,13 @@ def extract(page: str, roles: dict) -> str:
     space, blocks joined by one space in page order."""
     blocks: list[str] = []
     words: list[str] = []
-    nothing = {"keep": False, "c": {}}
+    nothing = {"keep": False, "drop": frozenset(), "c": {}}
     path = [roles]
 
     def end_block():
-        text = _SPACE.sub(" ", "".join(words)).strip()
-        if text:
+        text = _block(words) if words else ""
+        drop = path[-1]["drop"]
+        if text and not (drop and _hash(text[:200]) in drop):
             blocks.append(text)
         words.clear()
 
