@@ -292,6 +292,16 @@ def test_html_slots_of_the_wrapper_decide():
     assert _texts([f"<article>text</article>{comments}"]) == ["text"]
 
 
+def test_html_slots_are_compared_whole():
+    same = "Preamble of the licence. " * 20
+    pages = [f"<body><div><p>{same}ends with {i}</p></div></body>" for i in range(7)]
+    assert _texts(pages) == [f"{same}ends with {i}" for i in range(7)]
+    copies = [f"<body><!-- {i} --><script>track({i})</script><h1>One</h1><p>page</p><p>only</p></body>" for i in range(7)]
+    assert _texts(copies) == ["One page only"] * 7
+    two = copies + ["<body><h1>Two</h1><p>page</p></body>"]
+    assert _texts(two) == ["One page only"] * 7 + ["Two page"]
+
+
 def test_toxicity_and_quality_learn(spark):
     rng = random.Random(1)
     good = ["stone", "river", "lamp", "cloud", "garden", "winter", "paper", "music"]

@@ -22,8 +22,9 @@ headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 comments; names of classes and ids are a hint there, which drops no body,
 article or main. Inside the chosen elements the constants of required, optional
 and repeated slots go as well where at least ``SEVERAL`` different pages have
-the slot. Every page is then parsed along its host's wrapper and the texts in
-the chosen slots are its main text, block by block.
+the slot, unless nothing in the chosen slots differs. Every page is then parsed
+along its host's wrapper and the texts in the chosen slots are its main text,
+block by block.
 """
 
 from __future__ import annotations
@@ -250,7 +251,7 @@ def page_wrapper(page: str) -> dict:
             if node["k"] is None:
                 node["k"] = set()
                 slots.append(node)
-            node["k"].add(_hash(text[:200]))
+            node["k"].add(_hash(text))
             if shown == TEXT:
                 own.update(text.encode("utf-8", "surrogatepass") + b"\0")
 
@@ -445,9 +446,11 @@ def chosen(wrapper: dict) -> dict:
             elif id(child) in holders or not _not_text(key) or id(child) in roots:
                 own["keep"] = inside or id(child) in roots
                 todo.append((child, own, own["keep"]))
-    for node, role in slots:
-        if len(node["t"]) >= SEVERAL:
-            role["drop"] = frozenset(node["k"])
+    # The host's own text is what stays the same while other text differs; copies of one page say nothing.
+    if any(node["v"] for node, _ in slots):
+        for node, role in slots:
+            if len(node["t"]) >= SEVERAL:
+                role["drop"] = frozenset(node["k"])
     return out
 
 
@@ -462,7 +465,7 @@ def extract(page: str, roles: dict) -> str:
     def end_block():
         text = _block(words) if words else ""
         drop = path[-1]["drop"]
-        if text and not (drop and _hash(text[:200]) in drop):
+        if text and not (drop and _hash(text) in drop):
             blocks.append(text)
         words.clear()
 
