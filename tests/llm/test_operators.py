@@ -302,6 +302,16 @@ def test_html_slots_are_compared_whole():
     assert _texts(two) == ["One page only"] * 7 + ["Two page"]
 
 
+def test_html_elements_nest_to_any_depth():
+    deep = "<div>" * 60 + "<p>cut</p><article><h1>Title</h1><nav>menu</nav><div class=advert>ad</div><p>Own</p></article>"
+    assert _texts([deep]) == ["Title Own"]
+    layout = "<article>" + "<div>" * 60 + "<p>Own</p><nav>menu</nav><script>code()</script><div class=comments>c</div>"
+    assert _texts([layout, layout]) == ["Own"] * 2
+    unclosed = "<body>" + "<div>" * 100_000 + "<p>Own</p><aside>aside</aside>"
+    assert _texts([unclosed, unclosed]) == ["Own"] * 2
+    assert html_extraction.expression(html_extraction.page_wrapper(unclosed)).count("<div>") == 100_000
+
+
 def test_toxicity_and_quality_learn(spark):
     rng = random.Random(1)
     good = ["stone", "river", "lamp", "cloud", "garden", "winter", "paper", "music"]

@@ -24,7 +24,7 @@ article or main. Inside the chosen elements the constants of required, optional
 and repeated slots go as well where at least ``SEVERAL`` different pages have
 the slot, unless nothing in the chosen slots differs. Every page is then parsed
 along its host's wrapper and the texts in the chosen slots are its main text,
-block by block.
+block by block. Nothing recurses, so elements may nest to any depth.
 """
 
 from __future__ import annotations
@@ -66,8 +66,6 @@ NOT_TEXT_NAMES = frozenset(
 MAIN_NAMES = ("article", "content", "main", "post", "entry", "story", "body", "text")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-# A wrapper has at most so many levels; deeper elements count as part of the last one.
-MAX_LEVELS = 40
 # Elements that names of classes and ids never drop.
 CONTAINERS = frozenset("html body article main".split())
 # Different pages (copies count once) that a slot's constants need to count as the host's text.
@@ -262,9 +260,6 @@ def page_wrapper(page: str) -> dict:
         end_block()
         node, order, shown = path[-1]
         if kind == "open":
-            if len(path) > MAX_LEVELS:
-                path.append(path[-1])
-                continue
             child = node["c"].setdefault(value, _node())
             if value in order:
                 child["r"] = 1
@@ -275,8 +270,7 @@ def page_wrapper(page: str) -> dict:
             path.append((child, {}, _shown(value, shown)))
         else:
             path.pop()
-            if path[-1][0] is not node:
-                _leave(order)
+            _leave(order)
     end_block()
     _leave(path[0][1])
     seen = [int.from_bytes(own.digest(), "big")]
@@ -475,8 +469,7 @@ def extract(page: str, roles: dict) -> str:
                 words.append(value)
         elif kind == "open":
             end_block()
-            here = path[-1]
-            path.append(here if len(path) > MAX_LEVELS else here["c"].get(value, nothing))
+            path.append(path[-1]["c"].get(value, nothing))
         else:
             end_block()
             path.pop()
