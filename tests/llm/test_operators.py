@@ -224,6 +224,19 @@ def test_pii_terms_that_reveal_an_entity(spark):
     assert pii.find(frame(spark, []), ["doc_id"]).count() == 0
 
 
+def test_pii_every_pair_in_a_document_is_scored(spark):
+    far = "the road is long and the day is short " * 20
+    rows = [(0, f"Marlowe wrote this. {far} Ask a.b@c.org. {far} Yes, Marlowe did.", "en", "s"), (1, None, None, None)]
+    rows += [(2 + i, f"{far} a b@ Ask, wrote yes, this did number {i}", "en", "s") for i in range(1500)]
+    rows += [(5000 + i, f"note {i}: Ophelia sees +49 30 7654321, the road", "en", "s") for i in range(2)]
+    rows += [(6000, "Ophelia sees, note", "en", "s"), rows[0]]
+    found = pii.find(frame(spark, rows), ["doc_id", "text"]).filter(F.size("base") + F.size("terms") > 0).collect()
+    assert sorted(r.doc_id for r in found) == [0, 0, 5000, 5001]
+    for r in found:
+        got = [(s.kind, s.start, s.end, s.value) for s in r.terms]
+        assert got == [("revealing", m.start(), m.end(), "marlowe") for m in re.finditer("Marlowe", r.text)]
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p>";</script></head><body>
 <nav><ul><li><a href="/a">Home</a></li><li>News</li></ul></nav><div class="cookie-notice">We use cookies</div>
 <header>Site</header><article><h1>{title}</h1><p>{a}<br>more <b>bo</b>ld &amp; &#228;<p>{b}</p>{extra}

@@ -2,18 +2,22 @@
 
 Base spans are e-mail addresses, IPv4 addresses, payment cards and phone
 numbers, found in whole texts with their code point offsets. Every distinct
-base value is a protected entity. A term (a word of letters) near an entity is
-judged by what the corpus says: with ``n`` distinct texts, of which ``n_c`` hold the
-entity, ``n_t`` the term and ``n_ct`` the term near the entity,
+base value is a protected entity. Every term (a word of letters outside of base
+spans) of a text with an entity is judged by what the corpus says: with ``n``
+distinct texts, of which ``n_c`` hold the entity, ``n_t`` the term and ``n_ct`` both,
 
     disclosure = PMI(c; t) / IC(c)
                = log(n * n_ct / (n_c * n_t)) / log(n / n_c)
 
-is 1 when the term occurs nowhere but near the entity (it reveals all of the
-entity's information) and 0 when they are independent. Terms seen near the
-entity in ``MIN_CONTEXTS`` different contexts at least are removed from
-``REMOVE`` on and generalised from ``GENERALISE`` on, wherever they stand near it.
-Exact copies count once. All counts cover the whole corpus.
+is 1 when the term occurs nowhere but with the entity (it reveals all of the
+entity's information) and 0 when they are independent. The smoothed estimate
+supposes ``SMOOTH`` more texts with the term and without the entity, so what a
+single text says counts by the size of the corpus. A term whose smoothed
+disclosure reaches ``GENERALISE`` (the plain one, from ``MIN_CONTEXTS`` common texts
+on) is removed if its plain disclosure reaches ``REMOVE`` and generalised if not,
+wherever it stands in a text with the entity. Exact copies count once. All
+counts cover the whole corpus. Entities that stand in the same texts have the
+same disclosures and are scored as one group.
 
 DataFrame functions only. Offsets come from the pieces between the matches, so
 a text is read by each pattern twice and never per character.
@@ -21,7 +25,7 @@ a text is read by each pattern twice and never per character.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import broadcast_if_small, stored
@@ -35,8 +39,8 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TERM = r"\p{L}[\p{L}\p{M}]{2,}"
 KINDS = ("email", "ip", "card", "phone")
 
-NEAR = 64           # code points before and after an entity
-MIN_CONTEXTS = 3
+SMOOTH = 1.0
+MIN_CONTEXTS = 3    # common texts from which the plain estimate is taken
 GENERALISE, REMOVE = 0.9, 0.999
 SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
@@ -106,49 +110,85 @@ def _named(kind: str):
                               s["value"].alias("value"))
 
 
-def near_terms(text: Column, spans: Column) -> Column:
-    """(entity, term, start, end, context) for every term near a base span and outside of all."""
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with spaces in place of the spans, at unchanged offsets."""
 
-    def around(s: Column) -> Column:
-        first = F.greatest(s["start"] - F.lit(NEAR), F.lit(0))
-        length = s["end"] + F.lit(NEAR) - first
-        context = F.substring(text, first + F.lit(1), length)
-        whole = lambda t: (((t["start"] > 0) | (first == 0))  # noqa: E731  not cut by the window's edge
-                           & ((t["end"] < F.length(context)) | (first + t["end"] >= F.length(text))))
-        free = lambda t: ~F.exists(spans, lambda o: (o["start"] < first + t["end"]) & (first + t["start"] < o["end"]))
-        terms = F.filter(found(context, TERM, F.lit(True)), lambda t: whole(t) & free(t))
-        return F.transform(terms, lambda t: F.struct(
-            s["value"].alias("entity"), F.lower(t["value"]).alias("term"), (first + t["start"]).alias("start"),
-            (first + t["end"]).alias("end"), F.xxhash64(context).alias("context")))
+    def step(acc: Column, s: Column) -> Column:
+        end = F.greatest(acc["at"], s["end"])
+        begin = F.greatest(acc["at"], s["start"])
+        clear = F.concat(acc["out"], F.substring(text, acc["at"] + F.lit(1), begin - acc["at"]), F.repeat(F.lit(" "), end - begin))
+        return F.struct(end.alias("at"), clear.alias("out"))
+
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    return F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
+                       lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + F.lit(1), F.length(text))))
+
+
+def _words(text: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"({TERM})"), F.lit(1))
 
-    return F.flatten(F.transform(spans, around))
+
+def _terms(text: str) -> Column:
+    return F.array_distinct(F.transform(_words(text), F.lower))
+
+
+def term_counts(texts: DataFrame) -> tuple[int, DataFrame]:
+    """The number of distinct texts, and ``term``, ``n_t``; ``texts``: __text_hash and __text of all documents.
+
+    Each of a text's copies counts as its share of one, so no (text, term) pair is shuffled.
+    """
+    copies = stored(texts.groupBy("__text_hash").agg(F.count(F.lit(1)).alias("copies")), "pii_copies")
+    repeated = broadcast_if_small(copies.filter(F.col("copies") > 1), F.lit(24))
+    share = F.lit(1.0) / F.coalesce("copies", F.lit(1))
+    counted = texts.join(repeated, "__text_hash", "left") \
+        .select(share.alias("share"), F.explode(_terms("__text")).alias("term")) \
+        .groupBy("term").agg(F.round(F.sum("share")).alias("n_t"))
+    return copies.count(), counted
 
 
-def disclosing(found_rows: DataFrame, texts: DataFrame, min_contexts: int = MIN_CONTEXTS,
-               generalise: float = GENERALISE) -> DataFrame:
-    """``entity``, ``term``, ``disclosure`` of the terms that exceed ``generalise``.
+def disclosing(found_texts: DataFrame, texts: DataFrame, min_contexts: int = MIN_CONTEXTS,
+               generalise: float = GENERALISE, remove: float = REMOVE, smooth: float = SMOOTH) -> DataFrame:
+    """``__key``, ``term``, ``kind`` of the terms that give an entity of their text away.
 
-    ``found_rows``: __text_hash and near (from ``near_terms``), one row per document;
+    ``found_texts``: __key, base and __clean of each distinct text with an entity;
     ``texts``: __text_hash and __text of all documents.
     """
-    pairs = found_rows.select("__text_hash", F.inline("near"))
-    often = pairs.groupBy("entity", "term", "context").agg(F.lit(1).alias("one")) \
-        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts")).filter(F.col("contexts") >= min_contexts)
-    n_ct = pairs.select("entity", "term", "__text_hash").join(often, ["entity", "term"], "left_semi").distinct() \
-        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_ct"))
-    n_ct = stored(n_ct, "pii_pairs")
-    entities = found_rows.select("__text_hash", F.explode(F.transform("base", lambda s: s["value"])).alias("entity")) \
-        .join(n_ct.select("entity").distinct(), "entity", "left_semi").distinct() \
-        .groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
-    # All terms are counted before the join, so it meets one row per term and not one per occurrence.
-    words = F.array_distinct(F.transform(F.regexp_extract_all("__text", F.lit(f"({TERM})"), F.lit(1)), F.lower))
-    n_t = texts.select("__text_hash", F.explode(words).alias("term")).distinct() \
-        .groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n = texts.select("__text_hash").distinct().count()
-    ratio = F.log(F.lit(float(max(n, 1))) * F.col("n_ct") / F.col("n_c") / F.col("n_t")) \
-        / F.log(F.lit(float(max(n, 1))) / F.col("n_c"))
-    return n_ct.join(entities, "entity").join(n_t, "term").filter(F.col("n_c") < n) \
-        .select("entity", "term", ratio.alias("disclosure")).filter(F.col("disclosure") >= generalise)
+    n, n_t = term_counts(texts)
+    holds = found_texts.select("__key", F.explode(F.array_distinct(F.transform("base", lambda s: s["value"]))).alias("entity"))
+    # Which texts an entity stands in, as a number of fixed size.
+    same = [F.bit_xor(F.xxhash64("__key", F.lit(i))).alias(f"same_{i}") for i in (1, 2)]
+    groups = stored(holds.groupBy("entity").agg(F.count(F.lit(1)).cast("double").alias("n_c"), *same), "pii_entities")
+    group = ["n_c", "same_1", "same_2"]
+    members = holds.join(broadcast_if_small(groups, F.octet_length("entity") + F.lit(48)), "entity") \
+        .filter(F.col("n_c") < n).select("__key", *group).distinct()
+    ic = F.log(F.lit(float(max(n, 1))) / F.col("n_c"))
+    # As n_ct <= n_c, terms beyond this count stay below the limit whatever n_ct is.
+    most = F.col("n_c") * F.exp(ic * (1 - generalise)) * 1.000001
+    pairs = stored(found_texts.select("__key", F.explode(_terms("__clean")).alias("term")).join(n_t, "term")
+                   .join(members, "__key").filter(F.col("n_t") <= most), "pii_pairs")
+
+    def disclosure(more: float) -> Column:
+        return F.log(F.lit(float(max(n, 1))) * F.col("n_ct") / F.col("n_c") / (F.col("n_t") + more)) / ic
+
+    scored = pairs.groupBy("term", "n_t", *group).agg(F.count(F.lit(1)).alias("n_ct")) \
+        .withColumn("plain", disclosure(0.0)).withColumn("smoothed", disclosure(smooth))
+    told = scored.filter((F.col("smoothed") >= generalise)
+                         | ((F.col("n_ct") >= min_contexts) & (F.col("plain") >= generalise))) \
+        .select("term", *group, "plain")
+    kind = F.when(F.max("plain") >= remove, "revealing").otherwise("term")
+    return pairs.join(told, ["term", *group]).groupBy("__key", "term").agg(kind.alias("kind"))
+
+
+def places(found_texts: DataFrame) -> DataFrame:
+    """``__key``, ``term``, ``start``, ``end`` of every word of letters in ``__clean`` (one row per __key)."""
+    parts = F.arrays_zip(F.split("__clean", TERM, -1).alias("gap"), _words("__clean").alias("word"))
+    lengths = F.transform(parts, lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["word"]).alias("size"),
+                                                    F.lower(x["word"]).alias("term")))
+    so_far = Window.partitionBy("__key").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("x.gap") + F.col("x.size")).over(so_far).cast("int")
+    return found_texts.select("__key", F.posexplode(lengths).alias("pos", "x")).filter(F.col("x.term").isNotNull()) \
+        .select("__key", "x.term", "x.size", end.alias("end")) \
+        .select("__key", "term", (F.col("end") - F.col("size")).alias("start"), "end")
 
 
 def find(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -161,22 +201,20 @@ def find(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str
     overlap. Offsets are code points, the end is exclusive.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), text))
-    spans = docs.select(*keep, text.alias("__text"), key.alias("__key"), F.xxhash64(text).alias("__text_hash")) \
+    spans = docs.select(*keep, text.alias("__text")).withColumn("__key", F.md5(F.col("__text").cast("binary"))) \
         .withColumn("base", base_spans(F.col("__text"))) \
-        .withColumn("near", F.when(F.size("base") > 0, near_terms(F.col("__text"), F.col("base")))) \
+        .withColumn("__clean", F.when(F.size("base") > 0, _blanked(F.col("__text"), F.col("base")))) \
         .drop("__text")
     spans = stored(spans, "pii_base")
     texts = docs.select(F.xxhash64(text).alias("__text_hash"), text.alias("__text"))
-    told = stored(disclosing(spans.filter(F.size("base") > 0).select("__text_hash", "base", "near"), texts), "pii_told")
-    told = broadcast_if_small(told, F.octet_length("entity") + F.octet_length("term") + F.lit(32))
-    kind = F.when(F.max("disclosure") >= REMOVE, "revealing").otherwise("term")
-    per_doc = spans.filter(F.size("near") > 0).select("__key", F.inline("near")).join(told, ["entity", "term"]) \
-        .groupBy("__key", "start", "end", "term").agg(kind.alias("kind")) \
+    found_texts = stored(spans.filter(F.size("base") > 0).select("__key", "base", "__clean").dropDuplicates(["__key"]),
+                         "pii_found")
+    told = stored(disclosing(found_texts, texts), "pii_told")
+    per_doc = places(found_texts.join(told.select("__key").distinct(), "__key", "left_semi")).join(told, ["__key", "term"]) \
         .groupBy("__key").agg(F.sort_array(F.collect_list(F.struct(
             "start", "end", "kind", F.col("term").alias("value")))).alias("terms"))
     per_doc = broadcast_if_small(stored(per_doc, "pii_doc_terms"), F.size("terms") * 48 + F.lit(64))
-    out = spans.drop("near", "__text_hash").join(per_doc, "__key", "left").drop("__key")
+    out = spans.drop("__clean").join(per_doc, "__key", "left").drop("__key")
     ordered = F.transform("terms", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"),
                                                       s["end"].alias("end"), s["value"].alias("value")))
     return out.withColumn("terms", F.coalesce(ordered, F.array().cast(f"array<{SPAN}>")))
