@@ -237,6 +237,15 @@ def test_pii_every_pair_in_a_document_is_scored(spark):
         assert got == [("revealing", m.start(), m.end(), "marlowe") for m in re.finditer("Marlowe", r.text)]
 
 
+def test_pii_patterns_do_not_recurse(spark):
+    texts = ["7" * 1_000_000, "1 " * 500_000 + "x", "a@b" + ".c-d" * 100_000, "a\U00010400" * 100_000]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r.s for r in df.select(pii.as_text(pii.base_spans(F.col("text"))).alias("s")).collect()]
+    assert sorted(got) == ["", "", "", f"email:0:{len(texts[2])}"]
+    found = pii.found(F.col("text"), pii.TERM, F.lit(True))
+    assert [r.n for r in df.filter("text like 'a\U00010400%'").select(found[0]["end"].alias("n")).collect()] == [200_000]
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p>";</script></head><body>
 <nav><ul><li><a href="/a">Home</a></li><li>News</li></ul></nav><div class="cookie-notice">We use cookies</div>
 <header>Site</header><article><h1>{title}</h1><p>{a}<br>more <b>bo</b>ld &amp; &#228;<p>{b}</p>{extra}

@@ -32,11 +32,13 @@ from tidelog.llm.common import broadcast_if_small, stored
 
 # Fixed patterns. Possessive runs and the look-behinds save retries inside a run of
 # characters, where a match would have begun at the run's start (or the last match's end).
-EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+# A possessive group is matched in a loop; a greedy one recurses for each round and overflows
+# the stack on a few thousand digits or labels. Nothing follows it, so the matches are the same.
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)"
-CARD = r"[0-9](?:[\x20-]?[0-9])+"
+CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-TERM = r"\p{L}[\p{L}\p{M}]{2,}"
+TERM = r"\p{L}[\p{L}\p{M}]{2,}+"
 KINDS = ("email", "ip", "card", "phone")
 
 SMOOTH = 1.0
