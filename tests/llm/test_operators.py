@@ -400,6 +400,38 @@ def test_quality_rules(spark, rows):
     assert quality_rules.judge(frame(spark, []), ["doc_id"]).count() == 0
 
 
+def test_quality_references_hold_the_most_common_words(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(600)]
+    many = [(i, " ".join(rng.choice(words) for _ in range(40)), f"l{i % 3}" if i % 3 else None, "s") for i in range(90)]
+    many += [(100, "long " * 200_000, "l1", "s"), (101, "rare words here", "l9", "s"), (102, None, "l1", "s"), (103, " ", "l8", "s")]
+    sums, n = defaultdict(Counter), Counter()
+    for _, text, lang, _ in many:
+        tokens = (text or "").split()
+        n[lang or ""] += bool(tokens)
+        for w, k in Counter(tokens).items():
+            sums[lang or ""][w] += round(quality_rules.UNIT * k / len(tokens))
+    kept = []
+    for parts in (1, 7):
+        df = frame(spark, many).repartition(parts)
+        refs = {r["lang"]: quality_rules.reference(r["ref"]) for r in quality_rules.references(df).collect()}
+        assert set(refs) == {lang for lang in n if n[lang]}
+        for lang, (common, hist, _) in refs.items():
+            want = sorted(sorted(sums[lang], key=lambda w: (-sums[lang][w], w))[:50])
+            assert [w.decode() for w in common] == want
+            cells = [sums[lang][w] / n[lang] / quality_rules.UNIT for w in want]
+            assert np.allclose(hist, np.array([*cells, max(0.0, 1 - sum(cells))]), atol=1e-5)
+        kept.append(sorted((r.doc_id, r.char_distance, r.word_distance, r.kept) for r in quality_rules.judge(
+            df, ["doc_id"], min_chars=5, min_words=2).collect() if r.doc_id < 102))
+    limit, quality_rules.BROADCAST_MAX_BYTES = quality_rules.BROADCAST_MAX_BYTES, 0
+    try:
+        kept.append(sorted((r.doc_id, r.char_distance, r.word_distance, r.kept) for r in quality_rules.judge(
+            df, ["doc_id"], min_chars=5, min_words=2).collect() if r.doc_id < 102))
+    finally:
+        quality_rules.BROADCAST_MAX_BYTES = limit
+    assert kept[0] == kept[1] == kept[2]
+
+
 def test_js_distance():
     p, q = np.array([0.5, 0.5, 0]), np.array([0, 0, 1.0])
     assert quality_rules.js_distance(p, p) == 0 and quality_rules.js_distance(p, q) == pytest.approx(1)

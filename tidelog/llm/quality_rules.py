@@ -13,14 +13,14 @@ lengths are not judged by that histogram (a short text has no stable one).
 References cover all rows: a reference is the mean of the documents' own
 histograms, so one long text weighs no more than a short one. Means are
 kept as whole millionths and counts, so they do not depend on the order of
-summation. Common words come from two passes: a word that makes up at least
-``MIN_SHARE`` of a language's words does so in one batch at least, so the union
-of each batch's frequent words holds every such word; the second pass counts
-the candidates exactly.
+summation. Every word of every language is counted: workers add up the rows of a
+batch, Spark the batches of a word, and only the common words of each language
+are kept.
 """
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,15 +29,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import small_batches
+from tidelog.llm.common import BROADCAST_MAX_BYTES, small_batches, stored
 
 CLASSES = ("lower", "upper", "digit", "space", "stop", "symbol", "other_ascii", "beyond_ascii")
 COMMON_WORDS = 50
-MIN_SHARE = 0.002
-# Languages with an own reference; the rest share one that pools them.
-MAX_LANGUAGES = 2_000
 UNIT = 1_000_000
-POOLED = "\x00pooled"
+# Sums that a worker holds before it hands them on.
+HELD = 500_000
 
 # Limits and minimum lengths of the two histograms.
 CHAR_LIMIT, WORD_LIMIT = 0.26, 0.34
@@ -111,74 +109,55 @@ def _language(lang) -> str:
     return lang if isinstance(lang, str) else ""
 
 
-def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        counts: dict[str, Counter] = {}
-        for lang, text in zip(batch["lang"], batch["text"]):
-            if text:
-                counts.setdefault(_language(lang), Counter()).update(text.encode().split())
-        rows = [(lang, w.decode()) for lang, c in counts.items()
-                for least in [MIN_SHARE * sum(c.values())] for w, n in c.items() if n >= least]
-        yield pd.DataFrame(rows, columns=["lang", "word"])
+def _sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sums of the documents' histograms, as (lang, kind, key, n) of kinds doc, class and word."""
 
+    def rows(total):
+        return pd.DataFrame([(*k, v) for k, v in total.items()], columns=["lang", "kind", "key", "n"])
 
-def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict:
-    """``{language: (common words, word histogram, class histogram)}`` over all rows.
-
-    A null language is a language of its own. What reaches the driver is one
-    row per class or common word of at most ``MAX_LANGUAGES`` languages.
-    """
+    total: Counter = Counter()
+    for batch in batches:
+        for lang, text in zip(batch["lang"], batch["text"]):
+            lang, data = _language(lang), text.encode()
+            tokens = data.split()
+            if not tokens:
+                continue
+            classes = char_counts(data)
+            total[lang, "doc", ""] += 1
+            for name, n in zip(CLASSES, classes):
+                total[lang, "class", name] += round(UNIT * n / classes.sum())
+            for w, n in Counter(tokens).items():
+                total[lang, "word", w.decode()] += round(UNIT * n / len(tokens))
+            if len(total) > HELD:
+                yield rows(total)
+                total = Counter()
+    yield rows(total)
+
+
+def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """``lang`` and ``ref`` (array of kind, key, n: the documents, the class sums and
+    the ``COMMON_WORDS`` largest word sums) over all rows. A null language is the empty one."""
     small_batches(docs.sparkSession)
-    sc = docs.sparkSession.sparkContext
     texts = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")) \
         .filter(F.length("text") > 0)
-    ranked = texts.groupBy(F.coalesce("lang", F.lit("")).alias("lang")).count() \
-        .orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    known = {r["lang"] for r in ranked}
-    pool = sc.broadcast(known)
-
-    def own(lang):
-        return _language(lang) if _language(lang) in pool.value else POOLED
+    summed = texts.mapInPandas(_sums, "lang string, kind string, key string, n bigint") \
+        .groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
+    # The first of each part of a language, then of the language: no task sorts a language's words.
+    summed = summed.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(64)))
+    for keys in (["lang", "kind", "part"], ["lang", "kind"]):
+        top = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("n"), "key"))
+        summed = summed.withColumn("place", top).filter(F.col("place") <= COMMON_WORDS).drop("place")
+    return summed.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("kind", "key", "n"))).alias("ref"))
 
-    def candidates(batches):
-        return _candidates(b.assign(lang=[own(x) for x in b["lang"]]) for b in batches)
 
-    found: dict[str, set[bytes]] = {}
-    for r in texts.mapInPandas(candidates, "lang string, word string").distinct().collect():
-        found.setdefault(r["lang"], set()).add(r["word"].encode())
-    words = sc.broadcast(found)
-
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: Counter = Counter()
-        for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"]):
-                lang, data = own(lang), text.encode()
-                tokens = data.split()
-                if not tokens:
-                    continue
-                classes = char_counts(data)
-                total[lang, "doc", ""] += 1
-                for name, n in zip(CLASSES, classes):
-                    total[lang, "class", name] += round(UNIT * n / classes.sum())
-                keep = words.value.get(lang, set())
-                for w, n in Counter(filter(keep.__contains__, tokens)).items():
-                    total[lang, "word", w.decode()] += round(UNIT * n / len(tokens))
-        yield pd.DataFrame([(*k, v) for k, v in total.items()], columns=["lang", "kind", "key", "n"])
-
-    summed = texts.mapInPandas(sums, "lang string, kind string, key string, n bigint") \
-        .groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
-    top = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key"))
-    rows = summed.withColumn("place", top).filter(F.col("place") <= COMMON_WORDS).collect()
-    out = {}
-    for lang in {r["lang"] for r in rows}:
-        mine = [r for r in rows if r["lang"] == lang]
-        docs_n = next(r["n"] for r in mine if r["kind"] == "doc")
-        cells = {r["key"]: r["n"] / docs_n / UNIT for r in mine if r["kind"] == "class"}
-        classes = np.array([cells.get(c, 0.0) for c in CLASSES])
-        common = sorted((r["key"].encode(), r["n"] / docs_n / UNIT) for r in mine if r["kind"] == "word")
-        hist = np.array([x for _, x in common] + [max(0.0, 1 - sum(x for _, x in common))])
-        out[lang] = ([w for w, _ in common], hist / hist.sum(), classes / classes.sum())
-    return out
+def reference(ref) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(common words, word histogram, class histogram) of one language's sums."""
+    docs_n = next(n for kind, _, n in ref if kind == "doc")
+    cells = {key: n / docs_n / UNIT for kind, key, n in ref if kind == "class"}
+    classes = np.array([cells.get(c, 0.0) for c in CLASSES])
+    common = sorted((key.encode(), n / docs_n / UNIT) for kind, key, n in ref if kind == "word")
+    hist = np.array([x for _, x in common] + [max(0.0, 1 - sum(x for _, x in common))])
+    return [w for w, _ in common], hist / hist.sum(), classes / classes.sum()
 
 
 def judge(docs: DataFrame, keep: list[str], char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT,
@@ -192,19 +171,34 @@ def judge(docs: DataFrame, keep: list[str], char_limit: float = CHAR_LIMIT, word
     Repeated rows are judged each; an empty table gives an empty result;
     columns not named are not read.
     """
-    refs = docs.sparkSession.sparkContext.broadcast(references(docs, lang_col, text_col))
+    refs = stored(references(docs, lang_col, text_col), "references")
+    # Sums as text, so that a language's cross to the workers as one string.
+    refs = refs.select(F.col("lang").alias("__lang"), F.to_json("ref").alias("__ref"))
+    size = refs.agg(F.sum(F.octet_length("__ref")).alias("b")).first()["b"] or 0
+    few = size <= BROADCAST_MAX_BYTES
+    shared = docs.sparkSession.sparkContext.broadcast({r["__lang"]: r["__ref"] for r in refs.collect()} if few else {})
     columns = [F.col(c) for c in keep]
     schema = docs.select(*columns).schema.simpleString()[len("struct<"):-1]
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_distance", "word_distance")
     out = ", ".join([schema, *(f"__{n} bigint" for n in names[:5]), *(f"__{n} double" for n in names[5:])])
 
-    def row(lang, text):
+    known: dict[str, tuple] = {}
+
+    def of(lang, own):
+        if lang not in known:
+            text = own if own is not None else shared.value.get(lang)
+            if len(known) > 5_000:
+                known.clear()
+            known[lang] = reference([(x["kind"], x["key"], x["n"]) for x in json.loads(text)]) if text else None
+        return known[lang]
+
+    def row(lang, text, own):
         if not text:
             return (0, 0, 0, 0, 0, None, None)
         data = text.encode()
         words = data.split()
         chars = words_ = None
-        ref = refs.value.get(_language(lang)) or refs.value.get(POOLED)
+        ref = of(_language(lang), own)
         if ref and len(text) >= min_chars and words:
             classes = char_counts(data)
             chars = js_distance(classes / classes.sum(), ref[2])
@@ -216,13 +210,22 @@ def judge(docs: DataFrame, keep: list[str], char_limit: float = CHAR_LIMIT, word
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [row(*x) for x in zip(batch.pop("__lang"), batch.pop("__text"))]
+            rows = [row(*x) for x in zip(batch.pop("__lang"), batch.pop("__text"), batch.pop("__ref"))]
             for i, n in enumerate(names):
                 batch[f"__{n}"] = pd.array([r[i] for r in rows], dtype="Int64" if i < 5 else "Float64")
             yield batch
 
-    df = docs.select(*columns, F.col(lang_col).cast("string").alias("__lang"),
-                     F.col(text_col).cast("string").alias("__text")).mapInPandas(run, out)
+    rows_in = docs.select(*columns, F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("__lang"),
+                          F.col(text_col).cast("string").alias("__text"))
+    if few:
+        rows_in = rows_in.withColumn("__ref", F.lit(None).cast("string"))
+    else:
+        # Languages are joined in pieces, so that none goes to one task.
+        pieces = 64
+        spread = refs.withColumn("__piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
+        rows_in = rows_in.withColumn("__piece", F.pmod(F.xxhash64("__text"), F.lit(pieces)).cast("int")) \
+            .join(spread, ["__lang", "__piece"], "left").select(*columns, "__lang", "__text", "__ref")
+    df = rows_in.mapInPandas(run, out)
     df = df.withColumnsRenamed({f"__{n}": n for n in names})
     failed = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
     far = (F.coalesce(F.col("char_distance"), F.lit(0.0)) > char_limit) \
