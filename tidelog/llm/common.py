@@ -53,6 +53,39 @@ def stored(df: DataFrame, name: str, *cluster_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Work tables of one operator in a folder of their own below the shared folder.
+
+    ``drop`` deletes tables that nothing reads any more, ``close`` the folder.
+    Results must not read a table that is gone: store them elsewhere first.
+    """
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.root, self.paths = spark, work_dir(spark, name), {}
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """As ``stored``, in this folder."""
+        path = os.path.join(self.root, f"{len(self.paths)}-{name}")
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (path, out)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table_ in tables:
+            _delete(self.spark, self.paths[id(table_)][0])
+
+    def close(self) -> None:
+        _delete(self.spark, self.root)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whichever file system holds it."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def broadcast_if_small(df: DataFrame, n_bytes: Column, limit: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Hint a broadcast of ``df`` only when the sum of ``n_bytes`` over its rows
     is within ``limit``; otherwise the join stays a shuffle join. Costs one job

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import (byte_bpe, decontamination, html_extraction, ngram_join, pii, quality_rules, quality_trees,
-                         sharding, token_rollup, toxicity)
+from tidelog.llm import (byte_bpe, conversation_repair, decontamination, html_extraction, lexical_search, minhash,
+                         ngram_join, pii, quality_rules, quality_trees, sharding, token_rollup, toxicity)
 from tidelog.llm.common import id_bucket, table, work_dir
 
 
@@ -95,11 +95,28 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rollup.totals(spark, root)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.report(conversations, conversation_repair.damage(conversations))
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_decontamination, op4_shards, op5_pii, op6_ngram_join, op7_main_text, op8_quality, op9_rules, op10_token_counts)
+    f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_decontamination, op4_shards, op5_pii, op6_ngram_join,
+                            op7_main_text, op8_quality, op9_rules, op10_token_counts, op11_lexical_search,
+                            op12_conversation_repair, op13_minhash)
 }
 
-# Words of op3, and of the two tokenizers of op10, as DuckDB expressions of ``text``.
+# Words of op3, terms of op11, and the two tokenizers of op10, as DuckDB expressions of ``text``.
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
+         r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _SPACE = r"len(regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+'))"
@@ -121,6 +138,21 @@ items AS (SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS
 SELECT doc_id, len(w) AS n_words, coalesce(pos.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, pos.n IS NOT NULL AS contaminated
 FROM d LEFT JOIN pos USING (r) LEFT JOIN items USING (r)""",
+    "op11_lexical_search": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+one AS (SELECT count(*) AS nd, sum(len(w)) AS nt FROM d WHERE len(w) > 0),
+i AS (SELECT row_number() OVER () AS q, item_id, list_distinct({_TERMS}) AS w FROM benchmark),
+want AS (SELECT q, item_id, unnest(w) AS t FROM i),
+have AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM want) GROUP BY r, t),
+weight AS (SELECT t, CAST(floor(1000 * ln((2 * nd + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+           FROM have, one GROUP BY t, nd),
+value AS (SELECT r, t, (1000000000 * tf) // (1000 * tf + 8 * CAST(10 + (90 * len(d.w) * nd) // nt AS BIGINT)) AS v
+          FROM have JOIN d USING (r), one),
+scored AS (SELECT q, item_id, doc_id, r, CAST(sum(weight.w * v) AS BIGINT) AS score
+           FROM want JOIN weight USING (t) JOIN value USING (t) JOIN d USING (r) GROUP BY q, item_id, doc_id, r),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+           FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
     "op10_token_counts": f"""
 WITH d AS (SELECT doc_id, source, lang, CASE WHEN doc_id % 7 = 0
              THEN coalesce(text, '') || chr(10) || 'Revised edition, 2nd.' ELSE text END AS text FROM documents),
