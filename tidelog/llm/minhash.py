@@ -14,8 +14,8 @@ sketch is the ``k`` smallest hashes. Two documents link when
    keeps the values of common passages out of the lists.
 3. In every list the hub, the member whose values are most common, meets all others.
    Its near copies link to it without pairs among themselves.
-4. Lists whose members are in several components after that are gone through in
-   blocks of bounded size. The first pass lets each block name a spanning forest of
+4. Lists whose members are in several components after that are cut by set size, and
+   what is still in several components is gone through in blocks of bounded size. The first pass lets each block name a spanning forest of
    its best candidates, at most one pair per member; the second names the candidates
    that are still between different components.
 5. A pair is a candidate when sizes, the union sketch's estimate and the hashed
@@ -26,7 +26,7 @@ sketch is the ``k`` smallest hashes. Two documents link when
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import comb
+from math import comb, log
 
 import numpy as np
 import pandas as pd
@@ -118,7 +118,7 @@ def _cell_counts(sketches: DataFrame) -> np.ndarray:
 
 
 def _postings(classes: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """``token``, ``signature``, ``common``: the rarest values of every class's sketch."""
+    """``token``, ``signature``, ``n``, ``common``: the rarest values of every class's sketch."""
     shared = classes.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,9 +132,9 @@ def _postings(classes: DataFrame, counts: np.ndarray, percent: int) -> DataFrame
                 commons.append(float(np.log1p(held).mean()))
             times = [len(t) for t in tokens]
             yield pd.DataFrame({"token": np.concatenate(tokens), "signature": np.repeat(batch["signature"].to_numpy(), times),
-                                "common": np.repeat(commons, times)})
+                                "n": np.repeat(batch["n"].to_numpy(), times), "common": np.repeat(commons, times)})
 
-    return classes.select("signature", "n", "sketch").mapInPandas(run, "token bigint, signature binary, common double")
+    return classes.select("signature", "n", "sketch").mapInPandas(run, "token bigint, signature binary, n bigint, common double")
 
 
 def most_difference(percent: int, nx, ny):
@@ -202,7 +202,7 @@ def _block_candidates(blocks: DataFrame, percent: int, forest: bool) -> DataFram
         first = np.append(True, (key[1:] != key[:-1]).any(axis=1))
         block = np.cumsum(first) - 1
         end = np.append(np.flatnonzero(first)[1:], len(rows))[block]
-        n, side = rows["n"].to_numpy(), rows["side"].to_numpy()
+        n, side, low = rows["n"].to_numpy(), rows["side"].to_numpy(), rows["low"].to_numpy()
         name, comp = rows["signature"].to_numpy(), pd.factorize(rows["component"])[0]
         counts, sketches = _counts(rows["counts"]), _padded(rows["sketch"])
         found = []
@@ -213,7 +213,7 @@ def _block_candidates(blocks: DataFrame, percent: int, forest: bool) -> DataFram
             if len(x) == 0:
                 break
             y = x + lag
-            open_ = (comp[x] != comp[y]) & ((side[x] == 0) | (side[x] != side[y]))
+            open_ = (comp[x] != comp[y]) & ((side[x] == 0) | (side[x] != side[y])) & ~(low[x] & low[y])
             u, v = x[open_], y[open_]
             ok = allowed(n[u], n[v], counts[u], counts[v], percent)
             u, v = u[ok], v[ok]
@@ -245,14 +245,14 @@ def _block_candidates(blocks: DataFrame, percent: int, forest: bool) -> DataFram
         held = None
         for batch in batches:
             batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            key = batch[["token", "i", "j"]].to_numpy()
+            key = batch[["token", "span", "i", "j"]].to_numpy()
             cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
             last = int(cut[-1]) if len(cut) else 0
             if last:
                 yield of_blocks(batch.iloc[:last], key[:last])
             held = batch.iloc[last:]
         if held is not None and len(held):
-            yield of_blocks(held, held[["token", "i", "j"]].to_numpy())
+            yield of_blocks(held, held[["token", "span", "i", "j"]].to_numpy())
 
     return blocks.mapInPandas(run, "a binary, b binary").distinct()
 
@@ -282,22 +282,31 @@ def _confirmed(rows: DataFrame, classes: DataFrame, pairs: DataFrame, width: int
     return links
 
 
-def _live(joint: DataFrame, label: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of the lists that are in several components, by block: every unordered pair of
-    pieces of a list is one block, and a member goes to each block of its piece."""
-    labelled = joint.join(label.withColumnRenamed("id", "signature"), "signature", "left") \
-        .withColumn("component", F.coalesce("component", "signature"))
-    open_lists = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                               F.count(F.lit(1)).alias("members")).filter("lo < hi")
-    pieces = labelled.drop("members").join(open_lists.select("token", "members"), "token") \
+def _live(joint: DataFrame, label: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Members of the lists that are in several components, by block.
+
+    A list is cut by set size first: linked sets are of one or of neighbouring spans of
+    sizes, so a member stands in its own span and, as ``low``, in the next; two low ones
+    meet elsewhere. Every unordered pair of pieces of a span is one block, and a member
+    goes to each block of its piece.
+    """
+    width = F.lit(log(100 / percent) * 1.0001 + 1e-9)
+    spans = joint.join(label.withColumnRenamed("id", "signature"), "signature", "left") \
+        .withColumn("component", F.coalesce("component", "signature")) \
+        .withColumn("own", F.floor(F.log("n") / width)) \
+        .withColumn("span", F.explode(F.array(F.col("own"), F.col("own") + 1))).withColumn("low", F.col("own") < F.col("span"))
+    open_spans = spans.groupBy("token", "span").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("low").alias("low"),
+        F.count(F.lit(1)).alias("members")).filter("lo < hi AND NOT low")
+    pieces = spans.join(open_spans.select("token", "span", "members"), ["token", "span"]) \
         .withColumn("cuts", F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")) \
         .withColumn("piece", F.pmod(F.xxhash64("signature"), F.col("cuts")).cast("int"))
     return pieces.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))) \
         .withColumn("i", F.least("piece", "other")).withColumn("j", F.greatest("piece", "other")) \
         .withColumn("side", F.when(F.col("i") == F.col("j"), 0).when(F.col("piece") == F.col("i"), -1).otherwise(1)) \
-        .join(classes.select("signature", "n", "sketch", "counts"), "signature") \
-        .select("token", "i", "j", "side", "signature", "n", "component", "sketch", "counts") \
-        .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+        .join(classes.select("signature", "sketch", "counts"), "signature") \
+        .select("token", "span", "i", "j", "side", "low", "signature", "n", "component", "sketch", "counts") \
+        .repartition("token", "span", "i", "j").sortWithinPartitions("token", "span", "i", "j")
 
 
 def near_duplicates(docs: DataFrame, width: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -327,24 +336,25 @@ def near_duplicates(docs: DataFrame, width: int, percent: int, id_col: str = "do
 
     postings = _postings(classes, _cell_counts(classes.select("sketch")), percent)
     lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("members"),
-                                          F.max(F.struct("common", "signature")).alias("top")) \
-        .filter("members > 1").select("token", "members", F.col("top.signature").alias("hub"))
-    joint = work.stored(postings.join(lists, "token").select("token", "signature", "members", "hub"), "joint")
+                                          F.max(F.struct("common", "signature", "n")).alias("top")) \
+        .filter("members > 1").select("token", F.col("top.signature").alias("hub"), F.col("top.n").alias("n_hub"))
+    joint = work.stored(postings.join(lists, "token").select("token", "signature", "n", "hub", "n_hub"), "joint")
 
     def side(name: str) -> DataFrame:
         return classes.select(F.col("signature").alias(name), F.col("n").alias(f"n{name}"),
                               F.col("sketch").alias(f"k{name}"), F.col("counts").alias(f"c{name}"))
 
-    stars = joint.filter("signature <> hub").select(F.least("signature", "hub").alias("a"),
+    sizes = F.least("n", "n_hub") * 100 >= F.greatest("n", "n_hub") * percent
+    stars = joint.filter("signature <> hub").filter(sizes).select(F.least("signature", "hub").alias("a"),
                                                     F.greatest("signature", "hub").alias("b")).distinct() \
         .join(side("a"), "a").join(side("b"), "b")
     candidates = work.stored(_star_candidates(stars, percent), "star_candidates")
     links = _confirmed(rows, classes, candidates, width, percent, work)
     label = components(links)
-    members = joint.select("token", "signature", "members")
+    members = joint.select("token", "signature", "n")
     for forest in (True, False):
         tried = candidates
-        found = _block_candidates(_live(members, label, classes), percent, forest).join(tried, ["a", "b"], "left_anti")
+        found = _block_candidates(_live(members, label, classes, percent), percent, forest).join(tried, ["a", "b"], "left_anti")
         candidates = work.stored(found, "candidates")
         links = work.stored(links.unionByName(_confirmed(rows, classes, candidates, width, percent, work)), "links")
         label = components(links)
