@@ -65,7 +65,7 @@ def test_retry_property(spark, sf_small):
     assert d[0] == 100.0 and d[1] == 150.0
 
 
-def test_read_outcomes_and_append(spark):
+def test_read_outcomes(spark):
     body = ('[{"eid":"11111111-2222-3333-4444-555555555555","publishing_status":"failed","step":"validating",'
             '"detail":"bad"},{"publishing_status":"submitted","step":"none"},{"publishing_status":"lost"}]')
     df = spark.createDataFrame([(1, body)], "call int, body string")
@@ -73,13 +73,6 @@ def test_read_outcomes_and_append(spark):
     assert [r.publishing_status for r in out] == ["failed", "submitted", "lost"]
     assert out[0].item_error is None and out[1].eid is None
     assert out[2].item_error == "$.publishing_status: not one of submitted,failed,aborted"
-    log = spark.createDataFrame([("t", "0", 4)], "event_type string, partition string, offset long")
-    new = spark.createDataFrame([("t", "0", 2, 10, "submitted"), ("t", "0", 1, 11, "submitted"),
-                                 ("t", "1", 3, 12, "submitted"), ("t", "0", 0, 13, "failed")],
-                                "event_type string, partition string, ts long, event_id long, "
-                                "publishing_status string")
-    got = sorted((r.partition, r.event_id, r.offset) for r in PUB.append_to_log(log, new).collect())
-    assert got == [("0", 10, 6), ("0", 11, 5), ("1", 12, 0)]
 
 
 def test_whole_batch_retry(spark, sf_small):

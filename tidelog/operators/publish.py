@@ -11,6 +11,8 @@ caller, so per-batch windows never hold more than one request.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,7 @@ from pyspark.sql import types as T
 from tidelog import schemas as S
 from tidelog.functions import strict
 from tidelog.operators.envelope import event_id
+from tidelog.sources.stored_log import StoredLog
 from tidelog.sources.tables import broadcast_if_bounded
 
 STEP_ORDER = ["validating", "enriching", "partitioning"]
@@ -237,25 +240,6 @@ def read_outcomes(df: DataFrame, body_col: str = "body") -> DataFrame:
                     strict.check(F.col("_pi"), S.BATCH_ITEM_RESPONSE).alias("item_error"))
 
 
-def append_to_log(log: DataFrame, published: DataFrame, order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
-    """The log rows of the submitted events, offsets continuing after the
-    log's last offset per (event_type, partition).
-
-    New rows get dense offsets with ``assign_offsets`` (no single-task
-    window) plus the per-partition base -- one row per log partition, so the
-    join with the base is small. The caller appends the result
-    (``write.mode("append")``) to the log table.
-    """
-    from tidelog.operators.offsets import assign_offsets
-
-    keys = ["event_type", "partition"]
-    sub = published.filter(F.col("publishing_status") == "submitted")
-    base = log.groupBy(*keys).agg((F.max("offset") + 1).alias("_next"))
-    fresh = assign_offsets(sub, keys=tuple(keys), order=order, out="_local")
-    return fresh.join(base, keys, "left").withColumn(
-        "offset", (F.coalesce(F.col("_next"), F.lit(0)) + F.col("_local")).cast("bigint")).drop("_next", "_local")
-
-
 def merge_rejects(*frames: DataFrame) -> DataFrame:
     """Rejects over all rounds, without duplicates."""
     out = frames[0]
@@ -299,3 +283,28 @@ def publish_once(events: DataFrame, registry: DataFrame, payload_schema: T.Struc
     x = batch_outcome(x)
     x = partition_outcome(x, write_failed if write_failed is not None else F.lit(False))
     return x.withColumn("eid", event_id(F.col("category"), F.col("metadata"), F.col("raw")))
+
+
+LOG_COLUMNS = ["event_type", "partition", "eid", "raw"]
+
+
+def publish_append(events: DataFrame, registry: DataFrame, log: StoredLog, publish_id: str,
+                   payload_schema: T.StructType, received_at: Column, order: tuple[str, ...] = ("ts", "event_id"),
+                   fill: bool = True) -> DataFrame:
+    """Publish ``events`` to a stored log; returns the stored outcomes.
+
+    ``publish_once`` runs once; its outcomes are written beside the log, and the
+    submitted events are appended from there (columns ``LOG_COLUMNS`` and
+    ``order``), with offsets that continue each log partition. The append
+    commits the whole call: an attempt that was lost leaves nothing in the log
+    and may be repeated, and repeating a committed ``publish_id`` changes
+    nothing and returns its outcomes. ``events`` need the columns of ``order``.
+    """
+    spark = events.sparkSession
+    path = f"{log.path}/outcomes/call={uuid.uuid5(uuid.NAMESPACE_OID, publish_id).hex}"
+    if log.committed(publish_id) is None:
+        outcomes = publish_once(events, registry, payload_schema, received_at, fill=fill)
+        outcomes.write.mode("overwrite").parquet(path)
+        sent = spark.read.schema(outcomes.schema).parquet(path).filter(F.col("publishing_status") == "submitted")
+        log.append(sent.select(*LOG_COLUMNS, *[c for c in order if c not in LOG_COLUMNS]), publish_id, order)
+    return spark.read.parquet(path)

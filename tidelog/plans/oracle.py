@@ -440,6 +440,20 @@ FROM events""",
 
     "publish_with_retry": _retry_sql(),
 
+    "publish_append": f"""WITH {EV}, {PIN},
+o AS (SELECT *, bool_or(fail_step IS NOT NULL) OVER (PARTITION BY batch_id) AS bad FROM pin)
+SELECT ev.event_type, ppart AS "partition", event_id, CAST(row_number() OVER (
+       PARTITION BY ev.event_type, ppart ORDER BY blk % 2, ts, event_id) - 1 AS BIGINT) AS "offset"
+FROM o JOIN ev USING (event_id) WHERE NOT bad""",
+
+    "stream_subscription": f"""WITH {EV},
+c AS (SELECT event_type, "partition", count(*) FILTER (WHERE event_id % 2 = 0) AS run_1,
+             count(*) FILTER (WHERE event_id % 2 = 1) AS run_2 FROM ev WHERE NOT malformed GROUP BY ALL)
+SELECT event_type, "partition", run_1, run_2,
+       CAST(CASE "partition" WHEN '0' THEN greatest(run_1 + run_2 - 10, 0) WHEN '1' THEN run_1 + run_2 ELSE 0 END AS BIGINT) AS run_3,
+       CAST(CASE "partition" WHEN '0' THEN greatest(run_1 + run_2 - 1, 9) ELSE run_1 + run_2 - 1 END AS BIGINT) AS committed
+FROM c""",
+
     "stream_consume": f"""WITH {LOG}, {BAT}
 SELECT event_type, "partition", max(last_offset) AS committed_offset,
        CAST(sum(CASE WHEN bad THEN 0 ELSE n_events END) AS BIGINT) AS received_events,

@@ -23,6 +23,7 @@ from tidelog.operators import envelope as ENV
 from tidelog.operators import publish as PUB
 from tidelog.operators import stats as ST
 from tidelog.sources import testdata as td
+from tidelog.sources.stored_log import StoredLog
 from tidelog.sources.tables import broadcast_if_bounded, checkpoint_dir, cut_lineage, read_table
 
 # Fixed parameters of the registered queries
@@ -38,6 +39,8 @@ PAGE_LIMIT = 10
 PAGE_OFFSET = 5
 WRITE_FAIL_PARTITION = "3"
 FLUSH_TIMEOUT_S = 1
+PUBLISH_BLOCK = 50
+MAX_IN_FLIGHT = 3000
 
 
 def micros(c) -> F.Column:
@@ -583,6 +586,53 @@ def q_stream_consume(spark, sf):
                 F.coalesce("dead_letter_batches", F.lit(0)).cast("bigint").alias("dead_letter_batches"))
 
 
+def q_publish_append(spark, sf):
+    """S5 + Q1: two publish calls into a stored log, each repeated; the log's rows."""
+    log = StoredLog(spark, scratch_dir(spark, "log"))
+    env = td.publish_batches(td.with_envelope(td.base_events(spark, sf)))
+    events = env.select("event_id", "ts", "batch_id", "event_type", "category", "metadata", "payload", "data_type", "data_op", "raw")
+    half = (F.col("event_id") / PUBLISH_BLOCK).cast("bigint") % 2
+    for _ in range(2):
+        for n in (0, 1):
+            PUB.publish_append(events.filter(half == n), td.registry(spark), log, f"call-{n}", S.EVENT_PAYLOAD, F.current_timestamp())
+    return log.read("event_type string, partition string, event_id bigint, offset bigint")
+
+
+def q_stream_subscription(spark, sf):
+    """S2 + S3 + P22 + T7: consume a stored log up to its end, again after an append with the same
+    checkpoint, and again after a reset with a new one; events received in each run, and the cursors."""
+    from tidelog.streaming import consume as SC
+    from tidelog.streaming import log_source as LS
+
+    root = scratch_dir(spark, "subscription")
+    log = StoredLog(spark, f"{root}/log")
+    td.with_envelope(td.base_events(spark, sf)).filter(F.col("event_id") % 97 != 0) \
+        .select("event_id", "ts", "event_type", "partition", "raw").write.parquet(f"{root}/events")
+    events = spark.read.parquet(f"{root}/events")
+    options = SC.StreamOptions(max_uncommitted_events=MAX_IN_FLIGHT, batch_limit=50, batch_flush_timeout=1, stream_keep_alive_limit=3)
+
+    def run(number: int, checkpoint: str) -> None:
+        def handle(got, batch_id):
+            got.select(F.lit(number).alias("run"), "event_type", "partition").write.mode("overwrite") \
+                .parquet(f"{root}/out/at={number}-{batch_id}")
+
+        LS.run_subscription(spark, log.path, f"{root}/cursors", f"{root}/dead", td.SUBSCRIPTION_ID, handle,
+                            f"{root}/{checkpoint}", options)
+
+    log.append(events.filter(F.col("event_id") % 2 == 0), "first")
+    run(1, "a")
+    log.append(events.filter(F.col("event_id") % 2 == 1), "second")
+    run(2, "a")
+    live = SC.committed_cursors(spark, f"{root}/cursors")
+    back = F.when(F.col("partition") == "0", "9").when(F.col("partition") == "1", S.BEGIN_OFFSET)
+    SC.reset_stored(live.withColumn("offset", back).filter("offset IS NOT NULL"), f"{root}/cursors")
+    run(3, "b")
+    got = spark.read.parquet(f"{root}/out").groupBy("event_type", "partition").agg(
+        *[F.count(F.when(F.col("run") == n, 1)).alias(f"run_{n}") for n in (1, 2, 3)])
+    cursors = SC.committed_cursors(spark, f"{root}/cursors").select("event_type", "partition", C.offset_num("offset").alias("committed"))
+    return got.join(cursors, ["event_type", "partition"], "full")
+
+
 def q_stream_flush(spark, sf):
     """Batches flushed at the batch limit, and the rest of each partition on timeout (stateful)."""
     from tidelog.streaming import stateful as ST2
@@ -702,7 +752,9 @@ QUERIES = {
     "backoff_delay": q_backoff_delay,
     "parse_offset_ts": q_parse_offset_ts,
     "publish_with_retry": q_publish_with_retry,
+    "publish_append": q_publish_append,
     "stream_consume": q_stream_consume,
+    "stream_subscription": q_stream_subscription,
     "stream_flush": q_stream_flush,
     "stream_compaction": q_stream_compaction,
     "stream_traffic": q_stream_traffic,
