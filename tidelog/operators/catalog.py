@@ -170,14 +170,14 @@ def compact_latest(log: DataFrame, key_col: str = "partition_compaction_key",
     """Latest event per (event_type, partition, compaction key).
 
     ``max_by`` aggregates partially on the map side, so a hot key costs one
-    row per task before the shuffle. Events without a key are all kept.
+    row per task before the shuffle. Events without a key are all kept: their
+    offset stands in for it, so the log is read once.
     """
     keys = ["event_type", "partition", key_col]
-    keyed = log.filter(F.col(key_col).isNotNull())
     other = [c for c in log.columns if c not in keys]
-    latest = keyed.groupBy(*keys).agg(F.max_by(F.struct(*other), F.col(order_col)).alias("_l")) \
-        .select(*keys, "_l.*")
-    return latest.select(*log.columns).unionByName(log.filter(F.col(key_col).isNull()))
+    alone = log.withColumn("_alone", F.when(F.col(key_col).isNull(), F.col(order_col)))
+    return alone.groupBy(*keys, "_alone").agg(F.max_by(F.struct(*other), F.col(order_col)).alias("_l")) \
+        .select(*keys, "_l.*").select(*log.columns)
 
 
 def order_in_instance(df: DataFrame, instance: list[str], keys: list[str], arrival: list[str]) -> DataFrame:

@@ -114,18 +114,38 @@ def get_metadata(category: Column, metadata: Column) -> Column:
     return F.when(category != F.lit("undefined"), metadata)
 
 
+# Private-use stand-ins for an escaped backslash and an escaped quote: without these
+# two every quote of a JSON text opens or closes a string.
+_BACKSLASH, _QUOTE = "\ue000", "\ue001"
+
+
+def _plain_quotes(text: Column) -> Column:
+    """JSON text whose strings hold no quote and no escaped backslash."""
+    return F.replace(F.replace(text, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+
+
+def _json_quotes(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
+
+
 def event_id(category: Column, metadata: Column, raw: Column) -> Column:
     """``metadata.eid``, else the first ``eid`` key of an undefined event.
 
-    The fallback searches the JSON text at any depth and takes the first
-    ``"eid":`` key in document order (a depth-first pre-order walk of the
-    tree visits keys in the same order). Only that first hit is tried: when
-    it is not a UUID string the id is null.
+    The fallback takes the first key ``eid``, however its letters are escaped, at
+    any depth in document order (a depth-first pre-order walk visits keys in that
+    order); ``eid`` inside a string or as the end of a key is not one. Only that
+    first hit is tried: when its value is not a UUID string the id is null. (VARIANT
+    keeps no document order, so the text is searched: with quotes made plain, a
+    string followed by a colon is a key.)
     """
     own = F.when(category != F.lit("undefined"), metadata.getField("eid"))
-    hit = F.regexp_extract(raw, r'"eid"\s*:\s*("(?:[^"\\]|\\.)*"|[^,}\]\s]+)', 1)
-    text = F.regexp_extract(hit, r'^"(.*)"$', 1)
-    fallback = F.when(text.rlike(UUID_PATTERN), text)
+    text = _plain_quotes(raw)
+    for letter in "eid":
+        text = F.replace(text, F.lit(f"\\u{ord(letter):04x}"), F.lit(letter))
+    # between two strings of a JSON text there are no letters e, i, d: the match is one whole string
+    hit = F.regexp_extract(text, r'"eid"\s*+:\s*+("[^"]*+"|[^"])', 1)
+    value = F.try_variant_get(F.try_parse_json(hit), "$", "string")
+    fallback = F.when(value.rlike(UUID_PATTERN), value)
     return F.coalesce(own, F.when(category == F.lit("undefined"), fallback))
 
 
@@ -176,6 +196,47 @@ def encode_event(category: Column, metadata: Column, payload: Column, data_type:
     return (F.when(category == "data", data).when(category == "business", business).otherwise(undefined))
 
 
+def _without_nulls(text: Column) -> Column:
+    """Compact JSON text without its null keys, at any depth."""
+    plain = _plain_quotes(text)
+    kept = F.regexp_replace(plain, r'("[^"]*+"(?!:null\b))|"[^"]*+":null,?', "$1")
+    return _json_quotes(F.regexp_replace(kept, r'("[^"]*+")|,(?=\})', "$1"))
+
+
+def encode_event_text(category: Column, metadata: Column, payload: Column, data_type: Column, data_op: Column) -> Column:
+    """F1 for payloads of any shape: ``payload`` is JSON text (an object).
+
+    As ``encode_event``, but no key has to be named: a business payload's own
+    ``metadata`` object is merged with the envelope's, key by key. The envelope
+    wins, also with a null (the key goes); where both have a ``span_ctx`` object
+    those are merged in the same way; other keys stay. Keys are printed in
+    order of their names, null keys are dropped at any depth. A payload that is
+    not an object gives null (malformed: null).
+    """
+    objects = "map<string,variant>"
+    root = F.try_variant_get(F.try_parse_json(payload), "$", objects)
+    envelope = F.try_variant_get(F.try_parse_json(F.to_json(metadata_struct(metadata))), "$", objects)
+    own = F.coalesce(F.try_variant_get(F.element_at(root, "metadata"), "$", objects), F.create_map().cast(objects))
+    names = [f.name for f in S.METADATA.fields]
+    kept = F.map_filter(own, lambda k, _: ~k.isin(names))
+    span, own_span = (F.try_variant_get(F.element_at(m, "span_ctx"), "$", objects) for m in (envelope, own))
+    spans = F.map_concat(F.map_filter(own_span, lambda k, _: ~F.map_contains_key(span, k)), span)
+    merged_span = F.when(span.isNotNull() & own_span.isNotNull(), F.to_json(spans)).when(span.isNotNull(), F.to_json(span))
+    rest = F.map_concat(F.map_filter(envelope, lambda k, _: k != "span_ctx"), kept)
+    merged = F.when(merged_span.isNull(), rest).otherwise(
+        F.map_concat(rest, F.create_map(F.lit("span_ctx"), F.try_parse_json(merged_span))))
+
+    def printed(m: Column) -> Column:
+        return F.to_json(F.try_parse_json(F.to_json(m)))
+
+    business = printed(F.map_concat(F.map_filter(root, lambda k, _: k != "metadata"),
+                                    F.create_map(F.lit("metadata"), F.try_parse_json(F.to_json(merged)))))
+    data = F.to_json(F.struct(F.try_parse_json(payload).alias("data"), data_op.alias("data_op"), data_type.alias("data_type"),
+                              F.try_parse_json(F.to_json(envelope)).alias("metadata")))
+    return F.when(root.isNotNull(), _without_nulls(
+        F.when(category == "data", data).when(category == "business", business).otherwise(printed(root))))
+
+
 def fill_metadata(df: DataFrame, name_col: str = "event_type", enabled: bool = True) -> DataFrame:
     """``metadata.event_type = coalesce(own, name)`` for business / data."""
     if not enabled:
@@ -218,6 +279,20 @@ def error_kind(body: Column) -> Column:
             .otherwise(F.lit("raw")))
 
 
+def with_error_fields(df: DataFrame, body_col: str) -> DataFrame:
+    """adds ``kind`` (see ``error_kind``) and the fields of that kind: a problem's (type, title,
+    status, detail, instance), a basic error's (error, error_description), or the raw text as ``text``;
+    the others are null."""
+    x = strict.materialize(df, _kind=error_kind(F.col(body_col)), _v=strict.parse_line(F.col(body_col)))
+    kind = F.col("_kind")
+    x = strict.materialize(
+        x, _p=F.when(kind == "problem", F.try_variant_get("_v", "$", S.plain(S.PROBLEM).simpleString())),
+        _b=F.when(kind == "basic", F.try_variant_get("_v", "$", S.plain(S.BASIC_SERVER_ERROR).simpleString())))
+    return x.select(*df.columns, kind.alias("kind"), *[F.col(f"_p.{f.name}") for f in S.PROBLEM.fields],
+                    *[F.col(f"_b.{f.name}") for f in S.BASIC_SERVER_ERROR.fields],
+                    F.when(kind == "raw", F.col(body_col)).alias("text"))
+
+
 def span_ctx_value(span_ctx: Column, key: str) -> Column:
     """F8: one entry of a span context map."""
     return F.element_at(span_ctx, F.lit(key))

@@ -11,6 +11,7 @@ caller, so per-batch windows never hold more than one request.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +27,9 @@ from tidelog.sources.tables import broadcast_if_bounded
 STEP_ORDER = ["validating", "enriching", "partitioning"]
 
 
+MAX_SCHEMAS = 200
+
+
 def needs_retry(status: Column, step: Column) -> Column:
     """Retry unless the step is ``validating`` or the item was submitted.
 
@@ -81,6 +85,67 @@ def with_validation(df: DataFrame, payload_schema: T.StructType, raw_col: str =
     return x.withColumn(out, err).drop("_v", "_pv", "_pl")
 
 
+def struct_of_schema(text: str | None) -> T.StructType:
+    """The ``StructType`` of a type's schema text: an object of ``properties`` with ``type`` string
+    (``format`` uuid or date-time, ``enum``), integer, number, boolean, object or array, and
+    ``required``. Null is the default, any object. Other keywords do not narrow it."""
+    plain = {"string": T.StringType(), "integer": T.LongType(), "number": T.DoubleType(), "boolean": T.BooleanType()}
+
+    def kind(spec: dict) -> T.DataType:
+        if spec.get("type") == "object" and spec.get("properties"):
+            return struct(spec)
+        if spec.get("type") == "object":
+            return T.MapType(T.StringType(), T.VariantType())
+        if spec.get("type") == "array":
+            return T.ArrayType(kind(spec.get("items", {})))
+        if spec.get("format") == "date-time":
+            return T.TimestampType()
+        return plain.get(spec.get("type"), T.VariantType())
+
+    def struct(spec: dict) -> T.StructType:
+        fields = []
+        for name, sub in spec.get("properties", {}).items():
+            extra = {"enum": sub["enum"]} if "enum" in sub else {}
+            extra |= {"date-time": {"format": "offset-date-time"}, "uuid": {"format": "uuid"}}.get(sub.get("format"), {})
+            fields.append(T.StructField(name, kind(sub), name not in spec.get("required", []), extra))
+        return T.StructType(fields)
+
+    return struct(json.loads(text) if text else {})
+
+
+def with_type_validation(df: DataFrame, registry: DataFrame, raw_col: str = "raw", category_col: str = "category",
+                         out: str = "validation_error") -> DataFrame:
+    """P17 + P18 by the type: each event is checked against the ``schema`` of its registry row.
+
+    Types with equal schemas share one check, and an event runs the one of its type only. Of the
+    registry (one row per type) names and schemas are read; more than ``MAX_SCHEMAS`` distinct
+    schemas are an error, as each is an expression of the plan. A type that the registry does not
+    have is left to the partitioning step.
+    """
+    types: dict[str | None, list[str]] = {}
+    for name, schema in registry.select("name", "schema").collect():
+        types.setdefault(schema, []).append(name)
+    if len(types) > MAX_SCHEMAS:
+        raise ValueError(f"more than {MAX_SCHEMAS} distinct schemas in one publish")
+    is_data = F.col(category_col) == F.lit("data")
+    x = strict.materialize(df, _v=strict.parse_line(F.col(raw_col)))
+    x = strict.materialize(x, _pv=F.when(is_data, strict.sub(F.col("_v"), "$.data")).otherwise(F.col("_v")))
+    schemas = [(f"_pl{i}", F.col("event_type").isin(names), struct_of_schema(text))
+               for i, (text, names) in enumerate(sorted(types.items(), key=lambda t: (t[0] or "")))]
+    typed = [t for t in schemas if t[2].fields]
+    if typed:
+        x = strict.materialize(x, **{c: F.when(mine, strict.prepare(F.col("_pv"), schema, "$")) for c, mine, schema in typed})
+    err = [F.when(F.col("_v").isNull(), F.lit("malformed JSON"))]
+    for c, mine, schema in schemas:
+        at = [F.when(is_data, F.lit(d)).otherwise(F.lit(p)) for d, p in (("$.data", "$"),)][0]
+        err.append(F.when(mine & ~strict.is_object(F.col("_pv")), F.concat(at, F.lit(": expected an object"))))
+        if schema.fields:
+            err.append(F.when(mine, F.when(is_data, strict.check(F.col(c), schema, "$.data"))
+                              .otherwise(strict.check(F.col(c), schema, "$"))))
+    err.append(F.when(~size_ok(F.col(raw_col)), F.lit(f"event larger than {S.MAX_EVENT_BYTES} bytes")))
+    return x.withColumn(out, F.coalesce(*err)).drop("_v", "_pv", *[c for c, _, _ in typed])
+
+
 def enrich_metadata(df: DataFrame, registry: DataFrame, received_at: Column, flow_id: Column | None = None,
                     published_by: Column | None = None) -> DataFrame:
     """Fill absent metadata of business / data events; never overwrite.
@@ -115,9 +180,11 @@ def enrich_metadata(df: DataFrame, registry: DataFrame, received_at: Column, flo
 def assign_partition(df: DataFrame, registry: DataFrame) -> DataFrame:
     """Partition by the type's strategy; adds ``partition`` and ``partition_error``.
 
-    * ``hash``: md5 of the ``partition_key_fields`` of the payload (data
-      events: relative to ``data``), modulo the partition count -- equal keys
-      land in equal partitions;
+    * ``hash``: md5 of the values at the ``partition_key_fields`` of the event as
+      sent (paths such as ``user.id``; data events: relative to ``data``), modulo the
+      partition count -- equal keys land in equal partitions; a type without key
+      fields, or an event where one of them is absent or null, is an error at step
+      ``partitioning``;
     * ``user_defined``: ``metadata.partition``; missing or out of range is an
       error at step ``partitioning``;
     * ``random``: md5 of the event id (P9; the text when there is none): an
@@ -128,23 +195,30 @@ def assign_partition(df: DataFrame, registry: DataFrame) -> DataFrame:
     reg = broadcast_if_bounded(registry.select(
         F.col("name").alias("event_type"), "partition_strategy", "partition_key_fields", "n_partitions"))
     j = df.join(reg, "event_type", "left")
-    # top-level payload fields as text (numbers print as in JSON)
-    fields = F.from_json(F.to_json(F.col("payload")), "map<string,string>")
-    key = F.concat_ws("|", F.transform(
-        F.col("partition_key_fields"), lambda f: F.coalesce(F.element_at(fields, f), F.lit(""))))
-    h =F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint"), F.col("n_partitions"))
+    # each event is parsed once, and each key looked up once; values as text (numbers print as in JSON)
+    hashed = F.col("partition_strategy") == "hash"
+    j = strict.materialize(j, _v=F.when(hashed, F.try_parse_json("raw")))
+    root = F.when(F.col("category") == "data", F.lit("$.data.")).otherwise(F.lit("$."))
+    j = strict.materialize(j, _keys=F.when(hashed, F.transform(
+        "partition_key_fields", lambda f: F.try_variant_get(F.col("_v"), F.concat(root, f), "string"))))
+    lost = F.element_at(F.filter(F.arrays_zip(F.col("_keys").alias("value"), F.col("partition_key_fields").alias("path")),
+                                 lambda x: x["value"].isNull()), 1)["path"]
+    key_ok = F.coalesce(F.size("_keys") > 0, F.lit(False)) & ~F.exists("_keys", lambda k: k.isNull())
+    key = F.concat_ws("|", "_keys")
+    h = F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint"), F.col("n_partitions"))
     ident = F.coalesce(event_id(F.col("category"), F.col("metadata"), F.col("raw")), F.col("raw"))
     rnd = F.pmod(F.conv(F.substring(F.md5(ident), 1, 8), 16, 10).cast("bigint"), F.col("n_partitions"))
     ud = F.col("metadata.partition").try_cast("int")
     ud_ok = ud.isNotNull() & (ud >= 0) & (ud < F.col("n_partitions"))
-    part = (F.when(F.col("partition_strategy") == "hash", h)
+    part = (F.when(hashed, F.when(key_ok, h))
             .when(F.col("partition_strategy") == "user_defined", F.when(ud_ok, ud))
             .otherwise(rnd))
     err = F.when(F.col("n_partitions").isNull(), F.lit("unknown event type")) \
         .when((F.col("partition_strategy") == "user_defined") & ~ud_ok,
-              F.lit("metadata.partition missing or unknown"))
+              F.lit("metadata.partition missing or unknown")) \
+        .when(hashed & ~key_ok, F.concat(F.lit("partition key missing: "), F.coalesce(lost, F.lit("no key fields"))))
     return j.withColumn("partition", part.cast("string")).withColumn("partition_error", err) \
-        .drop("partition_strategy", "partition_key_fields", "n_partitions")
+        .drop("partition_strategy", "partition_key_fields", "n_partitions", "_v", "_keys")
 
 
 def batch_outcome(df: DataFrame, batch_col: str = "batch_id") -> DataFrame:
@@ -262,12 +336,13 @@ def partition_split(df: DataFrame, predicate: Column) -> tuple[DataFrame, DataFr
     return df.filter(p), df.filter(~p)
 
 
-def publish_once(events: DataFrame, registry: DataFrame, payload_schema: T.StructType,
+def publish_once(events: DataFrame, registry: DataFrame, payload_schema: T.StructType | None,
                  received_at: Column, write_failed: Column | None = None,
                  fill: bool = True) -> DataFrame:
     """Q1: one publish round as ONE DataFrame chain.
 
-    fill metadata (P6) -> validate (P17, P18) -> enrich (P19) -> partition
+    fill metadata (P6) -> validate (P17, P18; without ``payload_schema`` by the
+    registry's schema of each type) -> enrich (P19) -> partition
     (X1) -> batch verdict (W4) -> write verdict per partition (W5). Returns
     the events with ``partition, publishing_status, step, detail, eid``.
     ``write_failed`` simulates broker write failures (a column over the
@@ -276,7 +351,7 @@ def publish_once(events: DataFrame, registry: DataFrame, payload_schema: T.Struc
     from tidelog.operators.envelope import fill_metadata
 
     x = fill_metadata(events, "event_type", enabled=fill)
-    x = with_validation(x, payload_schema)
+    x = with_validation(x, payload_schema) if payload_schema is not None else with_type_validation(x, registry)
     x = enrich_metadata(x, registry, received_at)
     x = x.drop("partition") if "partition" in x.columns else x
     x = assign_partition(x, registry)
@@ -289,7 +364,7 @@ LOG_COLUMNS = ["event_type", "partition", "eid", "raw"]
 
 
 def publish_append(events: DataFrame, registry: DataFrame, log: StoredLog, publish_id: str,
-                   payload_schema: T.StructType, received_at: Column, order: tuple[str, ...] = ("ts", "event_id"),
+                   payload_schema: T.StructType | None, received_at: Column, order: tuple[str, ...] = ("ts", "event_id"),
                    fill: bool = True) -> DataFrame:
     """Publish ``events`` to a stored log; returns the stored outcomes.
 

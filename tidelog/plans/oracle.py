@@ -247,9 +247,9 @@ WHERE c.committed IS NULL OR l."offset" > c.committed
 ORDER BY l.ts, l.event_type, l."partition", l."offset" LIMIT 1000""",
 
     "read_bounded": f"""WITH {LOG}, {BAT}
-SELECT batch_no, false AS keepalive, n_events FROM bat WHERE event_type = 'click' AND "partition" = '0'
+SELECT event_type, "partition", batch_no, false AS keepalive, n_events FROM bat
 UNION ALL
-SELECT batch_no, true, CAST(0 AS BIGINT) FROM bat WHERE event_type = 'click' AND "partition" = '0' AND batch_no % 10 = 9""",
+SELECT event_type, "partition", batch_no, true, CAST(0 AS BIGINT) FROM bat WHERE batch_no % 10 = 9""",
 
     "commit_cumulative": f"""WITH {LOG}, {BAT}
 SELECT event_type, "partition", CAST(max(last_offset) AS VARCHAR) AS "offset",
@@ -304,8 +304,9 @@ UNION ALL
 SELECT event_type, "partition", ckey, event_id, "offset" FROM c WHERE ckey IS NULL""",
 
     "traffic_statistics": """SELECT event_type, round(avg(n), 6) AS messages_per_minute,
-       CAST(count(*) AS BIGINT) AS active_minutes
-FROM (SELECT event_type, date_trunc('minute', ts) AS m, count(*) AS n FROM events GROUP BY ALL) GROUP BY ALL""",
+       round(sum(b) / sum(n), 6) AS message_size, CAST(count(*) AS BIGINT) AS active_minutes
+FROM (SELECT event_type, date_trunc('minute', ts) AS m, count(*) AS n, sum(strlen(props)) AS b FROM events GROUP BY ALL)
+GROUP BY event_type""",
 
     "trace_counts": """SELECT substr(md5(CAST(user_id AS VARCHAR)), 1, 16) AS trace_id, count(*) AS events
 FROM events WHERE event_id % 10 <= 5 AND event_id % 5 = 0 AND event_id % 97 <> 0 GROUP BY 1""",
@@ -378,11 +379,34 @@ SELECT event_id, ppart AS "partition", (event_type = 'purchase' AND category = '
 FROM pin JOIN (SELECT event_id, event_type FROM events) USING (event_id)""",
 
     "validate_events": f"""WITH {EV}
-SELECT event_id, true AS size_ok,
-       CASE WHEN malformed THEN CASE WHEN category = 'data' THEN '$.data.value' ELSE '$.value' END
-                                || ': expected double' END AS violation
+SELECT event_id, event_id % 1009 <> 5 AS size_ok,
+       CASE WHEN malformed THEN CASE WHEN category = 'data' THEN '$.data.value' ELSE '$.value' END || ': expected double'
+            WHEN event_id % 1009 = 5 THEN 'event larger than 999000 bytes' END AS violation
 FROM ev""",
 
+    "validate_by_type": f"""WITH {EV}, p AS (SELECT *, CASE WHEN category = 'data' THEN '$.data' ELSE '$' END AS base FROM ev)
+SELECT event_id, CASE WHEN event_type = 'click' AND malformed THEN base || '.value: expected double'
+                      WHEN event_type = 'view' AND NOT malformed THEN base || '.value: expected a string'
+                      WHEN event_type = 'purchase' THEN base || '.receipt: missing' END AS violation
+FROM p""",
+
+    "partition_by_path": f"""SELECT event_id,
+       CASE WHEN event_id % 7 > 1 THEN CAST({_bucket('user_id')} AS VARCHAR) END AS "partition",
+       CASE WHEN event_id % 7 <= 1 THEN 'partition key missing: user.id' END AS partition_error FROM events""",
+
+    "event_id_deep": f"""SELECT event_id, CASE WHEN event_id % 7 IN (0, 1, 5) THEN {EID} END AS resolved_eid FROM events""",
+
+    "encode_events": f"""WITH {EV}, t AS (SELECT *, CAST(user_id AS VARCHAR) AS u, CAST(event_id % 3 AS VARCHAR) AS team,
+  CASE WHEN event_id % 2 = 0 THEN '"both":"2"' END AS span FROM ev), x AS (SELECT *,
+  '"eid":"' || eid || '","event_type":"' || event_type || '","occurred_at":"2024-05-06T07:08:09Z","partition":"' || "partition" || '"' AS md,
+  '"user_id":' || u || ',"z":{{"s":"a\\":null,b"}}}}' AS rest FROM t)
+SELECT event_id, CASE category
+  WHEN 'business' THEN '{{"metadata":{{' || md || coalesce(',"span_ctx":{{' || span || ',"own":"1"}}', '') || ',"team":"t' || team || '"}},' || rest
+  WHEN 'data' THEN '{{"data":{{"metadata":{{"eid":"own","flow_id":"own","span_ctx":{{"both":"1","own":"1"}},"team":"t' || team || '"}},' || rest
+       || ',"data_op":"' || data_op || '","data_type":"' || event_type || '","metadata":{{' || md || coalesce(',"span_ctx":{{' || span || '}}', '') || '}}}}'
+  ELSE '{{"metadata":{{"eid":"own","flow_id":"own","span_ctx":{{"both":"1","own":"1"}},"team":"t' || team || '"}},' || rest END AS raw
+FROM x""",
+
     "enrich_metadata": f"""WITH {EV}
 SELECT event_id,
        CASE WHEN category <> 'undefined' AND event_type <> 'error' AND event_id % 89 = 1
@@ -421,10 +445,16 @@ SELECT event_id, NOT (step = 'validating') AND publishing_status <> 'submitted'
        publishing_status <> 'submitted' AS not_submitted FROM oc""",
 
     "read_outcomes": f"""WITH {OUTCOMES}
-SELECT CAST(event_id // 50 AS BIGINT) AS call, event_id, eid, publishing_status, step, detail FROM oc""",
+SELECT CAST(event_id // 50 AS BIGINT) AS call, row_number() OVER (PARTITION BY event_id // 50 ORDER BY event_id) - 1 AS item_no,
+       eid, CASE WHEN event_id % 61 = 0 THEN 'lost' ELSE publishing_status END AS publishing_status, step, detail,
+       CASE WHEN event_id % 61 = 0 THEN '$.publishing_status: not one of submitted,failed,aborted' END AS item_error FROM oc""",
 
-    "error_kind": """SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'problem' WHEN 1 THEN 'basic' WHEN 2 THEN 'raw'
-       ELSE 'none' END AS kind FROM events""",
+    "error_kind": f"""WITH {OUTCOMES}
+SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'problem' WHEN 1 THEN 'basic' WHEN 2 THEN 'raw' ELSE 'none' END AS kind,
+       CASE WHEN event_id % 4 = 0 THEN 'Unprocessable' END AS title, CASE WHEN event_id % 4 = 0 THEN CAST(422 AS BIGINT) END AS status,
+       CASE WHEN event_id % 4 = 0 THEN coalesce(detail, 'none') END AS detail, CASE WHEN event_id % 4 = 1 THEN 'x' END AS error,
+       CASE WHEN event_id % 4 = 1 THEN 'y' END AS error_description,
+       CASE WHEN event_id % 4 = 2 THEN 'oops ' || CAST(event_id AS VARCHAR) END AS text FROM oc""",
 
     "mask_token": """SELECT event_id,
        'GET /events?user=' || CAST(user_id AS VARCHAR) || ' Authorization: Bearer <secret>' AS line FROM events""",
@@ -460,6 +490,8 @@ SELECT event_type, "partition", max(last_offset) AS committed_offset,
        CAST(count(*) FILTER (WHERE bad) AS BIGINT) AS dead_letter_batches
 FROM bat GROUP BY ALL""",
 
+    "stream_expired": None,
+
     "stream_flush": f"""WITH {LOG}, {BAT}
 SELECT event_type, "partition", batch_no, batch_no * 20 AS first_offset, last_offset, n_events,
        CASE WHEN n_events = 20 THEN 'limit' ELSE 'timeout' END AS reason
@@ -478,3 +510,4 @@ SELECT event_type, "partition", ckey, event_id, "offset" FROM c WHERE ckey IS NU
        CAST(count(*) AS BIGINT) AS active_minutes
 FROM (SELECT event_type, date_trunc('minute', ts) AS m, count(*) AS n FROM events GROUP BY ALL) GROUP BY ALL""",
 }
+ORACLE["stream_expired"] = ORACLE["expired_batches"]

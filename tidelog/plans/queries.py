@@ -41,6 +41,14 @@ WRITE_FAIL_PARTITION = "3"
 FLUSH_TIMEOUT_S = 1
 PUBLISH_BLOCK = 50
 MAX_IN_FLIGHT = 3000
+BOUNDED_BATCHES = 1_000_000_000
+# Schemas by type that contradict each other: a value is a number here and a string there.
+TYPE_SCHEMAS = {
+    "click": '{"type":"object","required":["value"],"properties":{"value":{"type":"number"},"user_id":{"type":"integer"}}}',
+    "view": '{"type":"object","required":["value"],"properties":{"value":{"type":"string"}}}',
+    "purchase": '{"type":"object","required":["receipt"],"properties":{"receipt":{"type":"string"}}}',
+    "signup": '{"type":"object"}',
+}
 
 
 def micros(c) -> F.Column:
@@ -200,9 +208,10 @@ def q_stream_limit(spark, sf):
 
 
 def q_read_bounded(spark, sf):
-    """The batches of one partition (at most 300, else an error)."""
-    parsed = _parsed(spark, sf).filter((F.col("cursor.event_type") == "click") & (F.col("cursor.partition") == "0"))
-    return B.read_bounded(parsed).select("batch_no", "keepalive", F.col("n_events").cast("bigint").alias("n_events"))
+    """The batches of the whole subscription, within a bound (beyond it: an error)."""
+    return B.read_bounded(_parsed(spark, sf), BOUNDED_BATCHES).select(
+        F.col("cursor.event_type").alias("event_type"), F.col("cursor.partition").alias("partition"),
+        "batch_no", "keepalive", F.col("n_events").cast("bigint").alias("n_events"))
 
 
 def _commits(log: DataFrame) -> DataFrame:
@@ -291,9 +300,10 @@ def q_compact_latest(spark, sf):
 
 
 def q_traffic_statistics(spark, sf):
-    """A8 (counts per active minute)."""
-    t = ST.traffic_statistics(_env(spark, sf))
-    return t.select("event_type", "messages_per_minute", F.col("active_minutes").cast("bigint"))
+    """Counts per active minute and bytes per message, of the events' JSON properties."""
+    messages = read_table(spark, sf, "events").select("event_type", "ts", F.col("props").alias("raw"))
+    t = ST.traffic_statistics(messages)
+    return t.select("event_type", "messages_per_minute", "message_size", F.col("active_minutes").cast("bigint"))
 
 
 def q_trace_counts(spark, sf):
@@ -436,12 +446,61 @@ def q_assign_partition(spark, sf):
 
 
 def q_validate_events(spark, sf):
-    """P17 + P18."""
+    """P17 + P18; some events are padded beyond the size limit."""
     ev = _publish_input(spark, sf)
+    padded = F.concat("raw", F.repeat(F.lit(" "), S.MAX_EVENT_BYTES))
+    ev = ev.withColumn("raw", F.when(F.col("event_id") % 1009 == 5, padded).otherwise(F.col("raw")))
     v = PUB.with_validation(ev, S.EVENT_PAYLOAD, out="violation")
     return v.select("event_id", PUB.size_ok(F.col("raw")).alias("size_ok"), "violation")
 
 
+def q_validate_by_type(spark, sf):
+    """P18 by the registry: every event against the schema of its type."""
+    reg = td.registry(spark).withColumn("schema", F.try_element_at(
+        F.create_map(*[F.lit(x) for kv in TYPE_SCHEMAS.items() for x in kv]), F.col("name")))
+    return PUB.with_type_validation(_publish_input(spark, sf), reg, out="violation").select("event_id", "violation")
+
+
+def q_partition_by_path(spark, sf):
+    """X1 with nested key paths; an absent, null or nested-away key is refused."""
+    e = read_table(spark, sf, "events").select("event_id", "user_id")
+    user = F.when(F.col("event_id") % 7 == 0, F.lit("null")).when(F.col("event_id") % 7 == 1, F.lit('"x"')) \
+        .otherwise(F.concat(F.lit('{"id":'), F.col("user_id").cast("string"), F.lit(',"e.id":1}')))
+    body = F.concat(F.lit('{"user":'), user, F.lit(',"note":"{\\"user\\":{\\"id\\":0}}"}'))
+    data = F.col("event_id") % 2 == 0
+    ev = e.select("event_id", F.lit("orders").alias("event_type"), F.when(data, "data").otherwise("undefined").alias("category"),
+                  F.when(data, F.concat(F.lit('{"data":'), body, F.lit("}"))).otherwise(body).alias("raw"),
+                  F.lit(None).cast(S.plain(S.METADATA)).alias("metadata"))
+    reg = spark.createDataFrame([("orders", "hash", ["user.id"], td.N_PARTITIONS)],
+                                "name string, partition_strategy string, partition_key_fields array<string>, n_partitions int")
+    return PUB.assign_partition(ev, reg).select("event_id", "partition", "partition_error")
+
+
+def q_event_id_deep(spark, sf):
+    """P9 on free JSON: escaped keys, keys that end in or quote the name, nesting, values that are no UUID."""
+    e = read_table(spark, sf, "events").select("event_id")
+    ident = C.md5_uuid(F.col("event_id"))
+    shapes = ['{"a\\"eid":"no","b":[{"c":{"eid":"@"}}],"eid":"late"}', '{"x":"\\"eid\\":\\"no\\"","\\u0065\\u0069d" : "@"}',
+              '{"eid":{"eid":"@"}}', '{"eid":7,"z":{"eid":"@"}}', '{"my eid":"@","t":"eid"}', '{"p":"\\\\","eid":"@"}', '{"k":["eid","@"]}']
+    shape = F.element_at(F.array(*[F.lit(x) for x in shapes]), (F.col("event_id") % len(shapes) + 1).cast("int"))
+    none = F.lit(None).cast(S.plain(S.METADATA))
+    return e.select("event_id", ENV.event_id(F.lit("undefined"), none, F.replace(shape, F.lit("@"), ident)).alias("resolved_eid"))
+
+
+def q_encode_events(spark, sf):
+    """the text of events whose free payload has a ``metadata`` object and null keys of its own."""
+    e = td.base_events(spark, sf)
+    payload = F.concat(F.lit('{"z":{"n":null,"s":"a\\":null,b"},"user_id":'), F.col("user_id").cast("string"),
+                       F.lit(',"gone":null,"metadata":{"eid":"own","flow_id":"own","team":"t'), (F.col("event_id") % 3).cast("string"),
+                       F.lit('","span_ctx":{"own":"1","both":"1"}}}'))
+    md = F.struct("eid", F.lit("2024-05-06 07:08:09").cast("timestamp").alias("occurred_at"), "event_type",
+                  *[F.lit(None).cast(t).alias(n) for n, t in (("received_at", "timestamp"), ("parent_eids", "array<string>"), ("flow_id", "string"))],
+                  "partition", F.lit(None).cast("string").alias("partition_compaction_key"),
+                  F.when(F.col("event_id") % 2 == 0, F.create_map(F.lit("both"), F.lit("2"))).alias("span_ctx"),
+                  F.lit(None).cast("string").alias("published_by"))
+    return e.select("event_id", ENV.encode_event_text(F.col("category"), md, payload, F.col("event_type"), F.col("data_op")).alias("raw"))
+
+
 def q_enrich_metadata(spark, sf):
     """P19."""
     ev = _publish_input(spark, sf)
@@ -496,16 +555,13 @@ def q_needs_retry(spark, sf):
 
 def q_read_outcomes(spark, sf):
     """Decode partial-failure responses (JSON arrays of items) per call."""
-    o = td.outcomes(spark, sf).withColumn("call", (F.col("event_id") / 50).cast("bigint"))
+    o = td.outcomes(spark, sf).withColumn("call", (F.col("event_id") / 50).cast("bigint")) \
+        .withColumn("publishing_status", F.when(F.col("event_id") % 61 == 0, "lost").otherwise(F.col("publishing_status")))
     bodies = o.groupBy("call").agg(F.to_json(F.array_sort(F.collect_list(
         F.struct("event_id", "eid", "publishing_status", "step", "detail")))).alias("body"))
-    items = bodies.select("call", F.explode(F.from_json("body", "array<struct<event_id:bigint,eid:string,"
-                                                                "publishing_status:string,step:string,detail:string>>"))
-                          .alias("it"))
-    v = F.col("it")
-    return items.select("call", v.event_id.alias("event_id"), v.eid.alias("eid"),
-                        v.publishing_status.alias("publishing_status"), v.step.alias("step"),
-                        v.detail.alias("detail"))
+    items = PUB.read_outcomes(bodies)
+    return items.select("call", F.col("item_no").cast("bigint").alias("item_no"), "eid", "publishing_status", "step", "detail",
+                        "item_error")
 
 
 def q_error_kind(spark, sf):
@@ -517,7 +573,9 @@ def q_error_kind(spark, sf):
             .when(m == 1, F.lit('{"error":"x","error_description":"y"}'))
             .when(m == 2, F.concat(F.lit("oops "), F.col("event_id").cast("string")))
             .otherwise(F.lit("")))
-    return o.select("event_id", ENV.error_kind(body).alias("kind"))
+    found = ENV.with_error_fields(o.select("event_id", body.alias("body")), "body")
+    return found.select("event_id", "kind", "title", F.col("status").cast("bigint").alias("status"), "detail", "error",
+                        "error_description", "text")
 
 
 def q_mask_token(spark, sf):
@@ -633,6 +691,29 @@ def q_stream_subscription(spark, sf):
     return got.join(cursors, ["event_type", "partition"], "full")
 
 
+def q_stream_expired(spark, sf):
+    """J5 on a stream: sent batches and commits as two streams, a last row in each that moves the watermarks on."""
+    from tidelog.streaming import stateful as ST2
+
+    root = scratch_dir(spark, "expired")
+    sent = _timeline(spark, sf).filter(~F.col("keepalive"))
+    end = sent.agg(F.max("sent_ts").alias("at")).select(F.lit("end").alias("event_type"), F.lit("0").alias("partition"),
+                                                        F.lit(0).cast("bigint").alias("batch_no"), F.lit("0").alias("offset"),
+                                                        (F.col("at") + F.expr("INTERVAL 1 HOUR")).alias("at"))
+    rows = sent.select("event_type", "partition", "batch_no", "offset", F.col("sent_ts").alias("at"))
+    rows.unionByName(end).withColumnRenamed("at", "sent_ts").write.parquet(f"{root}/sent")
+    commits = sent.filter("committed").select("event_type", "partition", "batch_no", "offset", F.col("commit_ts").alias("at"))
+    commits.unionByName(end).withColumnRenamed("at", "commit_ts").write.parquet(f"{root}/commits")
+    schema = "event_type string, partition string, batch_no long, offset string, {} timestamp"
+    lost = ST2.expired_stream(spark.readStream.schema(schema.format("sent_ts")).parquet(f"{root}/sent"),
+                              spark.readStream.schema(schema.format("commit_ts")).parquet(f"{root}/commits").drop("batch_no"))
+    q = lost.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt") \
+        .trigger(availableNow=True).start()
+    q.awaitTermination()
+    out = spark.read.schema(schema.format("sent_ts")).parquet(f"{root}/out")
+    return out.filter(F.col("event_type") != "end").select("event_type", "partition", "batch_no")
+
+
 def q_stream_flush(spark, sf):
     """Batches flushed at the batch limit, and the rest of each partition on timeout (stateful)."""
     from tidelog.streaming import stateful as ST2
@@ -740,6 +821,10 @@ QUERIES = {
     "publish_once": q_publish_once,
     "assign_partition": q_assign_partition,
     "validate_events": q_validate_events,
+    "validate_by_type": q_validate_by_type,
+    "partition_by_path": q_partition_by_path,
+    "event_id_deep": q_event_id_deep,
+    "encode_events": q_encode_events,
     "enrich_metadata": q_enrich_metadata,
     "events_to_retry": q_events_to_retry,
     "outcome_summary": q_outcome_summary,
@@ -755,6 +840,7 @@ QUERIES = {
     "publish_append": q_publish_append,
     "stream_consume": q_stream_consume,
     "stream_subscription": q_stream_subscription,
+    "stream_expired": q_stream_expired,
     "stream_flush": q_stream_flush,
     "stream_compaction": q_stream_compaction,
     "stream_traffic": q_stream_traffic,

@@ -10,6 +10,8 @@
   row per key).
 * ``streaming_traffic`` (T16): A8 per tumbling minute with a watermark; event
   time must be TIMESTAMP (``withWatermark`` rejects TIMESTAMP_NTZ).
+* ``expired_stream`` (J5): batches whose commit did not come in time, by an
+  interval join of two streams.
 """
 
 from __future__ import annotations
@@ -21,6 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tidelog import schemas as S
+from tidelog.functions.columns import offset_num
+
 FLUSH_OUT = "event_type string, partition string, batch_no long, first_offset long, last_offset long, " \
             "n_events long, reason string"
 FLUSH_STATE = "pending_offsets array<long>, batches long"
@@ -75,3 +80,23 @@ def streaming_traffic(events: DataFrame, ts_col: str = "ts", watermark: str = "1
     return events.withColumn("_et", t).withWatermark("_et", watermark) \
         .groupBy("event_type", F.window("_et", "1 minute").alias("minute")) \
         .agg(F.count(F.lit(1)).alias("events"))
+
+
+def expired_stream(sent: DataFrame, commits: DataFrame, commit_timeout_s: int = 0, watermark: str = "0 seconds") -> DataFrame:
+    """J5 on a stream: batches without a covering commit within the timeout, once that is certain.
+
+    A left outer join of two streams in the interval of the timeout: a commit covers a
+    batch of its log partition when its offset is not below the batch's and it comes
+    between sending and deadline. State holds one timeout (and the watermark's delay) of
+    batches and commits; a batch comes out when the watermarks have passed its deadline.
+    ``sent``: event_type, partition, batch_no, offset, sent_ts; ``commits``: event_type,
+    partition, offset, commit_ts. Rows later than the watermark are not seen.
+    """
+    timeout = F.expr(f"INTERVAL {int(commit_timeout_s or S.DEFAULT_COMMIT_TIMEOUT_S)} SECONDS")
+    b = sent.withColumn("sent_ts", F.col("sent_ts").cast("timestamp")).withWatermark("sent_ts", watermark).alias("b")
+    c = commits.withColumn("commit_ts", F.col("commit_ts").cast("timestamp")).withWatermark("commit_ts", watermark).alias("c")
+    covers = (F.col("b.event_type") == F.col("c.event_type")) & (F.col("b.partition") == F.col("c.partition")) \
+        & (offset_num("c.offset") >= offset_num("b.offset")) \
+        & (F.col("c.commit_ts") >= F.col("b.sent_ts")) & (F.col("c.commit_ts") <= F.col("b.sent_ts") + timeout)
+    return b.join(c, covers, "left_outer").filter(F.col("c.commit_ts").isNull()) \
+        .select("b.event_type", "b.partition", "b.batch_no", "b.offset", "b.sent_ts")
