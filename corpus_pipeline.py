@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import byte_bpe, decontamination, ngram_join, pii, toxicity
-from tidelog.llm.common import stored, table
+from tidelog.llm.common import broadcast_if_small, stored, table
 from tidelog.llm.queries import bpe_files
 
 
@@ -25,19 +25,30 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the smallest id) of each group of similar texts: five-word shingles, similarity 0.8.
+    """One document of each group of similar texts, that with the smallest id: five-word shingles, similarity 0.8.
 
-    Texts without words and rows without an id stay; of rows repeated in full one stays.
+    Texts without words stay; of rows repeated in full one stays. Rows are known by id and text, so an
+    id's other texts stay or go by their own groups; of a group, the row with the smallest id and then
+    text stays (without any id: the one with the smallest text hash).
     """
-    found = stored(ngram_join.similar(docs, width=5, percent=80), "groups")
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    twice = stored(found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1")
-                   .select("doc_id"), "repeated_ids")
+    found = ngram_join.similar(docs, width=5, percent=80, with_text_hash=True).filter("n_shingles > 0")
+    at = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("-"), F.col("text_hash").cast("string")))
+    rows = stored(found.select("doc_id", "text_hash", group.alias("group")).groupBy("doc_id", "text_hash", "group")
+                  .agg(F.count(F.lit(1)).alias("copies")), "grouped_rows")
+    first = rows.groupBy("group").agg(F.min(at).alias("first"))
+    gone = stored(rows.join(first, "group").filter(at != F.col("first")).select("doc_id", "text_hash"), "gone")
+    keyed = docs.withColumn("__text_hash", F.xxhash64(F.col("text").cast("string")))
+
+    gone, twice = (broadcast_if_small(t, F.lit(24)) for t in (gone, stored(rows.filter("copies > 1").select("doc_id", "text_hash"), "twice")))
+    left = keyed.join(gone.withColumnsRenamed({"doc_id": "__id"}), F.col("doc_id").eqNullSafe(F.col("__id"))
+                      & (F.col("__text_hash") == F.col("text_hash")), "left_anti")
     if not twice.limit(1).count():
-        return left
-    return left.join(twice, "doc_id", "left_anti").select(*docs.columns) \
-        .unionByName(left.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates())
+        return left.select(*docs.columns)
+    match = twice.withColumnsRenamed({"doc_id": "__id"})
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("text_hash"))
+    return left.join(match, same, "left_anti").select(*docs.columns) \
+        .unionByName(left.join(match, same, "left_semi").select(*docs.columns).dropDuplicates())
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

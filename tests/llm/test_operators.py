@@ -481,3 +481,14 @@ def test_digest_columns(spark, sf_small):
     for name, columns in want.items():
         assert columns <= set(QUERIES[name](spark, sf_small).columns)
     assert hashlib.sha256(b"").hexdigest() == spark.range(1).select(F.sha2(F.lit("").cast("binary"), 256)).first()[0]
+
+
+def test_ngram_join_one_id_with_several_texts_and_large_ids(spark):
+    """No link is lost where an id has two texts, in either order of their hashes, and no id beside a null is rounded."""
+    a, b = "alpha beta gamma delta epsilon zeta eta theta iota", "stone river cloud lamp house tree wort sky sea"
+    big = 2**53 + 1
+    for x, y in ((a, b), (b, a)):
+        rows = [(1, x), (1, y), (2, b), (3, b + " end"), (4, "lone words here"), (None, a), (None, "x y z"), (big, "big id")]
+        df = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, signature string")
+        got = Counter((r.doc_id, r.component_id) for r in ngram_join.similar(df, 3, 80).collect())
+        assert got == Counter({(1, 1): 2, (2, 1): 1, (3, 1): 1, (4, 4): 1, (None, 1): 1, (None, None): 1, (big, big): 1})

@@ -3,7 +3,7 @@
 A document is the set of its distinct word shingles; two documents link when
 ``100 * |x & y| >= percent * |x | y|``. The result is each document's component.
 
-1. Documents with equal sets are one class; the smallest id stands for it.
+1. Documents with equal sets are one class, named by the set's 128-bit hash.
 2. Shingles have one global order, rare ones first: counts of hashed cells of
    all shingles (a fixed-size table), then the shingle's hash. Any order is
    right; this one keeps common passages out of the prefixes.
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import broadcast_if_small, small_batches, stored
+from tidelog.llm.common import Scratch, broadcast_if_small, small_batches, stored
 
 CELLS = 1 << 20          # counted cells of shingles
 CHUNK = 1 << 14          # cells of one counts row
@@ -40,6 +40,7 @@ MAX_MATCHES = 4
 VERIFY_COST = 20.0       # a verification in postings
 SKETCH = 128             # bytes of a sketch
 BLOCK = 1024             # members of one block of a posting list
+HELD_ROWS = 20_000       # rows of one hub's lists that are compared at once
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -154,46 +155,42 @@ def _records(texts: DataFrame, width: int, percent: int, counts: np.ndarray) ->
         known = _WordHashes()
         for batch in batches:
             rows = []
-            for i, text in zip(batch["id"], batch["text"]):
+            for i, h, text in zip(batch["id"], batch["text_hash"], batch["text"]):
                 s = shingles(text, width, known)
                 if len(s) == 0:
-                    rows.append((i, 0, None, 0, [], 0.0, None))
+                    rows.append((i, h, 0, None, 0, [], 0.0, None))
                     continue
                 matches, first, common = prefix(s, shared.value, background, percent)
-                rows.append((i, len(s), xxhash.xxh128_digest(s.tobytes()), matches,
-                             first.view(np.int64), common, sketch(s)))
-            yield pd.DataFrame(rows, columns=["id", "n", "signature", "matches", "prefix", "common", "sketch"])
+                rows.append((i, h, len(s), xxhash.xxh128_digest(s.tobytes()), matches, first.view(np.int64), common, sketch(s)))
+            yield pd.DataFrame(rows, columns=["id", "text_hash", "n", "signature", "matches", "prefix", "common", "sketch"])
 
-    id_type = texts.schema["id"].dataType.simpleString()
-    return texts.mapInPandas(run, f"id {id_type}, n bigint, signature binary, matches int, "
+    return texts.mapInPandas(run, "id string, text_hash bigint, n bigint, signature binary, matches int, "
                                   "prefix array<bigint>, common double, sketch binary")
 
 
-def _sets(texts: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """``id`` and whole ``set`` of the rows of ``ids`` (id, signature)."""
+def verified(rows: DataFrame, own: DataFrame, pairs: DataFrame, width: int, percent: int, work: Scratch) -> DataFrame:
+    """The pairs (a, b) of signatures that link, checked on their whole sets."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = _WordHashes()
         for batch in batches:
-            rows = [(i, shingles(t, width, known), g) for i, t, g in zip(batch["id"], batch["text"], batch["signature"])]
-            rows = [(i, s.view(np.int64)) for i, s, g in rows if xxhash.xxh128_digest(s.tobytes()) == g]
-            yield pd.DataFrame(rows, columns=["id", "set"])
-
-    id_type = texts.schema["id"].dataType.simpleString()
-    small = broadcast_if_small(ids, F.lit(40))
-    return texts.join(small, "id").mapInPandas(run, f"id {id_type}, set array<bigint>").dropDuplicates(["id"])
-
-
-def verified(texts: DataFrame, own: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, checked on their whole sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    ids = stored(own.select("id", "signature").join(ids, "id", "left_semi"), "pair_ids")
-    sets = stored(_sets(texts, ids, width), "sets")
-    both = pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b") \
-        .join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
+            sets = [(g, shingles(t, width, known)) for g, t in zip(batch["signature"], batch["text"])]
+            yield pd.DataFrame([(g, s.view(np.int64)) for g, s in sets if xxhash.xxh128_digest(s.tobytes()) == g],
+                               columns=["signature", "set"])
+
+    names = pairs.select(F.explode(F.array("a", "b")).alias("signature")).distinct()
+    wanted = work.stored(own.select("signature", "pick.id", "pick.text_hash").join(names, "signature", "left_semi"), "wanted")
+    small = broadcast_if_small(wanted, F.lit(64)).alias("w")
+    texts = rows.alias("r").join(small, F.col("r.text_hash").eqNullSafe(F.col("w.text_hash"))
+                                 & F.col("r.id").eqNullSafe(F.col("w.id"))).select("w.signature", "r.text")
+    sets = work.stored(texts.mapInPandas(run, "signature binary, set array<bigint>").dropDuplicates(["signature"]), "sets")
+    both = pairs.join(sets.select(F.col("signature").alias("b"), F.col("set").alias("sb")), "b") \
+        .join(sets.select(F.col("signature").alias("a"), F.col("set").alias("sa")), "a")
     shared = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - shared
-    return both.filter(shared * 100 >= union * percent).select("a", "b")
+    links = work.stored(both.filter(shared * 100 >= union * percent).select("a", "b"), "links")
+    work.drop(wanted, sets)
+    return links
 
 
 def sizes_allow(percent: int, x: Column, y: Column) -> Column:
@@ -206,21 +203,26 @@ def components(links: DataFrame) -> DataFrame:
     Labels shrink to the smallest among neighbours and then to the label's own
     label, so chains halve in each round; every round is a table of its own.
     """
-    edges = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-                   .distinct(), "edges")
+    work = Scratch(links.sparkSession, "components")
+    edges = work.stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+                        .distinct(), "edges")
     label = edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("a")).alias("component"))
-    label = stored(label, "labels")
+    held = work.stored(label, "labels")
     while True:
+        label = held.select("id", "component")
         near = edges.join(label.withColumnsRenamed({"id": "b"}), "b") \
             .groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near"))
         step = label.join(near, "id").select("id", F.least("component", "near").alias("to"), "component")
         jump = label.select(F.col("id").alias("to"), F.col("component").alias("beyond"))
-        after = stored(step.join(jump, "to", "left").select(
+        after = work.stored(step.join(jump, "to", "left").select(
             "id", F.least("to", F.coalesce("beyond", "to")).alias("component"),
             (F.least("to", F.coalesce("beyond", "to")) != F.col("component")).alias("moved")), "labels")
-        label = after.select("id", "component")
+        work.drop(held)
+        held = after
         if not after.filter("moved").limit(1).count():
-            return label
+            out = stored(after.select("id", "component"), "components")
+            work.close()
+            return out
 
 
 def _sketch_filter(pairs: DataFrame, percent: int) -> DataFrame:
@@ -238,17 +240,22 @@ def _sketch_filter(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInPandas(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept))
 
 
-def _block_pairs(blocks: DataFrame, percent: int, id_type: str) -> DataFrame:
-    """Candidate pairs of every block. Rows sorted by block arrive as a stream; a batch of whole
-    blocks is compared at once, each row with the one ``lag`` rows on while that is in its block."""
+def _block_pairs(blocks: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) and how many lists of a block's hub name them.
+
+    Rows arrive as a stream, sorted by hub and pieces, then list: the lists of one group of near
+    copies have one hub, so a pair is counted over them before it leaves the task. A batch of
+    whole lists is compared at once, each row with the one ``lag`` rows on while that is in its list.
+    """
 
     def pairs(rows: pd.DataFrame, key: np.ndarray) -> pd.DataFrame:
-        new = np.append(True, (key[1:] != key[:-1]).any(axis=1))
+        new = np.append(True, key[1:] != key[:-1])
         ends = np.append(np.flatnonzero(new)[1:], len(rows))
         end = ends[np.cumsum(new) - 1]
-        ids, comp, n, side = (rows[c].to_numpy() for c in ("id", "component", "n", "side"))
+        name, n, side = (rows[c].to_numpy() for c in ("signature", "n", "side"))
+        comp, ids = pd.factorize(rows["component"])[0], pd.factorize(name)[0]
         vec = np.frombuffer(b"".join(rows["sketch"]), dtype=np.uint8).reshape(-1, SKETCH).astype(np.int16)
-        out_a, out_b = [ids[:0]], [ids[:0]]
+        found_a, found_b = [ids[:0]], [ids[:0]]
         x, lag = np.arange(len(rows)), 0
         while True:
             lag += 1
@@ -260,98 +267,116 @@ def _block_pairs(blocks: DataFrame, percent: int, id_type: str) -> DataFrame:
                 & (np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * percent)
             u, v = x[ok], y[ok]
             near = np.abs(vec[u] - vec[v]).sum(axis=1) <= least_difference(percent, n[u], n[v])
-            out_a.append(np.minimum(ids[u[near]], ids[v[near]]))
-            out_b.append(np.maximum(ids[u[near]], ids[v[near]]))
-        return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+            found_a.append(np.minimum(ids[u[near]], ids[v[near]]))
+            found_b.append(np.maximum(ids[u[near]], ids[v[near]]))
+        code, lists = np.unique(np.concatenate(found_a) * len(rows) + np.concatenate(found_b), return_counts=True)
+        at = np.zeros(len(rows), dtype=int)
+        at[ids] = np.arange(len(rows))
+        a, b = name[at[code // max(len(rows), 1)]], name[at[code % max(len(rows), 1)]]
+        swap = a > b
+        return pd.DataFrame({"a": np.where(swap, b, a), "b": np.where(swap, a, b), "lists": lists})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for batch in batches:
             batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            key = batch[["token", "i", "j"]].to_numpy()
-            cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+            token, group = batch["token"].to_numpy(), pd.factorize(batch["hub"])[0]
+            pieces = batch[["i", "j"]].to_numpy()
+            cut = np.flatnonzero((group[1:] != group[:-1]) | (pieces[1:] != pieces[:-1]).any(axis=1)) + 1
             last = int(cut[-1]) if len(cut) else 0
+            if not last and len(batch) > HELD_ROWS:      # a hub of many lists: cut between two of them
+                cut = np.flatnonzero(token[1:] != token[:-1]) + 1
+                last = int(cut[-1]) if len(cut) else 0
             if last:
-                yield pairs(batch.iloc[:last], key[:last])
+                yield pairs(batch.iloc[:last], _list_keys(batch.iloc[:last]))
             held = batch.iloc[last:]
         if held is not None and len(held):
-            yield pairs(held, held[["token", "i", "j"]].to_numpy())
+            yield pairs(held, _list_keys(held))
+
+    return blocks.mapInPandas(run, "a binary, b binary, lists bigint")
+
 
-    return blocks.mapInPandas(run, f"a {id_type}, b {id_type}")
+def _list_keys(rows: pd.DataFrame) -> np.ndarray:
+    """One number per run of rows of a list's block."""
+    token, pieces = rows["token"].to_numpy(), rows[["i", "j"]].to_numpy()
+    new = np.append(False, (token[1:] != token[:-1]) | (pieces[1:] != pieces[:-1]).any(axis=1))
+    return np.cumsum(new)
 
 
-def classes(docs: DataFrame, width: int, percent: int, id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
-    """``__id``, ``__text_hash``, ``n_shingles``, ``component``: one row per distinct (id, text).
+def similar(docs: DataFrame, width: int, percent: int, id_col: str = "doc_id", text_col: str = "text",
+            with_text_hash: bool = False) -> DataFrame:
+    """``id_col``, ``n_shingles`` and ``component_id``, one row per row of ``docs``.
 
-    See ``similar`` for the cases of nulls and repeats.
+    ``component_id`` is the smallest id reachable by links, itself included. A
+    text without words has an empty set and links with nothing; one with fewer
+    than ``width`` words is one shingle. A row with a null id joins the component
+    of its set, and is null where no row of that has an id. Repeated rows each
+    have a row; an id with several texts belongs to the components of all of them,
+    and each of its rows has its own text's (``with_text_hash`` adds ``text_hash``,
+    the xxhash64 of the text, to tell them apart). An empty table gives an empty
+    result; other columns are not read. Ids are whole numbers.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
+    work = Scratch(spark, "ngram_join")
+    id_type = docs.schema[id_col].dataType
     text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
+    # ids go to Python as text: pandas would round them beside a null
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     counts = cell_counts(rows.select("text"), width)
-    records = stored(_records(rows, width, percent, counts), "records")
-    # One class per set; an id-less row can belong to a class but not stand for it.
-    whole = records.filter("n > 0 AND id IS NOT NULL")
-    by_set = stored(whole.groupBy("signature").agg(F.min("id").alias("class")), "classes")
-    stand = by_set.groupBy(F.col("class").alias("id")).agg(F.min("signature").alias("signature"))
-    own = stored(whole.join(stand, ["id", "signature"], "left_semi").dropDuplicates(["id"]), "representatives")
-    id_type = own.schema["id"].dataType.simpleString()
-
-    postings = own.select("id", "n", "matches", "common", F.explode("prefix").alias("token"))
+    records = work.stored(_records(rows, width, percent, counts), "records")
+    narrow = stored(records.select("id", "text_hash", "n", "signature"), "sets_of_rows")
+    # One class per set, named by its signature.
+    own = work.stored(records.filter("n > 0").groupBy("signature").agg(
+        F.min(F.struct("id", "text_hash")).alias("pick"), F.min(F.col("id").cast(id_type)).alias("smallest"),
+        *[F.first(c).alias(c) for c in ("n", "matches", "prefix", "common", "sketch")]), "classes")
+    work.drop(records)
+
+    postings = own.select("signature", "n", "common", F.explode("prefix").alias("token"))
     lists = postings.groupBy("token").agg(
-        F.count(F.lit(1)).alias("members"),
-        F.max(F.struct(F.col("common"), (-F.col("id")).alias("minus"))).alias("top")) \
-        .filter("members > 1").select("token", "members", (-F.col("top.minus")).cast(id_type).alias("hub"))
-    joint = stored(postings.join(lists, "token"), "postings")
-
-    size = own.select("id", "n", "sketch")
-    a_side = size.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
-    b_side = size.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
-    stars = joint.filter("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")) \
-        .distinct().join(a_side, "a").join(b_side, "b").filter(sizes_allow(percent, F.col("na"), F.col("nb")))
-    star_pairs = stored(_sketch_filter(stars, percent), "star_pairs")
-    star_links = stored(verified(rows, own, star_pairs, width, percent), "star_links")
-    label = components(star_links)
-
-    labelled = joint.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_lists = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .filter("lo < hi").select("token")
-    live = labelled.join(open_lists, "token", "left_semi")
-    live = stored(live.select("token", "id", "n", "component", "members"), "open_postings")
-    pieces = live.withColumn("cuts", F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")) \
-        .withColumn("piece", F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int"))
+        F.count(F.lit(1)).alias("members"), F.max(F.struct("common", "signature", "n")).alias("top")) \
+        .filter("members > 1").select("token", F.col("top.signature").alias("hub"), F.col("top.n").alias("n_hub"))
+    joint = work.stored(postings.join(lists, "token").select("token", "signature", "n", "hub", "n_hub"), "postings")
+
+    size = own.select("signature", "n", "sketch")
+    a_side, b_side = (size.select(F.col("signature").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"k{c}")) for c in "ab")
+    stars = joint.filter("signature <> hub").filter(sizes_allow(percent, F.col("n"), F.col("n_hub"))) \
+        .select(F.least("signature", "hub").alias("a"), F.greatest("signature", "hub").alias("b")).distinct() \
+        .join(a_side, "a").join(b_side, "b")
+    tried = work.stored(_sketch_filter(stars, percent), "star_pairs")
+    links = verified(rows, own, tried, width, percent, work)
+    label = components(links)
+
+    labelled = joint.join(label.withColumnRenamed("id", "signature"), "signature", "left") \
+        .withColumn("component", F.coalesce("component", "signature"))
+    open_lists = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                               F.count(F.lit(1)).alias("members")).filter("lo < hi").select("token", "members")
+    pieces = labelled.join(open_lists, "token").withColumn("cuts", F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")) \
+        .withColumn("piece", F.pmod(F.xxhash64("signature"), F.col("cuts")).cast("int"))
     # Every unordered pair of pieces of a list is one block; a member goes to each block of its piece.
     with_blocks = pieces.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))) \
         .withColumn("i", F.least("piece", "other")).withColumn("j", F.greatest("piece", "other")) \
         .withColumn("side", F.when(F.col("i") == F.col("j"), 0).when(F.col("piece") == F.col("i"), -1).otherwise(1))
-    blocks = with_blocks.join(size.select("id", "sketch"), "id") \
-        .select("token", "i", "j", "side", "id", "n", "component", "sketch") \
-        .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    named = _block_pairs(blocks, percent, id_type).groupBy("a", "b").agg(F.count(F.lit(1)).alias("lists"))
-    need = own.select("id", "matches")
-    candidates = named.join(need.select(F.col("id").alias("a"), F.col("matches").alias("ma")), "a") \
-        .join(need.select(F.col("id").alias("b"), F.col("matches").alias("mb")), "b") \
-        .filter(F.col("lists") >= F.least("ma", "mb")).select("a", "b")
-    more = verified(rows, own, stored(candidates, "candidates"), width, percent)
-    final = components(stored(star_links.unionByName(more), "links"))
-
-    of_set = by_set.join(final, F.col("class") == F.col("id"), "left") \
-        .select("signature", F.coalesce("component", "class").alias("component"))
-    return records.select("id", "n", "signature").join(of_set, "signature", "left") \
-        .select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
-
-
-def similar(docs: DataFrame, width: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, ``n_shingles`` and ``component_id``, one row per row of ``docs``.
-
-    ``component_id`` is the smallest id reachable by links, itself included. A
-    text without words has an empty set and links with nothing; one with fewer
-    than ``width`` words is one shingle. A row with a null id joins the component
-    of its set's class, if there is one, and is null otherwise. Repeated rows each
-    have a row; an id stands for one set (of several, the one with the smallest
-    signature) and its rows share a component. An empty table gives an empty
-    result; other columns are not read. Ids are whole numbers.
-    """
-    found = classes(docs, width, percent, id_col, text_col)
-    return found.withColumnsRenamed({"id": id_col, "component": "component_id"})
+    spread = F.when(F.col("cuts") > 1, F.col("token")).otherwise(0)       # long lists are dealt out one by one
+    blocks = with_blocks.join(size.select("signature", "sketch"), "signature").withColumn("spread", spread) \
+        .select("hub", "spread", "i", "j", "token", "side", "signature", "n", "component", "sketch") \
+        .repartition("hub", "spread", "i", "j").sortWithinPartitions("hub", "spread", "i", "j", "token").drop("spread")
+    named = _block_pairs(blocks, percent).groupBy("a", "b").agg(F.sum("lists").alias("lists"))
+    need = own.select("signature", "matches")
+    candidates = work.stored(named.join(tried, ["a", "b"], "left_anti")
+                             .join(need.select(F.col("signature").alias("a"), F.col("matches").alias("ma")), "a")
+                             .join(need.select(F.col("signature").alias("b"), F.col("matches").alias("mb")), "b")
+                             .filter(F.col("lists") >= F.least("ma", "mb")).select("a", "b"), "candidates")
+    work.drop(joint)
+    more = verified(rows, own, candidates, width, percent, work)
+    final = components(work.stored(links.unionByName(more), "all_links"))
+
+    classes = own.select("signature", "smallest").join(final.withColumnRenamed("id", "signature"), "signature", "left") \
+        .withColumn("component", F.coalesce("component", "signature"))
+    least = classes.groupBy("component").agg(F.min("smallest").alias("component_id"))
+    answers = stored(classes.join(least, "component").select("signature", "component_id"), "groups")
+    work.close()
+    own_id = F.col("id").cast(id_type)
+    return narrow.join(answers, "signature", "left").select(
+        own_id.alias(id_col), *(["text_hash"] if with_text_hash else []), F.col("n").alias("n_shingles"),
+        F.when(F.col("n") == 0, own_id).otherwise(F.col("component_id")).alias("component_id"))
