@@ -3,7 +3,7 @@
 A document is the set of its distinct word shingles; two documents link when
 ``100 * |x & y| >= percent * |x | y|``. The result is each document's component.
 
-1. Documents with equal sets are one class, named by the set's 128-bit hash.
+1. Documents with equal sets (by a 128-bit hash) are one class.
 2. Shingles have one global order, rare ones first: counts of hashed cells of
    all shingles (a fixed-size table), then the shingle's hash. Any order is
    right; this one keeps common passages out of the prefixes.
@@ -169,23 +169,23 @@ def _records(texts: DataFrame, width: int, percent: int, counts: np.ndarray) ->
 
 
 def verified(rows: DataFrame, own: DataFrame, pairs: DataFrame, width: int, percent: int, work: Scratch) -> DataFrame:
-    """The pairs (a, b) of signatures that link, checked on their whole sets."""
+    """The pairs (a, b) of classes that link, checked on their whole sets."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = _WordHashes()
         for batch in batches:
-            sets = [(g, shingles(t, width, known)) for g, t in zip(batch["signature"], batch["text"])]
-            yield pd.DataFrame([(g, s.view(np.int64)) for g, s in sets if xxhash.xxh128_digest(s.tobytes()) == g],
-                               columns=["signature", "set"])
+            sets = [(c, g, shingles(t, width, known)) for c, g, t in zip(batch["cls"], batch["signature"], batch["text"])]
+            yield pd.DataFrame([(c, s.view(np.int64)) for c, g, s in sets if xxhash.xxh128_digest(s.tobytes()) == g],
+                               columns=["cls", "set"])
 
-    names = pairs.select(F.explode(F.array("a", "b")).alias("signature")).distinct()
-    wanted = work.stored(own.select("signature", "pick.id", "pick.text_hash").join(names, "signature", "left_semi"), "wanted")
-    small = broadcast_if_small(wanted, F.lit(64)).alias("w")
+    names = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    wanted = work.stored(own.select("cls", "signature", "pick.id", "pick.text_hash").join(names, "cls", "left_semi"), "wanted")
+    small = broadcast_if_small(wanted, F.lit(72)).alias("w")
     texts = rows.alias("r").join(small, F.col("r.text_hash").eqNullSafe(F.col("w.text_hash"))
-                                 & F.col("r.id").eqNullSafe(F.col("w.id"))).select("w.signature", "r.text")
-    sets = work.stored(texts.mapInPandas(run, "signature binary, set array<bigint>").dropDuplicates(["signature"]), "sets")
-    both = pairs.join(sets.select(F.col("signature").alias("b"), F.col("set").alias("sb")), "b") \
-        .join(sets.select(F.col("signature").alias("a"), F.col("set").alias("sa")), "a")
+                                 & F.col("r.id").eqNullSafe(F.col("w.id"))).select("w.cls", "w.signature", "r.text")
+    sets = work.stored(texts.mapInPandas(run, "cls bigint, set array<bigint>").dropDuplicates(["cls"]), "sets")
+    both = pairs.join(sets.select(F.col("cls").alias("b"), F.col("set").alias("sb")), "b") \
+        .join(sets.select(F.col("cls").alias("a"), F.col("set").alias("sa")), "a")
     shared = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - shared
     links = work.stored(both.filter(shared * 100 >= union * percent).select("a", "b"), "links")
@@ -252,7 +252,7 @@ def _block_pairs(blocks: DataFrame, percent: int) -> DataFrame:
         new = np.append(True, key[1:] != key[:-1])
         ends = np.append(np.flatnonzero(new)[1:], len(rows))
         end = ends[np.cumsum(new) - 1]
-        name, n, side = (rows[c].to_numpy() for c in ("signature", "n", "side"))
+        name, n, side = (rows[c].to_numpy() for c in ("cls", "n", "side"))
         comp, ids = pd.factorize(rows["component"])[0], pd.factorize(name)[0]
         vec = np.frombuffer(b"".join(rows["sketch"]), dtype=np.uint8).reshape(-1, SKETCH).astype(np.int16)
         found_a, found_b = [ids[:0]], [ids[:0]]
@@ -293,7 +293,7 @@ def _block_pairs(blocks: DataFrame, percent: int) -> DataFrame:
         if held is not None and len(held):
             yield pairs(held, _list_keys(held))
 
-    return blocks.mapInPandas(run, "a binary, b binary, lists bigint")
+    return blocks.mapInPandas(run, "a bigint, b bigint, lists bigint")
 
 
 def _list_keys(rows: pd.DataFrame) -> np.ndarray:
@@ -326,53 +326,54 @@ def similar(docs: DataFrame, width: int, percent: int, id_col: str = "doc_id", t
     counts = cell_counts(rows.select("text"), width)
     records = work.stored(_records(rows, width, percent, counts), "records")
     narrow = stored(records.select("id", "text_hash", "n", "signature"), "sets_of_rows")
-    # One class per set, named by its signature.
+    # One class per set. Its number is drawn as the table is written, and short: it is in every posting.
     own = work.stored(records.filter("n > 0").groupBy("signature").agg(
         F.min(F.struct("id", "text_hash")).alias("pick"), F.min(F.col("id").cast(id_type)).alias("smallest"),
-        *[F.first(c).alias(c) for c in ("n", "matches", "prefix", "common", "sketch")]), "classes")
+        *[F.first(c).alias(c) for c in ("n", "matches", "prefix", "common", "sketch")])
+        .withColumn("cls", F.monotonically_increasing_id()), "classes")
     work.drop(records)
 
-    postings = own.select("signature", "n", "common", F.explode("prefix").alias("token"))
+    postings = own.select("cls", "n", "common", F.explode("prefix").alias("token"))
     lists = postings.groupBy("token").agg(
-        F.count(F.lit(1)).alias("members"), F.max(F.struct("common", "signature", "n")).alias("top")) \
-        .filter("members > 1").select("token", F.col("top.signature").alias("hub"), F.col("top.n").alias("n_hub"))
-    joint = work.stored(postings.join(lists, "token").select("token", "signature", "n", "hub", "n_hub"), "postings")
-
-    size = own.select("signature", "n", "sketch")
-    a_side, b_side = (size.select(F.col("signature").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"k{c}")) for c in "ab")
-    stars = joint.filter("signature <> hub").filter(sizes_allow(percent, F.col("n"), F.col("n_hub"))) \
-        .select(F.least("signature", "hub").alias("a"), F.greatest("signature", "hub").alias("b")).distinct() \
+        F.count(F.lit(1)).alias("members"), F.max(F.struct("common", "cls", "n")).alias("top")) \
+        .filter("members > 1").select("token", F.col("top.cls").alias("hub"), F.col("top.n").alias("n_hub"))
+    joint = work.stored(postings.join(lists, "token").select("token", "cls", "n", "hub", "n_hub"), "postings")
+
+    size = own.select("cls", "n", "sketch")
+    a_side, b_side = (size.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"k{c}")) for c in "ab")
+    stars = joint.filter("cls <> hub").filter(sizes_allow(percent, F.col("n"), F.col("n_hub"))) \
+        .select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct() \
         .join(a_side, "a").join(b_side, "b")
     tried = work.stored(_sketch_filter(stars, percent), "star_pairs")
     links = verified(rows, own, tried, width, percent, work)
     label = components(links)
 
-    labelled = joint.join(label.withColumnRenamed("id", "signature"), "signature", "left") \
-        .withColumn("component", F.coalesce("component", "signature"))
+    labelled = joint.join(label.withColumnRenamed("id", "cls"), "cls", "left") \
+        .withColumn("component", F.coalesce("component", "cls"))
     open_lists = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                                F.count(F.lit(1)).alias("members")).filter("lo < hi").select("token", "members")
     pieces = labelled.join(open_lists, "token").withColumn("cuts", F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")) \
-        .withColumn("piece", F.pmod(F.xxhash64("signature"), F.col("cuts")).cast("int"))
+        .withColumn("piece", F.pmod(F.xxhash64("cls"), F.col("cuts")).cast("int"))
     # Every unordered pair of pieces of a list is one block; a member goes to each block of its piece.
     with_blocks = pieces.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))) \
         .withColumn("i", F.least("piece", "other")).withColumn("j", F.greatest("piece", "other")) \
         .withColumn("side", F.when(F.col("i") == F.col("j"), 0).when(F.col("piece") == F.col("i"), -1).otherwise(1))
     spread = F.when(F.col("cuts") > 1, F.col("token")).otherwise(0)       # long lists are dealt out one by one
-    blocks = with_blocks.join(size.select("signature", "sketch"), "signature").withColumn("spread", spread) \
-        .select("hub", "spread", "i", "j", "token", "side", "signature", "n", "component", "sketch") \
+    blocks = with_blocks.join(size.select("cls", "sketch"), "cls").withColumn("spread", spread) \
+        .select("hub", "spread", "i", "j", "token", "side", "cls", "n", "component", "sketch") \
         .repartition("hub", "spread", "i", "j").sortWithinPartitions("hub", "spread", "i", "j", "token").drop("spread")
     named = _block_pairs(blocks, percent).groupBy("a", "b").agg(F.sum("lists").alias("lists"))
-    need = own.select("signature", "matches")
+    need = own.select("cls", "matches")
     candidates = work.stored(named.join(tried, ["a", "b"], "left_anti")
-                             .join(need.select(F.col("signature").alias("a"), F.col("matches").alias("ma")), "a")
-                             .join(need.select(F.col("signature").alias("b"), F.col("matches").alias("mb")), "b")
+                             .join(need.select(F.col("cls").alias("a"), F.col("matches").alias("ma")), "a")
+                             .join(need.select(F.col("cls").alias("b"), F.col("matches").alias("mb")), "b")
                              .filter(F.col("lists") >= F.least("ma", "mb")).select("a", "b"), "candidates")
     work.drop(joint)
     more = verified(rows, own, candidates, width, percent, work)
     final = components(work.stored(links.unionByName(more), "all_links"))
 
-    classes = own.select("signature", "smallest").join(final.withColumnRenamed("id", "signature"), "signature", "left") \
-        .withColumn("component", F.coalesce("component", "signature"))
+    classes = own.select("cls", "signature", "smallest").join(final.withColumnRenamed("id", "cls"), "cls", "left") \
+        .withColumn("component", F.coalesce("component", "cls"))
     least = classes.groupBy("component").agg(F.min("smallest").alias("component_id"))
     answers = stored(classes.join(least, "component").select("signature", "component_id"), "groups")
     work.close()
