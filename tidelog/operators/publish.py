@@ -269,12 +269,15 @@ def events_to_retry(events: DataFrame, responses: DataFrame) -> DataFrame:
     ``eid, publishing_status, step``.
     """
     ev = events.withColumn("_id", event_id(F.col("category"), F.col("metadata"), F.col("raw")))
+    # events without an id are spread by their text: a key that no id equals
+    ev = ev.withColumn("_none", F.col("_id").isNull()).withColumn(
+        "_id", F.coalesce("_id", F.concat(F.lit("-"), F.xxhash64("raw").cast("string"))))
     retry_ids = responses.filter(needs_retry(F.col("publishing_status"), F.col("step")) & F.col("eid").isNotNull()) \
         .select(F.col("eid").alias("_id"), F.lit(True).alias("_retry")).distinct()
     # one pass over the events: a left join with the distinct retry ids keeps
     # the matched ones and every event without an id
-    return ev.join(retry_ids, "_id", "left").filter(F.col("_id").isNull() | F.col("_retry").isNotNull()) \
-        .drop("_id", "_retry")
+    return ev.join(retry_ids, "_id", "left").filter(F.col("_none") | F.col("_retry").isNotNull()) \
+        .drop("_id", "_none", "_retry")
 
 
 def outcome_summary(outcomes: DataFrame, keys: list[str] | None = None) -> DataFrame:

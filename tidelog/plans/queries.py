@@ -735,8 +735,9 @@ def q_stream_flush(spark, sf):
 
 
 def q_stream_compaction(spark, sf):
-    """Streaming A7 for the compacted types; events without a key pass through."""
+    """Streaming A7 for the compacted types, merged into a kept table; events without a key pass through."""
     from tidelog.streaming import stateful as ST2
+    from tidelog.streaming.latest import LatestTable
 
     root = scratch_dir(spark, "compact")
     keys = ["event_type", "partition", "partition_compaction_key"]
@@ -746,18 +747,18 @@ def q_stream_compaction(spark, sf):
     keyed = F.col("partition_compaction_key").isNotNull()
     latest = ST2.streaming_latest(src.filter(keyed), keys, "offset", ["event_id"])
 
+    schema = "event_type string, partition string, partition_compaction_key string, offset long, event_id long"
+    kept = LatestTable(spark, f"{root}/latest", keys, "offset", schema)
+
     def upsert(df, batch_id):
-        df.write.mode("overwrite").parquet(f"{root}/latest/batch_id={batch_id}")
+        kept.merge(df, "compaction", batch_id)
 
     runs = [latest.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", f"{root}/ckpt"),
             src.filter(~keyed).writeStream.format("parquet").option("path", f"{root}/unkeyed")
             .option("checkpointLocation", f"{root}/ckpt-unkeyed")]
     for q in [w.trigger(availableNow=True).start() for w in runs]:
         q.awaitTermination()
-    schema = "event_type string, partition string, partition_compaction_key string, offset long, event_id long"
-    out = spark.read.schema(schema + ", batch_id long").parquet(f"{root}/latest")
-    return out.groupBy(*keys).agg(F.max_by("event_id", "offset").alias("event_id"), F.max("offset").alias("offset")) \
-        .unionByName(spark.read.schema(schema).parquet(f"{root}/unkeyed"))
+    return kept.read().unionByName(spark.read.schema(schema).parquet(f"{root}/unkeyed"))
 
 
 def q_stream_traffic(spark, sf):
