@@ -20,7 +20,7 @@ UUID = "7b4d4a2e-3f0a-4c43-9d0c-6a8f1b2c3d4e"
 MD = '"eid": "c0ffee12-3456-4abc-8def-0123456789ab", "occurred_at": "2024-03-01T10:00:00Z", "published_by": "billing_service"'
 CORE = f'"given_name": "Ines", "family_name": "Moreau", "ref": "{UUID}"'
 BUSINESS = f'{{"metadata": {{{MD}}}, {CORE}}}'
-DATA = f'{{"metadata": {{{MD}}}, "data_op": "C", "data": {{{CORE}}}, "data_type": "blah"}}'
+DATA = f'{{"metadata": {{{MD}}}, "data_op": "C", "data": {{{CORE}}}, "data_type": "parcel"}}'
 UNDEFINED = f"{{{CORE}}}"
 SPAN_OK = ('{"eid":"6f1d2c3b-5a47-4e89-9b10-2d7c8e4f0a61","occurred_at":"2023-11-05T08:30:00Z","span_ctx":'
            '{"ot-tracer-spanid":"00aa11bb22cc33dd","ot-tracer-traceid":"44ee55ff66778899","ot-baggage-team":"blue"}}')
@@ -39,7 +39,7 @@ def test_three_categories(spark):
     assert b.metadata.eid == "c0ffee12-3456-4abc-8def-0123456789ab"
     assert b.metadata.published_by == "billing_service"
     assert (b.payload.given_name, b.payload.family_name, b.payload.ref) == ("Ines", "Moreau", UUID)
-    assert (d.category, d.data_op, d.data_type, d.error) == ("data", "C", "blah", None)
+    assert (d.category, d.data_op, d.data_type, d.error) == ("data", "C", "parcel", None)
     assert d.payload.given_name == "Ines"
     assert (u.category, u.metadata, u.error) == ("undefined", None, None)
     assert u.payload.family_name == "Moreau"
@@ -115,8 +115,8 @@ def test_error_kind(spark):
     bodies = [
         '{"title":"Not allowed","status":403,"detail":"caller may not read 6f1d2c3b-5a47-4e89-9b10-2d7c8e4f0a61"}',
         '{"title":"Conflict","status":409,"detail":"another request holds the lock","instance":"i-1"}',
-        '{"title":"Unauthorized","status":401}',
-        '{"type":"about:blank","title":"Unauthorized","status":401}',
+        '{"title":"Too many readers","status":429}',
+        '{"type":"urn:x:quota","title":"Quota spent","status":507}',
         '{"error":"x","error_description":"y"}',
         "oops",
         "",
