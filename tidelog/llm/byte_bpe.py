@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import small_batches
+from tidelog.llm.common import Kept, small_batches
 
 # Entries of the per-worker pre-token cache; it is emptied beyond that.
 CACHE_ENTRIES = 400_000
@@ -124,9 +124,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str
     small_batches(docs.sparkSession)
     vocab = read_ranks(ranks_path)
     shared = docs.sparkSession.sparkContext.broadcast((model_bytes(vocab), vocab, pattern))
-    columns = [F.col(c) for c in keep]
-    schema = docs.select(*columns).schema.simpleString()[len("struct<"):-1]
-    out = ", ".join(filter(None, [schema, "__n bigint, __ids binary, __decoded binary"]))
+    kept = Kept(docs, keep)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = Codec(*shared.value)
@@ -138,8 +136,9 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str
             batch["__decoded"] = [codec.decode(x) for x in ids]
             yield batch
 
-    df = docs.select(*columns, F.col(text_col).cast("string").alias("__text")).mapInPandas(run, out)
-    return df.withColumnsRenamed({"__n": "n_tokens", "__ids": "ids", "__decoded": "decoded"})
+    df = docs.select(*kept.sent, F.col(text_col).cast("string").alias("__text")) \
+        .mapInPandas(run, kept.schema("__n bigint, __ids binary, __decoded binary"))
+    return kept.back(df).withColumnsRenamed({"__n": "n_tokens", "__ids": "ids", "__decoded": "decoded"})
 
 
 def ids_array(df: DataFrame, ids_col: str = "ids", out: str = "token_ids") -> DataFrame:

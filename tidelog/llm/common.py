@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A side is broadcast only when its measured size is at most this.
 BROADCAST_MAX_BYTES = 32 << 20
@@ -100,6 +101,32 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_PER_BATCH))
 
 
+class Kept:
+    """Columns that a Python worker hands on unchanged.
+
+    pandas makes floats of whole numbers beside a null, and nulls of NaN; so numbers
+    go through it as text and come back as what they were.
+    """
+
+    def __init__(self, df: DataFrame, keep: list[str]) -> None:
+        self.fields = df.select(*[F.col(c) for c in keep]).schema.fields
+        self.sent = [F.col(f.name).cast("string").alias(f.name) if self._number(f) else F.col(f.name) for f in self.fields]
+
+    @staticmethod
+    def _number(field: T.StructField) -> bool:
+        return isinstance(field.dataType, (T.IntegralType, T.FloatType, T.DoubleType))
+
+    def schema(self, made: str) -> T.StructType:
+        """What the worker returns: these columns, and those that it makes (as DDL)."""
+        own = [T.StructField(f.name, T.StringType() if self._number(f) else f.dataType) for f in self.fields]
+        return T.StructType(own + T.StructType.fromDDL(made).fields)
+
+    def back(self, df: DataFrame) -> DataFrame:
+        """The worker's rows with these columns in their own types."""
+        own = [F.col(f.name).cast(f.dataType).alias(f.name) if self._number(f) else F.col(f.name) for f in self.fields]
+        return df.select(*own, *df.columns[len(own):])
+
+
 def id_bucket(col: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus`` (null: null)."""
     return F.crc32(col.cast("string")) % F.lit(modulus)

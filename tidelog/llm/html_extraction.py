@@ -20,9 +20,11 @@ The slots of the article are chosen on the wrapper: those inside the article
 (else main, else the best named container, else the body) and outside of menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 comments; names of classes and ids are a hint there, which drops no body,
-article or main. Inside the chosen elements the constants of required, optional
-and repeated slots go as well where at least ``SEVERAL`` different pages have
-the slot, unless nothing in the chosen slots differs. Every page is then parsed
+article or main. Inside an article an optional or repeated element outside of the
+text's flow (no paragraph, heading, list item or the like) goes as well where its
+text is the same on all its pages, at least two different ones; where nothing marks
+the article, any such element but headings and what stands in the flow beside text
+that differs. If no chosen slot differs, nothing goes. Every page is then parsed
 along its host's wrapper and the texts in the chosen slots are its main text,
 block by block. Nothing recurses, so elements may nest to any depth.
 """
@@ -39,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import BROADCAST_MAX_BYTES, small_batches, stored
+from tidelog.llm.common import BROADCAST_MAX_BYTES, Kept, small_batches, stored
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,8 +70,10 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 # Elements that names of classes and ids never drop.
 CONTAINERS = frozenset("html body article main".split())
-# Different pages (copies count once) that a slot's constants need to count as the host's text.
-SEVERAL = 5
+# Elements of a text's own flow: a constant in them is a byline, a heading or a label of the article.
+FLOW = HEADINGS | CONTAINERS | frozenset("p li blockquote pre dt dd td th caption figcaption".split())
+# Different pages (copies count once) that a slot's constants need: the fewest that can be aligned.
+SEVERAL = 2
 # Wrappers of a host that are folded in one group of the second step.
 FOLD = 64
 
@@ -261,11 +265,11 @@ def page_wrapper(page: str) -> dict:
         node, order, shown = path[-1]
         if kind == "open":
             child = node["c"].setdefault(value, _node())
-            if value in order:
+            last = next(reversed(order), value)
+            if last != value:
+                node["o"].add((last, value))
+            if order.pop(value, None):
                 child["r"] = 1
-            for earlier in order:
-                if earlier != value:
-                    node["o"].add((earlier, value))
             order[value] = child
             path.append((child, {}, _shown(value, shown)))
         else:
@@ -423,12 +427,14 @@ def chosen(wrapper: dict) -> dict:
             holders.add(at)
 
     out = {"keep": not semantic, "drop": frozenset(), "c": {}}
-    slots, todo = [], [(wrapper, out, not semantic)]
+    slots, varies, todo = [], False, [(wrapper, out, not semantic)]
     while todo:
         node, role, inside = todo.pop()
-        if role["keep"] and node["k"] is not None:
-            slots.append((node, role))
+        varies |= role["keep"] and bool(node["v"])
+        beside = node["v"] or any(c["v"] for c in node["c"].values())
         for key, child in node["c"].items():
+            if child["k"] is not None and not child["v"] and len(child["t"]) >= SEVERAL:
+                slots.append((child, role["c"], key, _template(key, child, node, semantic, beside)))
             tag = _names(key)[0]
             own = role["c"][key] = {"keep": False, "drop": frozenset(), "c": {}}
             if tag == "header" and inside and HEADINGS & {_names(k)[0] for k in child["c"]} and semantic:
@@ -441,13 +447,26 @@ def chosen(wrapper: dict) -> dict:
                 own["keep"] = inside or id(child) in roots
                 todo.append((child, own, own["keep"]))
     # The host's own text is what stays the same while other text differs; copies of one page say nothing.
-    if any(node["v"] for node, _ in slots):
-        for node, role in slots:
-            if len(node["t"]) >= SEVERAL:
-                role["drop"] = frozenset(node["k"])
+    if varies:
+        for node, roles, key, template in slots:
+            if template and key in roles:
+                roles[key]["drop"] = frozenset(node["k"])
     return out
 
 
+def _template(key: str, child: dict, parent: dict, semantic: bool, beside: bool) -> bool:
+    """Whether an element whose text is the same on all its pages is the host's and not the article's.
+
+    In an article (or what else holds the text) that is an optional or repeated element outside of the
+    text's flow. Where nothing marks the article, it is any element but headings, in the flow only
+    where nothing beside it differs between pages.
+    """
+    tag = _names(key)[0]
+    if semantic:
+        return tag not in FLOW and bool(child["r"] or child["n"] < parent["n"])
+    return tag not in HEADINGS and not (tag in FLOW and beside)
+
+
 def extract(page: str, roles: dict) -> str:
     """The texts in the chosen slots of a page, white space inside a block as one
     space, blocks joined by one space in page order."""
@@ -533,9 +552,8 @@ def main_text(pages: DataFrame, keep: list[str], url_col: str = "url", html_col:
     small_batches(spark)
     by_host = wrappers(pages, url_col, html_col)
     size = by_host.agg(F.sum(F.octet_length("wrapper")).alias("b")).first()["b"] or 0
-    columns = [F.col(c) for c in keep]
-    schema = pages.select(*columns).schema.simpleString()[len("struct<"):-1]
-    rows = pages.select(*columns, host_of(url_col).alias("__host"), F.col(html_col).cast("string").alias("__html"))
+    kept = Kept(pages, keep)
+    rows = pages.select(*kept.sent, host_of(url_col).alias("__host"), F.col(html_col).cast("string").alias("__html"))
     shared = None
     if size <= BROADCAST_MAX_BYTES:
         shared = spark.sparkContext.broadcast({r["host"]: r["wrapper"] for r in by_host.collect()})
@@ -563,5 +581,5 @@ def main_text(pages: DataFrame, keep: list[str], url_col: str = "url", html_col:
             batch["__text"] = texts
             yield batch
 
-    return rows.mapInPandas(run, f"{schema}, __text string").withColumnRenamed("__text", "text") \
+    return kept.back(rows.mapInPandas(run, kept.schema("__text string"))).withColumnRenamed("__text", "text") \
         .withColumn("n_chars", F.length("text").cast("bigint"))

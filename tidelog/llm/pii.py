@@ -20,11 +20,14 @@ counts cover the whole corpus. Entities that stand in the same texts have the
 same disclosures and are scored as one group.
 
 DataFrame functions only. Offsets come from the pieces between the matches, so
-a text is read by each pattern twice and never per character.
+a text is read by each pattern twice and never per character, whatever the number
+of matches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,23 +47,55 @@ KINDS = ("email", "ip", "card", "phone")
 SMOOTH = 1.0
 MIN_CONTEXTS = 3    # common texts from which the plain estimate is taken
 GENERALISE, REMOVE = 0.9, 0.999
+# Spans of a text that are folded together; work on a text of m spans grows with m * (GROUP + m / GROUP).
+GROUP = 256
 SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
 
-def found(text: Column, pattern: str, maybe: Column) -> Column:
-    """Leftmost non-overlapping matches of ``pattern`` as structs (start, end, value); none where not ``maybe``."""
-    pieces, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _groups(n: Column) -> Column:
+    return F.sequence(F.lit(0), F.floor((n - 1) / GROUP).cast("int"))
+
+
+def _members(group: Column, n: Column) -> Column:
+    """The positions of a group's up to ``GROUP`` entries of an array of ``n``."""
+    return F.sequence(group * GROUP, F.least(group * GROUP + GROUP, n) - 1)
+
 
-    def step(acc: Column, i: Column) -> Column:
-        start = acc["at"] + F.length(F.get(pieces, i))
-        end = start + F.length(F.get(values, i))
-        span = F.struct(start.alias("start"), end.alias("end"), F.get(values, i).alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+def _before(n: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """What ``join`` (of a state, from 0 on, and a position) has come to before each group, and after the last."""
+    return F.aggregate(_groups(n), F.array(F.lit(0)), lambda acc, g: F.concat(
+        acc, F.array(F.aggregate(_members(g, n), F.element_at(acc, -1), join))))
 
+
+def found(text: Column, pattern: str, maybe: Column) -> Column:
+    """Leftmost non-overlapping matches of ``pattern`` as structs (start, end, value); none where not ``maybe``.
+
+    The text is read twice; arrays only grow within ``GROUP`` matches, or by one entry for each such group.
+    """
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    all_of = F.aggregate(F.sequence(F.lit(0), F.size(values) - 1),
-                         F.struct(F.lit(0).alias("at"), empty.alias("out")), step)["out"]
-    return F.when(maybe & (F.size(values) > 0), all_of).otherwise(empty)
+
+    def spans(p: Column) -> Column:
+        gaps, values, n = p["gaps"], p["values"], F.size(p["values"])
+
+        def step(acc: Column, i: Column) -> Column:
+            start = acc["at"] + F.length(F.get(gaps, i))
+            end = start + F.length(F.get(values, i))
+            span = F.struct(start.alias("start"), end.alias("end"), F.get(values, i).alias("value"))
+            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+
+        starts = _before(n, lambda at, i: at + F.length(F.get(gaps, i)) + F.length(F.get(values, i)))
+        all_of = _let(starts, lambda at: F.flatten(F.transform(_groups(n), lambda g: F.aggregate(
+            _members(g, n), F.struct(F.get(at, g).alias("at"), empty.alias("out")), step)["out"])))
+        return F.when(n > 0, all_of).otherwise(empty)
+
+    pieces = F.struct(F.split(text, pattern, -1).alias("gaps"),
+                      F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)).alias("values"))
+    return F.when(maybe, _let(pieces, spans)).otherwise(empty)
 
 
 def _digits(value: Column) -> Column:
@@ -112,18 +147,42 @@ def _named(kind: str):
                               s["value"].alias("value"))
 
 
-def _blanked(text: Column, spans: Column) -> Column:
-    """The text with spaces in place of the spans, at unchanged offsets."""
+def _rewritten(text: Column, spans: Column, put: Callable[[Column, Column], Column]) -> Column:
+    """The text with ``put(span, at)`` in place of each span, where ``at`` is the end of the spans before it.
+
+    Spans (structs with start and end) come by start and may overlap; what any of them covers goes.
+    Up to ``GROUP`` spans share a stretch of the text, so that no span is looked up in the whole text.
+    """
+
+    def one(s: Column) -> Column:
+        n = F.size(s)
+        ends = _before(n, lambda at, i: F.greatest(at, F.get(s, i)["end"]))
+
+        def group(g: Column, at: Column) -> Column:
+            first = F.get(at, g)
+            stretch = F.substring(text, first + F.lit(1), F.get(at, g + 1) - first)
 
-    def step(acc: Column, s: Column) -> Column:
-        end = F.greatest(acc["at"], s["end"])
-        begin = F.greatest(acc["at"], s["start"])
-        clear = F.concat(acc["out"], F.substring(text, acc["at"] + F.lit(1), begin - acc["at"]), F.repeat(F.lit(" "), end - begin))
-        return F.struct(end.alias("at"), clear.alias("out"))
+            def step(acc: Column, i: Column, local: Column) -> Column:
+                span = F.get(s, i)
+                gap = F.substring(local, acc["at"] - first + F.lit(1), F.greatest(acc["at"], span["start"]) - acc["at"])
+                return F.struct(F.greatest(acc["at"], span["end"]).alias("at"),
+                                F.concat(acc["out"], gap, put(span, acc["at"])).alias("out"))
 
+            return _let(stretch, lambda local: F.aggregate(
+                _members(g, n), F.struct(first.alias("at"), F.lit("").alias("out")), lambda acc, i: step(acc, i, local))["out"])
+
+        done = _let(ends, lambda at: F.concat(F.array_join(F.transform(_groups(n), lambda g: group(g, at)), ""),
+                                              F.substring(text, F.element_at(at, -1) + F.lit(1), F.length(text))))
+        return F.when(n > 0, done).otherwise(text)
+
+    return _let(spans, one)
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with spaces in place of the spans, at unchanged offsets."""
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-    return F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                       lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + F.lit(1), F.length(text))))
+    return _rewritten(text, ordered, lambda s, at: F.repeat(
+        F.lit(" "), F.greatest(at, s["end"]) - F.greatest(at, s["start"])))
 
 
 def _words(text: str) -> Column:
@@ -236,13 +295,10 @@ def sanitise(found_rows: DataFrame, text_col: str = "text") -> DataFrame:
     spans = F.array_sort(F.transform(F.concat("base", "terms"), lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
 
-    def step(acc: Column, s: Column) -> Column:
-        tag = F.when(s["kind"] == "revealing", F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        clear = F.concat(acc["out"], F.substring(text, acc["at"] + F.lit(1), s["start"] - acc["at"]), tag)
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(s["start"] >= acc["at"], clear).otherwise(acc["out"]).alias("out"))
+    def put(s: Column, at: Column) -> Column:
+        tag = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
+        return F.when((s["start"] < at) | (s["kind"] == "revealing"), F.lit("")).otherwise(tag)
 
-    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                       lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + F.lit(1), F.length(text))))
+    done = _rewritten(text, spans, put)
     changed = F.size("base") + F.size("terms") > 0
     return found_rows.withColumn(text_col, F.when(changed, done).otherwise(F.col(text_col))).drop("base", "terms")

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import BROADCAST_MAX_BYTES, small_batches, stored
+from tidelog.llm.common import BROADCAST_MAX_BYTES, Kept, small_batches, stored
 
 CLASSES = ("lower", "upper", "digit", "space", "stop", "symbol", "other_ascii", "beyond_ascii")
 COMMON_WORDS = 50
@@ -177,10 +177,9 @@ def judge(docs: DataFrame, keep: list[str], char_limit: float = CHAR_LIMIT, word
     size = refs.agg(F.sum(F.octet_length("__ref")).alias("b")).first()["b"] or 0
     few = size <= BROADCAST_MAX_BYTES
     shared = docs.sparkSession.sparkContext.broadcast({r["__lang"]: r["__ref"] for r in refs.collect()} if few else {})
-    columns = [F.col(c) for c in keep]
-    schema = docs.select(*columns).schema.simpleString()[len("struct<"):-1]
+    kept = Kept(docs, keep)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_distance", "word_distance")
-    out = ", ".join([schema, *(f"__{n} bigint" for n in names[:5]), *(f"__{n} double" for n in names[5:])])
+    out = kept.schema(", ".join([*(f"__{n} bigint" for n in names[:5]), *(f"__{n} double" for n in names[5:])]))
 
     known: dict[str, tuple] = {}
 
@@ -215,7 +214,7 @@ def judge(docs: DataFrame, keep: list[str], char_limit: float = CHAR_LIMIT, word
                 batch[f"__{n}"] = pd.array([r[i] for r in rows], dtype="Int64" if i < 5 else "Float64")
             yield batch
 
-    rows_in = docs.select(*columns, F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("__lang"),
+    rows_in = docs.select(*kept.sent, F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("__lang"),
                           F.col(text_col).cast("string").alias("__text"))
     if few:
         rows_in = rows_in.withColumn("__ref", F.lit(None).cast("string"))
@@ -224,8 +223,8 @@ def judge(docs: DataFrame, keep: list[str], char_limit: float = CHAR_LIMIT, word
         pieces = 64
         spread = refs.withColumn("__piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
         rows_in = rows_in.withColumn("__piece", F.pmod(F.xxhash64("__text"), F.lit(pieces)).cast("int")) \
-            .join(spread, ["__lang", "__piece"], "left").select(*columns, "__lang", "__text", "__ref")
-    df = rows_in.mapInPandas(run, out)
+            .join(spread, ["__lang", "__piece"], "left").select(*[F.col(c) for c in keep], "__lang", "__text", "__ref")
+    df = kept.back(rows_in.mapInPandas(run, out))
     df = df.withColumnsRenamed({f"__{n}": n for n in names})
     failed = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
     far = (F.coalesce(F.col("char_distance"), F.lit(0.0)) > char_limit) \

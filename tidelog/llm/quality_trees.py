@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import labelled
-from tidelog.llm.common import small_batches
+from tidelog.llm.common import Kept, small_batches
 from tidelog.llm.quality_rules import CLASSES, char_counts, repeated_words
 
 # At most so many labelled rows are learnt from.
@@ -172,8 +172,7 @@ def score(docs: DataFrame, forest: Forest, keep: list[str], text_col: str = "tex
     result; columns not named are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vars(forest))
-    columns = [F.col(c) for c in keep]
-    schema = docs.select(*columns).schema.simpleString()[len("struct<"):-1]
+    kept = Kept(docs, keep)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Forest(**shared.value)
@@ -182,6 +181,6 @@ def score(docs: DataFrame, forest: Forest, keep: list[str], text_col: str = "tex
             batch["__score"] = own.score(x)
             yield batch
 
-    df = docs.select(*columns, F.col(text_col).cast("string").alias("__text")) \
-        .mapInPandas(run, f"{schema}, __score double").withColumnRenamed("__score", "score")
-    return df.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    df = docs.select(*kept.sent, F.col(text_col).cast("string").alias("__text")) \
+        .mapInPandas(run, kept.schema("__score double")).withColumnRenamed("__score", "score")
+    return kept.back(df).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

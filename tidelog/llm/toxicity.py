@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import labelled
-from tidelog.llm.common import small_batches, stored
+from tidelog.llm.common import Kept, small_batches, stored
 
 BUCKETS = 1 << 20
 SIZES = (3, 4, 5, 6)
@@ -157,8 +157,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
     """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
-    columns = [F.col(c) for c in keep]
-    schema = docs.select(*columns).schema.simpleString()[len("struct<"):-1]
+    kept = Kept(docs, keep)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Model(**shared.value)
@@ -166,9 +165,9 @@ def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
             batch["__score"] = [own.score(t) for t in batch.pop("__text")]
             yield batch
 
-    df = docs.select(*columns, F.col(text_col).cast("string").alias("__text")) \
-        .mapInPandas(run, f"{schema}, __score double").withColumnRenamed("__score", "score")
-    return df.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    df = docs.select(*kept.sent, F.col(text_col).cast("string").alias("__text")) \
+        .mapInPandas(run, kept.schema("__score double")).withColumnRenamed("__score", "score")
+    return kept.back(df).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic",
