@@ -225,19 +225,53 @@ def test_pii_terms_that_reveal_an_entity(spark):
     assert pii.find(frame(spark, []), ["doc_id"]).count() == 0
 
 
-def test_pii_every_pair_in_a_document_is_scored(spark):
+@pytest.mark.parametrize("others", [40, 1500])
+def test_pii_every_pair_in_a_document_is_scored(spark, others):
     far = "the road is long and the day is short " * 20
-    rows = [(0, f"Marlowe wrote this. {far} Ask a.b@c.org. {far} Yes, Marlowe did.", "en", "s"), (1, None, None, None)]
-    rows += [(2 + i, f"{far} a b@ Ask, wrote yes, this did number {i}", "en", "s") for i in range(1500)]
+    rows = [(i, f"Marlowe wrote this. {far} Ask a.b@c.org {'x' * (i + 1)}. {far} Yes, Marlowe did.", "en", "s") for i in range(3)]
+    rows += [(9, f"Once, Yorick sees {far} x@y.org", "en", "s"), (10, None, None, None)]
+    rows += [(20 + i, f"{far} a b@ Ask, wrote yes, once, this did number {i}", "en", "s") for i in range(others)]
     rows += [(5000 + i, f"note {i}: Ophelia sees +49 30 7654321, the road", "en", "s") for i in range(2)]
     rows += [(6000, "Ophelia sees, note", "en", "s"), rows[0]]
     found = pii.find(frame(spark, rows), ["doc_id", "text"]).filter(F.size("base") + F.size("terms") > 0).collect()
-    assert sorted(r.doc_id for r in found) == [0, 0, 5000, 5001]
+    assert sorted(r.doc_id for r in found) == [0, 0, 1, 2, 9, 5000, 5001]
     for r in found:
+        # Three texts are evidence; one (Yorick) or two of three (Ophelia) are none, whatever the size of the corpus.
         got = [(s.kind, s.start, s.end, s.value) for s in r.terms]
         assert got == [("revealing", m.start(), m.end(), "marlowe") for m in re.finditer("Marlowe", r.text)]
 
 
+def test_pii_terms_against_brute_force(spark):
+    rnd = random.Random(17)
+    entities = [f"u{i}@host.org" for i in range(6)]
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(30)]
+    texts = []
+    for i in range(300):
+        held = rnd.sample(entities, rnd.choice([0, 0, 1, 1, 2]))
+        said = rnd.sample(words, 5) + [f"name{'abcdef'[int(e[1])]}" for e in held if rnd.random() < 0.8]
+        said += [f"name{'abcdef'[rnd.randrange(6)]}"] * (rnd.random() < 0.08)
+        texts.append(" ".join(rnd.sample(held + said, len(held) + len(said))))
+    texts += texts[:20] + ["", None]
+    of = {t: (set(re.findall(r"u[0-9]@host[.]org", t)), set(re.findall(r"[a-z]{3,}", re.sub(r"u[0-9]@host[.]org", " ", t))))
+          for t in texts if t is not None}
+    n, want = len(of), {t: {} for t in of}
+    for c in entities:
+        n_c = sum(c in e for e, _ in of.values())
+        for t in set().union(*(w for _, w in of.values())):
+            n_t, n_ct = sum(t in w for _, w in of.values()), sum(t in w and c in e for e, w in of.values())
+            p, zz = n_ct / n_t, 1.645 ** 2
+            low = (p + zz / 2 / n_t - 1.645 * (p * (1 - p) / n_t + zz / 4 / n_t ** 2) ** 0.5) / (1 + zz / n_t)
+            if n_ct and low >= 0.5 and low >= 2 * n_c / n:
+                for text, (e, w) in of.items():
+                    if c in e and t in w:
+                        want[text][t] = "revealing" if n_ct == n_t or want[text].get(t) == "revealing" else "term"
+    assert sum(map(len, want.values())) > 50 and {k for w in want.values() for k in w.values()} >= {"term"}
+    rows = pii.find(frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]), ["doc_id", "text"]).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert {s.value: s.kind for s in r.terms} == want.get(r.text, {})
+
+
 def test_pii_patterns_do_not_recurse(spark):
     texts = ["7" * 1_000_000, "1 " * 500_000 + "x", "a@b" + ".c-d" * 100_000, "a\U00010400" * 100_000]
     df = spark.createDataFrame([(t,) for t in texts], "text string")

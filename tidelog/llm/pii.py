@@ -6,16 +6,16 @@ base value is a protected entity. Every term (a word of letters outside of base
 spans) of a text with an entity is judged by what the corpus says: with ``n``
 distinct texts, of which ``n_c`` hold the entity, ``n_t`` the term and ``n_ct`` both,
 
-    disclosure = PMI(c; t) / IC(c)
-               = log(n * n_ct / (n_c * n_t)) / log(n / n_c)
-
-is 1 when the term occurs nowhere but with the entity (it reveals all of the
-entity's information) and 0 when they are independent. The smoothed estimate
-supposes ``SMOOTH`` more texts with the term and without the entity, so what a
-single text says counts by the size of the corpus. A term whose smoothed
-disclosure reaches ``GENERALISE`` (the plain one, from ``MIN_CONTEXTS`` common texts
-on) is removed if its plain disclosure reaches ``REMOVE`` and generalised if not,
-wherever it stands in a text with the entity. Exact copies count once. All
+    IC(c) - PMI(c; t) = -log2 p(c | t),  p(c | t) = n_ct / n_t
+
+is what the term leaves open about the entity, in bits: 0 when it occurs nowhere but with
+the entity, and IC(c) when they are independent. Few texts prove little, so p(c | t) is taken
+at its lower confidence bound (Wilson's, one-sided, at ``Z``). A term gives the entity away
+if the bound leaves at most ``OPEN`` bits open and still tells at least ``TOLD`` bits (PMI).
+Such a term is removed if it was never seen without the entity and generalised if it was,
+wherever it stands in a text with the entity. Only the counts of the term and the entity
+decide how much is left open: a word of one or two texts is no evidence in a corpus of any
+size, and there is no other minimum. Exact copies count once. All
 counts cover the whole corpus. Entities that stand in the same texts have the
 same disclosures and are scored as one group.
 
@@ -44,9 +44,8 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TERM = r"\p{L}[\p{L}\p{M}]{2,}+"
 KINDS = ("email", "ip", "card", "phone")
 
-SMOOTH = 1.0
-MIN_CONTEXTS = 3    # common texts from which the plain estimate is taken
-GENERALISE, REMOVE = 0.9, 0.999
+OPEN, TOLD = 1.0, 1.0   # bits
+Z = 1.645               # 95 %, one-sided
 # Spans of a text that are folded together; work on a text of m spans grows with m * (GROUP + m / GROUP).
 GROUP = 256
 SPAN = "struct<kind:string,start:int,end:int,value:string>"
@@ -207,8 +206,15 @@ def term_counts(texts: DataFrame) -> tuple[int, DataFrame]:
     return copies.count(), counted
 
 
-def disclosing(found_texts: DataFrame, texts: DataFrame, min_contexts: int = MIN_CONTEXTS,
-               generalise: float = GENERALISE, remove: float = REMOVE, smooth: float = SMOOTH) -> DataFrame:
+def sure_share(part: Column, whole: Column, z: float = Z) -> Column:
+    """Wilson's lower bound of the share that ``part`` of ``whole`` trials show."""
+    p = F.least(part / whole, F.lit(1.0))
+    spread = F.lit(z) * F.sqrt(p * (1 - p) / whole + F.lit(z * z) / (4 * whole * whole))
+    return (p + F.lit(z * z) / (2 * whole) - spread) / (1 + F.lit(z * z) / whole)
+
+
+def disclosing(found_texts: DataFrame, texts: DataFrame, open_bits: float = OPEN, told_bits: float = TOLD,
+               z: float = Z) -> DataFrame:
     """``__key``, ``term``, ``kind`` of the terms that give an entity of their text away.
 
     ``found_texts``: __key, base and __clean of each distinct text with an entity;
@@ -221,22 +227,18 @@ def disclosing(found_texts: DataFrame, texts: DataFrame, min_contexts: int = MIN
     groups = stored(holds.groupBy("entity").agg(F.count(F.lit(1)).cast("double").alias("n_c"), *same), "pii_entities")
     group = ["n_c", "same_1", "same_2"]
     members = holds.join(broadcast_if_small(groups, F.octet_length("entity") + F.lit(48)), "entity") \
-        .filter(F.col("n_c") < n).select("__key", *group).distinct()
-    ic = F.log(F.lit(float(max(n, 1))) / F.col("n_c"))
-    # As n_ct <= n_c, terms beyond this count stay below the limit whatever n_ct is.
-    most = F.col("n_c") * F.exp(ic * (1 - generalise)) * 1.000001
-    pairs = stored(found_texts.select("__key", F.explode(_terms("__clean")).alias("term")).join(n_t, "term")
-                   .join(members, "__key").filter(F.col("n_t") <= most), "pii_pairs")
-
-    def disclosure(more: float) -> Column:
-        return F.log(F.lit(float(max(n, 1))) * F.col("n_ct") / F.col("n_c") / (F.col("n_t") + more)) / ic
-
-    scored = pairs.groupBy("term", "n_t", *group).agg(F.count(F.lit(1)).alias("n_ct")) \
-        .withColumn("plain", disclosure(0.0)).withColumn("smoothed", disclosure(smooth))
-    told = scored.filter((F.col("smoothed") >= generalise)
-                         | ((F.col("n_ct") >= min_contexts) & (F.col("plain") >= generalise))) \
-        .select("term", *group, "plain")
-    kind = F.when(F.max("plain") >= remove, "revealing").otherwise("term")
+        .select("__key", *group).distinct()
+    # As n_ct <= n_c and the bound is at most n_ct / n_t, a term of more texts leaves more open.
+    times = 2.0 ** open_bits * 1.000001
+    largest = groups.agg(F.max("n_c")).first()[0] or 0.0
+    pairs = stored(found_texts.select("__key", F.explode(_terms("__clean")).alias("term"))
+                   .join(n_t.filter(F.col("n_t") <= times * largest), "term")
+                   .join(members, "__key").filter(F.col("n_t") <= times * F.col("n_c")), "pii_pairs")
+    share = sure_share(F.col("n_ct"), F.col("n_t"), z)
+    told = pairs.groupBy("term", "n_t", *group).agg(F.count(F.lit(1)).alias("n_ct")) \
+        .filter((share >= 2.0 ** -open_bits) & (share * n >= F.lit(2.0 ** told_bits) * F.col("n_c"))) \
+        .select("term", *group, (F.col("n_ct") >= F.col("n_t")).alias("only"))
+    kind = F.when(F.max("only"), "revealing").otherwise("term")
     return pairs.join(told, ["term", *group]).groupBy("__key", "term").agg(kind.alias("kind"))
 
 
