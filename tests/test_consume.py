@@ -1,9 +1,11 @@
 """Cursors, offsets, commits, resets, timeouts."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidelog.operators import consume as CON
+from tidelog.operators import offsets as offsets_of
 from tidelog.operators.offsets import assign_offsets, running_total
 from tidelog.sources import testdata as td
 
@@ -23,6 +25,40 @@ def test_offsets_hot_key(spark, sf_small):
     assert got == list(range(base.count()))
 
 
+@pytest.mark.parametrize("id_of", ["printf('evt-%08d', id)", "md5(cast(id AS string))", "if(id % 4 = 0, NULL, cast(id AS string))"])
+def test_hot_second_is_cut(spark, id_of):
+    """Two thirds of the rows in one second, most of them in one microsecond: positions as by row_number, in pieces."""
+    df = spark.range(6000).selectExpr(
+        "if(id % 5 = 0, 'b', 'a') AS k", f"{id_of} AS id1", "id AS id2",
+        "timestamp_micros(if(id % 3 = 0, id * 997000, 5000000 + if(id % 7 = 0, id, 0))) AS ts", "id % 11 AS v")
+    order = ("ts", "id1", "id2")
+    w = Window.partitionBy("k").orderBy(*order)
+    want = {r.id2: (r.n, r.s) for r in df.select("id2", (F.row_number().over(w) - 1).alias("n"), F.sum("v").over(
+        w.rowsBetween(Window.unboundedPreceding, 0)).alias("s")).collect()}
+    got = running_total(df, order, [None, "v"], ["n", "s"], keys=("k",), rows_per_piece=200)
+    assert set(got.columns) == {*df.columns, "n", "s"}
+    rows = got.collect()
+    assert len(rows) == 6000 and {r.id2: (r.n - 1, r.s) for r in rows} == want
+    offsets = assign_offsets(df, ("k",), order, rows_per_piece=200).collect()
+    assert {r.id2: r.offset for r in offsets} == {i: n for i, (n, _) in want.items()}
+
+    x = df.withColumn("_c", F.lit(0)).withColumn("_f", F.floor(F.unix_micros("ts") / 1_000_000))
+    cut = x.join(offsets_of._cuts(x, ["k", "_c", "_f"], list(order), 200), ["k", "_c", "_f"], "left") \
+        .withColumn("_s", offsets_of._piece(F.col("_cuts"), F.struct(*order)))
+    sizes = [r["count"] for r in cut.groupBy("k", "_f", "_s").count().collect()]
+    assert max(sizes) < 800 and len([n for n in sizes if n > 1]) > 10
+    brute = cut.filter("_cuts IS NOT NULL").select("_s", F.size(F.filter(
+        "_cuts", lambda c: c <= F.struct(*order))).alias("n"))
+    assert brute.count() > 3000 and brute.filter("_s <> n").count() == 0
+
+
+def test_hot_second_of_equal_rows_stays_whole(spark):
+    df = spark.range(900).selectExpr("'a' AS k", "timestamp '2024-05-06 07:08:09' AS ts", "0 AS id")
+    got = assign_offsets(df, ("k",), ("ts", "id"), rows_per_piece=60).collect()
+    assert sorted(r.offset for r in got) == list(range(900))
+    assert assign_offsets(df.limit(0), ("k",), ("ts", "id")).count() == 0
+
+
 def test_running_total_exclusive(spark):
     df = spark.createDataFrame([(i, float(i), i % 2) for i in range(50)], "t long, v double, k long") \
         .withColumn("ts", F.timestamp_seconds(F.col("t") * 7000))

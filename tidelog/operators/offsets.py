@@ -16,11 +16,17 @@ prefix is assembled from three bounded pieces:
 3. the running value inside one fine bucket: a window partitioned by
    (key, coarse, fine) -- bounded by the rows of one second of one key.
 
-Buckets come from row values, not from a partitioner, so a retried or
+A bucket beyond ``rows_per_piece`` rows (a batch import that stamps a third of
+the log with one second) is cut again: rows whose order values hash to 0 modulo
+``rows_per_piece / PER_CUT`` are its sample, every ``PER_CUT``-th of them in order
+is a cut, and the cuts that a row is not before give its piece. Pieces take the
+place of the bucket in steps 1 to 3. Rows with equal order values stay together.
+
+Buckets and cuts come from row values, not from a partitioner, so a retried or
 re-planned stage computes exactly the same numbers (a sampled range
 partitioner would re-sample per exchange). The events shuffle once on
-(key, coarse, fine); the window and the join with the bucket bases share
-that partitioning.
+(key, coarse, fine, piece); the window and the join with the bucket bases share
+that partitioning. Where no bucket is cut, no piece column is made.
 """
 
 from __future__ import annotations
@@ -29,7 +35,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.sources.tables import broadcast_if_bounded, cut_lineage
+
 FINE_PER_COARSE = 86_400
+ROWS_PER_PIECE = 1_000_000
+PER_CUT = 50        # sampled rows from one cut to the next
+BISECTIONS = 30     # steps of the search among the cuts of one bucket: enough for 2**30 of them
 
 
 def _bucket_cols(df: DataFrame, first: str, fine: float) -> tuple[Column, Column]:
@@ -44,6 +55,30 @@ def _bucket_cols(df: DataFrame, first: str, fine: float) -> tuple[Column, Column
     return F.floor(f / F.lit(FINE_PER_COARSE)).cast("bigint"), f
 
 
+def _cuts(x: DataFrame, bucket: list[str], order: list[str], rows_per_piece: int) -> DataFrame:
+    """``bucket``, ``_cuts``: the ordered cuts of each bucket that has any, stored (one small job)."""
+    every = max(rows_per_piece // PER_CUT, 1)
+    sample = x.filter(F.pmod(F.xxhash64(*order), F.lit(every)) == 0) \
+        .select(*bucket, F.struct(*order).alias("_at")).distinct()
+    place = F.row_number().over(Window.partitionBy(*bucket).orderBy("_at"))
+    return cut_lineage(sample.withColumn("_n", place).filter(F.col("_n") % PER_CUT == 0)
+                       .groupBy(*bucket).agg(F.sort_array(F.collect_list("_at")).alias("_cuts")))
+
+
+def _piece(cuts: Column, at: Column) -> Column:
+    """How many of the ordered ``cuts`` are not after ``at``."""
+    def halve(acc: Column, _: Column) -> Column:
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        after = F.get(cuts, mid) > at
+        open_ = acc["lo"] < acc["hi"]
+        return F.struct(F.when(open_ & ~after, mid + 1).otherwise(acc["lo"]).alias("lo"),
+                        F.when(open_ & after, mid).otherwise(acc["hi"]).alias("hi"))
+
+    search = F.aggregate(F.sequence(F.lit(1), F.lit(BISECTIONS)),
+                         F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi")), halve)["lo"]
+    return F.when(cuts.isNull(), F.lit(0)).otherwise(search)
+
+
 def running_total(
     df: DataFrame,
     order: tuple[str, ...] | list[str],
@@ -52,6 +87,7 @@ def running_total(
     keys: tuple[str, ...] | list[str] = (),
     exclusive: bool = False,
     fine: float = 1.0,
+    rows_per_piece: int | None = ROWS_PER_PIECE,
 ) -> DataFrame:
     """Running ``sum(value)`` (``count`` when ``value`` is None) per ``keys``
     in ``order``; ``exclusive`` leaves the current row out. ``value`` / ``out``
@@ -59,7 +95,8 @@ def running_total(
 
     ``order[0]`` must be a timestamp or a number; ``fine`` is the bucket width
     in its unit (seconds for timestamps). A null order value sorts first; a
-    null key is an error.
+    null key is an error. Buckets of more than about ``rows_per_piece`` rows are
+    cut (None: never, which saves the job that looks for them).
     """
     keys, order = list(keys), list(order)
     values = value if isinstance(value, list) else [value]
@@ -76,24 +113,34 @@ def running_total(
         x = x.withColumn(f"_v{i}", F.lit(1).cast("bigint") if v is None else F.col(v))
         vcols.append(f"_v{i}")
 
-    per_fine = x.groupBy(*keys, "_c", "_f").agg(*[F.sum(v).alias(f"_t{i}") for i, v in enumerate(vcols)])
-    per_coarse = per_fine.groupBy(*keys, "_c").agg(*[F.sum(f"_t{i}").alias(f"_ct{i}") for i in range(len(vcols))])
+    bucket = [*keys, "_c", "_f"]
+    pieces = [*bucket]
+    cuts = _cuts(x, bucket, order, rows_per_piece) if rows_per_piece else None
+    if cuts is not None and not cuts.isEmpty():
+        x = x.join(broadcast_if_bounded(cuts), bucket, "left") \
+            .withColumn("_s", _piece(F.col("_cuts"), F.struct(*order))).drop("_cuts")
+        pieces.append("_s")
+
+    sums = range(len(vcols))
+    per_piece = x.groupBy(*pieces).agg(*[F.sum(v).alias(f"_t{i}") for i, v in enumerate(vcols)])
+    per_coarse = per_piece.groupBy(*keys, "_c").agg(*[F.sum(f"_t{i}").alias(f"_ct{i}") for i in sums])
     coarse_before = Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
     per_coarse = per_coarse.select(*keys, "_c", *[
-        F.coalesce(F.sum(f"_ct{i}").over(coarse_before), F.lit(0)).alias(f"_cb{i}") for i in range(len(vcols))])
-    fine_before = Window.partitionBy(*keys, "_c").orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)
-    bases = per_fine.select(*keys, "_c", "_f", *[
-        F.coalesce(F.sum(f"_t{i}").over(fine_before), F.lit(0)).alias(f"_fb{i}") for i in range(len(vcols))]) \
-        .join(per_coarse, [*keys, "_c"]).select(*keys, "_c", "_f", *[
-            (F.col(f"_cb{i}") + F.col(f"_fb{i}")).alias(f"_base{i}") for i in range(len(vcols))])
-
-    within = Window.partitionBy(*keys, "_c", "_f").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    res = x.select("*", *[F.sum(v).over(within).alias(f"_r{i}") for i, v in enumerate(vcols)]) \
-        .join(bases, [*keys, "_c", "_f"])
+        F.coalesce(F.sum(f"_ct{i}").over(coarse_before), F.lit(0)).alias(f"_cb{i}") for i in sums])
+    piece_before = Window.partitionBy(*keys, "_c").orderBy(*pieces[len(keys) + 1:]).rowsBetween(Window.unboundedPreceding, -1)
+    bases = per_piece.select(*pieces, *[
+        F.coalesce(F.sum(f"_t{i}").over(piece_before), F.lit(0)).alias(f"_fb{i}") for i in sums]) \
+        .join(per_coarse, [*keys, "_c"]).select(*pieces, *[
+            (F.col(f"_cb{i}") + F.col(f"_fb{i}")).alias(f"_base{i}") for i in sums])
+
+    within = Window.partitionBy(*pieces).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    # Partitioned by the bucket alone, as a shuffle join with the cuts leaves it, a cut bucket would still be one task's.
+    rows = x.repartition(*pieces) if "_s" in pieces else x
+    res = rows.select("*", *[F.sum(v).over(within).alias(f"_r{i}") for i, v in enumerate(vcols)]).join(bases, pieces)
     for i, o in enumerate(outs):
         total = F.col(f"_base{i}") + F.col(f"_r{i}") - (F.col(f"_v{i}") if exclusive else F.lit(0))
         res = res.withColumn(o, total)
-    drop = ["_c", "_f", *vcols, *[f"_r{i}" for i in range(len(vcols))], *[f"_base{i}" for i in range(len(vcols))]]
+    drop = ["_c", "_f", "_s", *vcols, *[f"_r{i}" for i in sums], *[f"_base{i}" for i in sums]]
     return res.drop(*drop)
 
 
@@ -103,11 +150,12 @@ def assign_offsets(
     order: tuple[str, ...] = ("ts", "event_id"),
     out: str = "offset",
     fine: float = 1.0,
+    rows_per_piece: int | None = ROWS_PER_PIECE,
 ) -> DataFrame:
     """Add ``out`` = 0-based dense position of each row within ``keys`` by ``order``.
 
     ``order`` must be a total order within a key (ties make positions
     arbitrary, as with ``row_number``).
     """
-    r = running_total(df, order, None, out, keys=keys, exclusive=True, fine=fine)
+    r = running_total(df, order, None, out, keys=keys, exclusive=True, fine=fine, rows_per_piece=rows_per_piece)
     return r.withColumn(out, F.col(out).cast("bigint"))

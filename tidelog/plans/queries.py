@@ -22,6 +22,7 @@ from tidelog.operators import consume as CON
 from tidelog.operators import envelope as ENV
 from tidelog.operators import publish as PUB
 from tidelog.operators import stats as ST
+from tidelog.operators.offsets import assign_offsets
 from tidelog.sources import testdata as td
 from tidelog.sources.stored_log import StoredLog
 from tidelog.sources.tables import broadcast_if_bounded, checkpoint_dir, cut_lineage, read_table
@@ -97,7 +98,7 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_assign_offsets(spark, sf):
     """W1."""
-    return _log(spark, sf).select("event_id", "event_type", "partition", "offset")
+    return assign_offsets(td.base_events(spark, sf)).select("event_id", "event_type", "partition", "offset")
 
 
 def q_chunk_batches(spark, sf):
