@@ -564,9 +564,16 @@ def test_token_rollup(spark, rows, tmp_path):
         return {k: v for k, v in out.items() if v}
 
     assert got(root) == want(lambda i: i is None or i % 2)
-    token_rollup.compact(spark, root, root + "2")
-    assert got(root + "2") == got(root)
-    assert not token_rollup.commit(load, root + "2", "1") and got(root + "2") == got(root)
+    assert token_rollup.compact(spark, root, root + "2") == ["1", "2"]
+    before = got(root)
+    assert got(root + "2") == before
+    assert not token_rollup.commit(load, root + "2", "1") and got(root + "2") == before
+    # A batch committed after the list was stored is not folded by a compaction begun anew, and not lost.
+    late = token_rollup.inserts(gone)
+    assert token_rollup.commit(late, root, "3") and token_rollup.compact(spark, root, root + "2") == ["1", "2"]
+    assert got(root + "2") == before
+    assert token_rollup.commit(late, root + "2", "3") and got(root + "2") == got(root)
+    assert token_rollup.compact(spark, root + "-none", root + "3") == [] and not got(root + "3")
 
 
 def test_digest_columns(spark, sf_small):

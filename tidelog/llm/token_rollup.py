@@ -104,19 +104,30 @@ def committed(spark: SparkSession, root: str) -> list[str]:
     return [i for i in ids if is_committed(spark, root, i)]
 
 
-def totals(spark: SparkSession, root: str) -> DataFrame:
-    """source, lang, tokenizer, n_docs, n_tokens over all committed batches; keys
-    without documents and tokens are left out. No batch: an empty result."""
-    paths = [f"{root}/batch={i}" for i in committed(spark, root)]
+def totals(spark: SparkSession, root: str, batches: list[str] | None = None) -> DataFrame:
+    """source, lang, tokenizer, n_docs, n_tokens over all committed batches (or the given
+    ones of them); keys without documents and tokens are left out. No batch: an empty result."""
+    paths = [f"{root}/batch={i}" for i in (committed(spark, root) if batches is None else batches)]
     rows = spark.read.schema(SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], SCHEMA)
     return rows.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]) \
         .filter((F.col("n_docs") != 0) | (F.col("n_tokens") != 0))
 
 
-def compact(spark: SparkSession, root: str, new_root: str) -> None:
-    """Write the totals as the one base batch of ``new_root``; the ids folded in
-    become empty batches there, so committing one of them again does nothing."""
-    base = totals(spark, root)
-    for i in committed(spark, root):
-        commit(base.limit(0), new_root, i)
+def compact(spark: SparkSession, root: str, new_root: str) -> list[str]:
+    """Write the totals as the one base batch of ``new_root``; the ids folded in (returned)
+    become empty batches there, so committing one of them again does nothing.
+
+    The batches are listed once, and the list is stored before anything else: a batch
+    committed meanwhile is neither summed nor marked (it can still be committed to
+    ``new_root``), and a compaction begun anew after a loss folds the same batches.
+    """
+    fs, done = _fs(spark, f"{new_root}/_folded/_SUCCESS")
+    if not fs.exists(done):
+        spark.createDataFrame([(i,) for i in committed(spark, root)], "id string").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{new_root}/_folded")
+    folded = sorted(r.id for r in spark.read.schema("id string").parquet(f"{new_root}/_folded").collect())
+    base = totals(spark, root, folded)
     commit(base, new_root, "0-base")
+    for i in folded:
+        commit(base.limit(0), new_root, i)
+    return folded
