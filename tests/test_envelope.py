@@ -124,3 +124,16 @@ def test_error_kind(spark):
     df = spark.createDataFrame([(b,) for b in bodies], "body string")
     kinds = [r.k for r in df.select(ENV.error_kind(F.col("body")).alias("k")).collect()]
     assert kinds == ["problem"] * 4 + ["basic", "raw", "none"]
+
+
+def test_error_bodies_are_parsed_once(spark):
+    bodies = ['{"title":"t","status":422,"detail":"d"}', '{"error":"x","error_description":"y"}', '{"title":"t"}',
+              '{"title":"t","status":1} {}', "oops", "", None]
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, body string")
+    found = ENV.with_error_fields(df, "body")
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower().replace("_", "")
+    assert plan.count("parsejson") == 1
+    got = [tuple(r) for r in found.orderBy("i").select("kind", "title", "status", "detail", "error", "text").collect()]
+    assert got == [("problem", "t", 422, "d", None, None), ("basic", None, None, None, "x", None),
+                   ("raw", None, None, None, None, bodies[2]), ("raw", None, None, None, None, bodies[3]),
+                   ("raw", None, None, None, None, "oops"), ("none", *[None] * 5), ("none", *[None] * 5)]

@@ -62,8 +62,9 @@ def parse_line(raw: Column) -> Column:
     """
     mark = F.md5(raw)
     wrapped = F.try_parse_json(F.concat(F.lit("["), raw, F.lit(',"'), mark, F.lit('"]')))
-    alone = F.try_variant_get(wrapped, "$[1]", "string") == mark
-    return F.when(alone, F.try_variant_get(wrapped, "$[0]", "variant"))
+    # bound by a lambda: the text is parsed once, though its parse is looked at twice
+    return F.transform(F.array(wrapped), lambda w: F.when(F.try_variant_get(w, "$[1]", "string") == mark,
+                                                          F.try_variant_get(w, "$[0]", "variant")))[0]
 
 
 def sub(v: Column, path: str) -> Column:
