@@ -161,3 +161,13 @@ def test_running_total_keeps_rows_without_an_order_value(spark):
     assert got == {"1": 0, "3": 1, "2": 2, "4": 0}
     with pytest.raises(Exception, match="null key"):
         assign_offsets(df.selectExpr("nullif(k, 'a') AS k", "ts", "id"), ("k",), ("ts", "id")).collect()
+
+
+def test_bucket_bases_are_not_broadcast(spark, sf_small):
+    """Up to one row per event: the join with them is a shuffle join, also where the table's file is small."""
+    from tidelog.sources import testdata as td
+
+    log = td.event_log(spark, sf_small)
+    plan = log._jdf.queryExecution().sparkPlan().toString().splitlines()
+    joins = [line for line in plan if "Join" in line]
+    assert "SortMergeJoin" in joins[0] and "_f#" in joins[0]

@@ -52,10 +52,12 @@ def flush_batches(events: DataFrame, batch_limit: int, flush_timeout_s: int) ->
             for pdf in pdfs:
                 pending.extend(int(x) for x in pdf["offset"].tolist())
             pending.sort()
-            while len(pending) >= limit:
-                chunk, pending = pending[:limit], pending[limit:]
+            full = len(pending) - len(pending) % limit
+            for first in range(0, full, limit):
+                chunk = pending[first:first + limit]
                 out.append((et, part, n_batches, chunk[0], chunk[-1], len(chunk), "limit"))
                 n_batches += 1
+            pending = pending[full:]
         state.update((pending, n_batches))
         if pending:
             state.setTimeoutDuration(timeout_ms)
