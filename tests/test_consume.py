@@ -171,3 +171,27 @@ def test_bucket_bases_are_not_broadcast(spark, sf_small):
     plan = log._jdf.queryExecution().sparkPlan().toString().splitlines()
     joins = [line for line in plan if "Join" in line]
     assert "SortMergeJoin" in joins[0] and "_f#" in joins[0]
+
+
+def test_expired_stream_looks_at_two_slots(spark, tmp_path):
+    """Commits at, before and after the edges of a slot, two at once, and none; compared within slots only."""
+    from tidelog.streaming.stateful import expired_stream
+
+    sent = [("a", "0", n, str(n), 1_700_000_000 + 7 * n) for n in range(60)] + [("end", "0", 0, "0", 1_700_100_000)]
+    commits = [("a", "0", "4", 1_700_000_088), ("a", "0", "9", 1_700_000_123), ("a", "0", "9", 1_700_000_124),
+               ("a", "0", "30", 1_700_000_260), ("a", "0", "59", 1_700_000_473), ("b", "0", "59", 1_700_000_300),
+               ("end", "0", "0", 1_700_100_000)]
+    spark.createDataFrame(sent, "event_type string, partition string, batch_no long, offset string, s long") \
+        .withColumn("sent_ts", F.timestamp_seconds("s")).drop("s").write.parquet(f"{tmp_path}/sent")
+    spark.createDataFrame(commits, "event_type string, partition string, offset string, s long") \
+        .withColumn("commit_ts", F.timestamp_seconds("s")).drop("s").write.parquet(f"{tmp_path}/commits")
+    lost = expired_stream(*[spark.readStream.schema(spark.read.parquet(f"{tmp_path}/{t}").schema).parquet(f"{tmp_path}/{t}")
+                            for t in ("sent", "commits")])
+    analyzed = lost._jdf.queryExecution().analyzed().toString()
+    assert "(_slot#" in next(line for line in analyzed.splitlines() if "Join LeftOuter" in line)
+    lost.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/ck") \
+        .trigger(availableNow=True).start().awaitTermination()
+    got = {r.batch_no for r in spark.read.schema(lost.schema).parquet(f"{tmp_path}/out").collect() if r.event_type == "a"}
+    want = {n for t, p, n, o, at in sent if t == "a" and not any(
+        c[:2] == (t, p) and int(c[2]) >= n and at <= c[3] <= at + 60 for c in commits)}
+    assert got == want and 0 < len(want) < 60

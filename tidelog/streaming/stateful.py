@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -91,14 +91,24 @@ def expired_stream(sent: DataFrame, commits: DataFrame, commit_timeout_s: int =
     batch of its log partition when its offset is not below the batch's and it comes
     between sending and deadline. State holds one timeout (and the watermark's delay) of
     batches and commits; a batch comes out when the watermarks have passed its deadline.
+    Time is cut into slots as long as the timeout, which are part of the join's key: a
+    batch stands in its slot, a commit in its own and the one before, so a batch is
+    compared with the commits of two slots, not with all of its log partition.
     ``sent``: event_type, partition, batch_no, offset, sent_ts; ``commits``: event_type,
     partition, offset, commit_ts. Rows later than the watermark are not seen.
     """
-    timeout = F.expr(f"INTERVAL {int(commit_timeout_s or S.DEFAULT_COMMIT_TIMEOUT_S)} SECONDS")
-    b = sent.withColumn("sent_ts", F.col("sent_ts").cast("timestamp")).withWatermark("sent_ts", watermark).alias("b")
-    c = commits.withColumn("commit_ts", F.col("commit_ts").cast("timestamp")).withWatermark("commit_ts", watermark).alias("c")
+    seconds = int(commit_timeout_s or S.DEFAULT_COMMIT_TIMEOUT_S)
+    timeout = F.expr(f"INTERVAL {seconds} SECONDS")
+
+    def slot(ts: str) -> Column:
+        return F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000)).cast("long")
+
+    b = sent.withColumn("sent_ts", F.col("sent_ts").cast("timestamp")).withWatermark("sent_ts", watermark) \
+        .withColumn("_slot", slot("sent_ts")).alias("b")
+    c = commits.withColumn("commit_ts", F.col("commit_ts").cast("timestamp")).withWatermark("commit_ts", watermark) \
+        .withColumn("_slot", F.explode(F.array(slot("commit_ts") - 1, slot("commit_ts")))).alias("c")
     covers = (F.col("b.event_type") == F.col("c.event_type")) & (F.col("b.partition") == F.col("c.partition")) \
-        & (offset_num("c.offset") >= offset_num("b.offset")) \
+        & (F.col("b._slot") == F.col("c._slot")) & (offset_num("c.offset") >= offset_num("b.offset")) \
         & (F.col("c.commit_ts") >= F.col("b.sent_ts")) & (F.col("c.commit_ts") <= F.col("b.sent_ts") + timeout)
     return b.join(c, covers, "left_outer").filter(F.col("c.commit_ts").isNull()) \
         .select("b.event_type", "b.partition", "b.batch_no", "b.offset", "b.sent_ts")
