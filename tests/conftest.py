@@ -33,3 +33,11 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_small():
     return SF_SMALL
+
+
+@pytest.fixture(autouse=True)
+def no_terminated_streams(request):
+    """A stream that failed in one test, as it should there, is not raised by another's ``awaitAnyTermination``."""
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").streams.resetTerminated()
+    yield
