@@ -14,19 +14,19 @@ sketch is the ``k`` smallest hashes. Two documents link when
    keeps the values of common passages out of the lists.
 3. In every list the hub, the member whose values are most common, meets all others.
    Its near copies link to it without pairs among themselves.
-4. Lists whose members are in several components after that are cut by set size, and
-   what is still in several components is gone through in blocks of bounded size. The first pass lets each block name a spanning forest of
-   its best candidates, at most one pair per member; the second names the candidates
-   that are still between different components.
+4. What is then still in several components is gone through by hub (``blocks``): the
+   lists of a hub are taken together, cut by set size and into blocks of bounded size.
 5. A pair is a candidate when sizes, the union sketch's estimate and the hashed
    shingle counts (their summed difference never exceeds the symmetric difference)
-   allow it. Candidates are confirmed on whole sets by exact Jaccard.
+   allow it. Candidates are confirmed on whole sets by exact Jaccard: those of hubs by
+   joins; of blocks the members that have a candidate come again with their whole sets,
+   and the block returns links only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import comb, log
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -34,6 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm import blocks
+from tidelog.llm.blocks import COUNTS, counts_of, most_difference
 from tidelog.llm.common import Scratch, broadcast_if_small, small_batches, stored
 from tidelog.llm.ngram_join import _WordHashes, components, shingles
 
@@ -41,8 +43,7 @@ K = 64                   # values of a sketch
 MISS = 1e-9              # chance that a linked pair's union sketch shares too little
 CELLS = 1 << 20          # counted cells of sketch values
 CHUNK = 1 << 14          # cells of one row of counts
-COUNTS = 128             # hashed shingle counts of a set
-BLOCK = 1024             # members of one block of an inverted list
+BLOCK = 1024             # members of one piece of a hub's group
 
 
 def least_shared(percent: int, k: int = K, miss: float = MISS) -> int:
@@ -65,12 +66,6 @@ def cell_of(values: np.ndarray) -> np.ndarray:
     return (values.view(np.uint64) >> np.uint64(11)).astype(np.int64) & (CELLS - 1)
 
 
-def counts_of(s: np.ndarray) -> bytes:
-    """Shingles by hashed cell, at most 255 each."""
-    return np.minimum(np.bincount((s >> np.uint64(7)).astype(np.int64) & (COUNTS - 1), minlength=COUNTS),
-                      255).astype(np.uint8).tobytes()
-
-
 def _records(rows: DataFrame, width: int) -> DataFrame:
     """Per row: id (as text: pandas would round it beside a null), text hash, set size, signature, sketch."""
 
@@ -137,11 +132,6 @@ def _postings(classes: DataFrame, counts: np.ndarray, percent: int) -> DataFrame
     return classes.select("signature", "n", "sketch").mapInPandas(run, "token bigint, signature binary, n bigint, common double")
 
 
-def most_difference(percent: int, nx, ny):
-    """The largest symmetric difference of linked sets of these sizes."""
-    return nx + ny - 2 * (-(-(percent * (nx + ny)) // (100 + percent)))
-
-
 def _padded(sketches) -> np.ndarray:
     """One row of ``K`` sorted values per sketch; short ones end in the largest value."""
     out = np.full((len(sketches), K), np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -169,12 +159,11 @@ def allowed(nx, ny, cx, cy, percent: int) -> np.ndarray:
     return ok
 
 
-def estimated(nx, ny, kx, ky, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs whose union sketch allows the link, and the estimate of their similarity."""
+def estimated(nx, ny, kx, ky, percent: int) -> np.ndarray:
+    """Pairs whose union sketch allows the link."""
     size, shared = union_shared(kx, ky)
     whole = (nx <= K) & (ny <= K) & (size < K)      # the union sketch is the union
-    ok = np.where(whole, shared * 100 >= percent * size, shared >= least_shared(percent))
-    return ok, shared / np.maximum(size, 1)
+    return np.where(whole, shared * 100 >= percent * size, shared >= least_shared(percent))
 
 
 def _counts(column) -> np.ndarray:
@@ -188,78 +177,24 @@ def _star_candidates(pairs: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             nx, ny = batch["na"].to_numpy(), batch["nb"].to_numpy()
             left = np.flatnonzero(allowed(nx, ny, _counts(batch["ca"]), _counts(batch["cb"]), percent))
-            ok, _ = estimated(nx[left], ny[left], _padded(batch["ka"].iloc[left]), _padded(batch["kb"].iloc[left]), percent)
+            ok = estimated(nx[left], ny[left], _padded(batch["ka"].iloc[left]), _padded(batch["kb"].iloc[left]), percent)
             yield batch[["a", "b"]].iloc[left[ok]]
 
     return pairs.mapInPandas(run, "a binary, b binary")
 
 
-def _block_candidates(blocks: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Candidates of every block between different components; with ``forest``, the best that
-    span them, at most one per member. Rows arrive sorted by block, as a stream."""
-
-    def of_blocks(rows: pd.DataFrame, key: np.ndarray) -> pd.DataFrame:
-        first = np.append(True, (key[1:] != key[:-1]).any(axis=1))
-        block = np.cumsum(first) - 1
-        end = np.append(np.flatnonzero(first)[1:], len(rows))[block]
-        n, side, low = rows["n"].to_numpy(), rows["side"].to_numpy(), rows["low"].to_numpy()
-        name, comp = rows["signature"].to_numpy(), pd.factorize(rows["component"])[0]
-        counts, sketches = _counts(rows["counts"]), _padded(rows["sketch"])
-        found = []
-        x, lag = np.arange(len(rows)), 0
-        while True:
-            lag += 1
-            x = x[x + lag < end[x]]
-            if len(x) == 0:
-                break
-            y = x + lag
-            open_ = (comp[x] != comp[y]) & ((side[x] == 0) | (side[x] != side[y])) & ~(low[x] & low[y])
-            u, v = x[open_], y[open_]
-            ok = allowed(n[u], n[v], counts[u], counts[v], percent)
-            u, v = u[ok], v[ok]
-            ok, near = estimated(n[u], n[v], sketches[u], sketches[v], percent)
-            if ok.any():
-                found.append((u[ok], v[ok], near[ok]))
-        if not found:
-            return pd.DataFrame({"a": [], "b": []}, dtype=object)
-        u, v, near = (np.concatenate(part) for part in zip(*found))
-        if forest:
-            keep, parent = [], {}
-
-            def root(z):
-                while z in parent:
-                    z = parent[z]
-                return z
-
-            for e in np.argsort(-near, kind="stable"):
-                p, q = root((block[u[e]], comp[u[e]])), root((block[v[e]], comp[v[e]]))
-                if p != q:
-                    parent[max(p, q)] = min(p, q)
-                    keep.append(e)
-            u, v = u[keep], v[keep]
-        a, b = name[u], name[v]
-        swap = a > b
-        return pd.DataFrame({"a": np.where(swap, b, a), "b": np.where(swap, a, b)})
+def _sketch_test(percent: int):
+    """Pairs of a block whose union sketches allow the link."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for batch in batches:
-            batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            key = batch[["token", "span", "i", "j"]].to_numpy()
-            cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            last = int(cut[-1]) if len(cut) else 0
-            if last:
-                yield of_blocks(batch.iloc[:last], key[:last])
-            held = batch.iloc[last:]
-        if held is not None and len(held):
-            yield of_blocks(held, held[["token", "span", "i", "j"]].to_numpy())
+    def test(rows: pd.DataFrame):
+        n, sketches = rows["n"].to_numpy(), _padded(rows["sketch"])
+        return lambda u, v: estimated(n[u], n[v], sketches[u], sketches[v], percent)
 
-    return blocks.mapInPandas(run, "a binary, b binary").distinct()
+    return test
 
 
-def _confirmed(rows: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int,
-               work: Scratch) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
+def _whole_sets(rows: DataFrame, wanted: DataFrame, width: int, work: Scratch) -> DataFrame:
+    """``signature`` and ``set`` (sorted shingle hashes) of the ``wanted`` classes: signature, id, text_hash."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = _WordHashes()
@@ -268,47 +203,28 @@ def _confirmed(rows: DataFrame, classes: DataFrame, pairs: DataFrame, width: int
             yield pd.DataFrame([(g, s.view(np.int64)) for g, s in sets if xxhash.xxh128_digest(s.tobytes()) == g],
                                columns=["signature", "set"])
 
-    names = pairs.select(F.explode(F.array("a", "b")).alias("signature")).distinct()
-    wanted = work.stored(classes.select("signature", "pick.id", "pick.text_hash").join(names, "signature", "left_semi"), "wanted")
+    wanted = work.stored(wanted, "wanted")
     small = broadcast_if_small(wanted, F.lit(64)).alias("w")
     texts = rows.alias("r").join(small, F.col("r.text_hash").eqNullSafe(F.col("w.text_hash"))
                                  & F.col("r.id").eqNullSafe(F.col("w.id"))).select("w.signature", "r.text")
     sets = work.stored(texts.mapInPandas(run, "signature binary, set array<bigint>").dropDuplicates(["signature"]), "sets")
+    work.drop(wanted)
+    return sets
+
+
+def _confirmed(rows: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int,
+               work: Scratch) -> DataFrame:
+    """The pairs (a, b) whose whole sets link."""
+    names = pairs.select(F.explode(F.array("a", "b")).alias("signature")).distinct()
+    sets = _whole_sets(rows, classes.join(names, "signature", "left_semi"), width, work)
     both = pairs.join(sets.select(F.col("signature").alias("b"), F.col("set").alias("sb")), "b") \
         .join(sets.select(F.col("signature").alias("a"), F.col("set").alias("sa")), "a")
     shared = F.size(F.array_intersect("sa", "sb"))
     links = work.stored(both.filter(shared * 100 >= (F.size("sa") + F.size("sb") - shared) * percent).select("a", "b"), "links")
-    work.drop(wanted, sets)
+    work.drop(sets)
     return links
 
 
-def _live(joint: DataFrame, label: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Members of the lists that are in several components, by block.
-
-    A list is cut by set size first: linked sets are of one or of neighbouring spans of
-    sizes, so a member stands in its own span and, as ``low``, in the next; two low ones
-    meet elsewhere. Every unordered pair of pieces of a span is one block, and a member
-    goes to each block of its piece.
-    """
-    width = F.lit(log(100 / percent) * 1.0001 + 1e-9)
-    spans = joint.join(label.withColumnRenamed("id", "signature"), "signature", "left") \
-        .withColumn("component", F.coalesce("component", "signature")) \
-        .withColumn("own", F.floor(F.log("n") / width)) \
-        .withColumn("span", F.explode(F.array(F.col("own"), F.col("own") + 1))).withColumn("low", F.col("own") < F.col("span"))
-    open_spans = spans.groupBy("token", "span").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("low").alias("low"),
-        F.count(F.lit(1)).alias("members")).filter("lo < hi AND NOT low")
-    pieces = spans.join(open_spans.select("token", "span", "members"), ["token", "span"]) \
-        .withColumn("cuts", F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")) \
-        .withColumn("piece", F.pmod(F.xxhash64("signature"), F.col("cuts")).cast("int"))
-    return pieces.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))) \
-        .withColumn("i", F.least("piece", "other")).withColumn("j", F.greatest("piece", "other")) \
-        .withColumn("side", F.when(F.col("i") == F.col("j"), 0).when(F.col("piece") == F.col("i"), -1).otherwise(1)) \
-        .join(classes.select("signature", "sketch", "counts"), "signature") \
-        .select("token", "span", "i", "j", "side", "low", "signature", "n", "component", "sketch", "counts") \
-        .repartition("token", "span", "i", "j").sortWithinPartitions("token", "span", "i", "j")
-
-
 def near_duplicates(docs: DataFrame, width: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_shingles``, ``component_id`` and ``kept``, one row per row of ``docs``.
 
@@ -337,8 +253,8 @@ def near_duplicates(docs: DataFrame, width: int, percent: int, id_col: str = "do
     postings = _postings(classes, _cell_counts(classes.select("sketch")), percent)
     lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("members"),
                                           F.max(F.struct("common", "signature", "n")).alias("top")) \
-        .filter("members > 1").select("token", F.col("top.signature").alias("hub"), F.col("top.n").alias("n_hub"))
-    joint = work.stored(postings.join(lists, "token").select("token", "signature", "n", "hub", "n_hub"), "joint")
+        .filter("members > 1").select("token", "members", F.col("top.signature").alias("hub"), F.col("top.n").alias("n_hub"))
+    joint = work.stored(postings.join(lists, "token").select("token", "signature", "n", "hub", "n_hub", "members"), "joint")
 
     def side(name: str) -> DataFrame:
         return classes.select(F.col("signature").alias(name), F.col("n").alias(f"n{name}"),
@@ -349,25 +265,27 @@ def near_duplicates(docs: DataFrame, width: int, percent: int, id_col: str = "do
                                                     F.greatest("signature", "hub").alias("b")).distinct() \
         .join(side("a"), "a").join(side("b"), "b")
     candidates = work.stored(_star_candidates(stars, percent), "star_candidates")
-    links = _confirmed(rows, classes, candidates, width, percent, work)
-    label = components(links)
-    members = joint.select("token", "signature", "n")
-    for forest in (True, False):
-        tried = candidates
-        found = _block_candidates(_live(members, label, classes, percent), percent, forest).join(tried, ["a", "b"], "left_anti")
-        candidates = work.stored(found, "candidates")
-        links = work.stored(links.unionByName(_confirmed(rows, classes, candidates, width, percent, work)), "links")
-        label = components(links)
-        if forest:
-            candidates = work.stored(tried.unionByName(candidates), "tried")
+    own = classes.select("signature", "pick.id", "pick.text_hash")
+    links = _confirmed(rows, own, candidates, width, percent, work)
+    work.drop(candidates)
+    of_pair = classes.select("signature", "n", "sketch", "counts")
+    members = work.stored(blocks.open_members(joint, components(links), "signature", percent, BLOCK), "members")
+    work.drop(joint)
+    near = work.stored(blocks.near_members(members, of_pair, "signature", percent, _sketch_test(percent)), "near_members")
+    work.drop(members)
+    sets = _whole_sets(rows, own.join(near.select("signature").distinct(), "signature", "left_semi"), width, work)
+    more = work.stored(blocks.links(near, sets.join(of_pair, "signature"), "signature", percent, _sketch_test(percent),
+                                    lambda block_rows: lambda x, y: True), "block_links")
+    work.drop(near, sets)
+    label = components(links.unionByName(more))
 
     named = classes.select("signature", "smallest").join(label.withColumnRenamed("id", "signature"), "signature", "left") \
         .withColumn("component", F.coalesce("component", "signature"))
     least = named.groupBy("component").agg(F.min("smallest").alias("component_id"))
     answers = stored(named.join(least, "component").select("signature", "component_id"), "groups")
     work.close()
-    own = F.col("id").cast(id_type)
+    own_id = F.col("id").cast(id_type)
     return narrow.join(answers, "signature", "left") \
-        .select(own.alias(id_col), F.col("n").alias("n_shingles"),
-                F.when(F.col("n") == 0, own).otherwise(F.col("component_id")).alias("component_id")) \
+        .select(own_id.alias(id_col), F.col("n").alias("n_shingles"),
+                F.when(F.col("n") == 0, own_id).otherwise(F.col("component_id")).alias("component_id")) \
         .withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))

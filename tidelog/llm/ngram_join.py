@@ -15,11 +15,11 @@ A document is the set of its distinct word shingles; two documents link when
 4. In every posting list the hub (the member with the largest share of common
    shingles) is verified against all others first: its copies link to it without
    pairs among them. Lists whose members are by then in one component are done.
-5. In the other lists, pairs from different components are looked at in blocks of
-   bounded size. A pair is a candidate when the sizes allow it, the sketches
-   allow it (the summed difference of hashed shingle counts never exceeds the
-   symmetric difference, so no link is lost) and enough lists name it; candidates
-   are verified on the whole sets.
+5. The other lists are taken together by hub (``blocks``) and looked at in blocks of
+   bounded size. A pair from different components is a candidate when the sizes allow it,
+   the sketches allow it (the summed difference of hashed shingle counts never exceeds
+   the symmetric difference, so no link is lost) and the prefixes share enough shingles;
+   the members of such pairs come again with their whole sets, and the block returns links only.
 """
 
 from __future__ import annotations
@@ -32,15 +32,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm import blocks
+from tidelog.llm.blocks import COUNTS, counts_of, most_difference, n_shared
 from tidelog.llm.common import Scratch, broadcast_if_small, small_batches, stored
 
 CELLS = 1 << 20          # counted cells of shingles
 CHUNK = 1 << 14          # cells of one counts row
 MAX_MATCHES = 4
 VERIFY_COST = 20.0       # a verification in postings
-SKETCH = 128             # bytes of a sketch
-BLOCK = 1024             # members of one block of a posting list
-HELD_ROWS = 20_000       # rows of one hub's lists that are compared at once
+BLOCK = 1024             # members of one piece of a hub's group
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -135,18 +135,6 @@ def prefix(s: np.ndarray, counts: np.ndarray, background: float, percent: int) -
     return matches, s[order[:n - least + matches]], float((freq > 2 * background + 2).mean())
 
 
-def sketch(s: np.ndarray) -> bytes:
-    """Shingles by hashed cell, at most 255 each."""
-    cells = (s >> np.uint64(7)).astype(np.int64) & (SKETCH - 1)
-    return np.minimum(np.bincount(cells, minlength=SKETCH), 255).astype(np.uint8).tobytes()
-
-
-def least_difference(percent: int, nx, ny):
-    """The largest symmetric difference of linked sets of these sizes."""
-    overlap = -(-(percent * (nx + ny)) // (100 + percent))
-    return nx + ny - 2 * overlap
-
-
 def _records(texts: DataFrame, width: int, percent: int, counts: np.ndarray) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(counts)
     background = float(np.median(counts))
@@ -161,15 +149,15 @@ def _records(texts: DataFrame, width: int, percent: int, counts: np.ndarray) ->
                     rows.append((i, h, 0, None, 0, [], 0.0, None))
                     continue
                 matches, first, common = prefix(s, shared.value, background, percent)
-                rows.append((i, h, len(s), xxhash.xxh128_digest(s.tobytes()), matches, first.view(np.int64), common, sketch(s)))
+                rows.append((i, h, len(s), xxhash.xxh128_digest(s.tobytes()), matches, first.view(np.int64), common, counts_of(s)))
             yield pd.DataFrame(rows, columns=["id", "text_hash", "n", "signature", "matches", "prefix", "common", "sketch"])
 
     return texts.mapInPandas(run, "id string, text_hash bigint, n bigint, signature binary, matches int, "
                                   "prefix array<bigint>, common double, sketch binary")
 
 
-def verified(rows: DataFrame, own: DataFrame, pairs: DataFrame, width: int, percent: int, work: Scratch) -> DataFrame:
-    """The pairs (a, b) of classes that link, checked on their whole sets."""
+def whole_sets(rows: DataFrame, wanted: DataFrame, width: int, work: Scratch) -> DataFrame:
+    """``cls`` and ``set`` (sorted shingle hashes) of the ``wanted`` classes: cls, signature, id, text_hash."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = _WordHashes()
@@ -178,18 +166,25 @@ def verified(rows: DataFrame, own: DataFrame, pairs: DataFrame, width: int, perc
             yield pd.DataFrame([(c, s.view(np.int64)) for c, g, s in sets if xxhash.xxh128_digest(s.tobytes()) == g],
                                columns=["cls", "set"])
 
-    names = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    wanted = work.stored(own.select("cls", "signature", "pick.id", "pick.text_hash").join(names, "cls", "left_semi"), "wanted")
+    wanted = work.stored(wanted, "wanted")
     small = broadcast_if_small(wanted, F.lit(72)).alias("w")
     texts = rows.alias("r").join(small, F.col("r.text_hash").eqNullSafe(F.col("w.text_hash"))
                                  & F.col("r.id").eqNullSafe(F.col("w.id"))).select("w.cls", "w.signature", "r.text")
     sets = work.stored(texts.mapInPandas(run, "cls bigint, set array<bigint>").dropDuplicates(["cls"]), "sets")
+    work.drop(wanted)
+    return sets
+
+
+def verified(rows: DataFrame, wanted: DataFrame, pairs: DataFrame, width: int, percent: int, work: Scratch) -> DataFrame:
+    """The pairs (a, b) of classes that link, checked on their whole sets."""
+    names = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sets = whole_sets(rows, wanted.join(names, "cls", "left_semi"), width, work)
     both = pairs.join(sets.select(F.col("cls").alias("b"), F.col("set").alias("sb")), "b") \
         .join(sets.select(F.col("cls").alias("a"), F.col("set").alias("sa")), "a")
     shared = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - shared
     links = work.stored(both.filter(shared * 100 >= union * percent).select("a", "b"), "links")
-    work.drop(wanted, sets)
+    work.drop(sets)
     return links
 
 
@@ -231,76 +226,24 @@ def _sketch_filter(pairs: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch[c]), dtype=np.uint8).reshape(-1, SKETCH).astype(np.int16)
+            x, y = (np.frombuffer(b"".join(batch[c]), dtype=np.uint8).reshape(-1, COUNTS).astype(np.int16)
                     for c in ("ka", "kb"))
             na, nb = batch["na"].to_numpy(), batch["nb"].to_numpy()
-            ok = np.abs(x - y).sum(axis=1) <= least_difference(percent, na, nb)
+            ok = np.abs(x - y).sum(axis=1) <= most_difference(percent, na, nb)
             yield batch.loc[ok, ["a", "b"]]
 
     return pairs.mapInPandas(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept))
 
 
-def _block_pairs(blocks: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) and how many lists of a block's hub name them.
-
-    Rows arrive as a stream, sorted by hub and pieces, then list: the lists of one group of near
-    copies have one hub, so a pair is counted over them before it leaves the task. A batch of
-    whole lists is compared at once, each row with the one ``lag`` rows on while that is in its list.
-    """
+def _any_pair(rows: pd.DataFrame):
+    return lambda u, v: np.ones(len(u), dtype=bool)
 
-    def pairs(rows: pd.DataFrame, key: np.ndarray) -> pd.DataFrame:
-        new = np.append(True, key[1:] != key[:-1])
-        ends = np.append(np.flatnonzero(new)[1:], len(rows))
-        end = ends[np.cumsum(new) - 1]
-        name, n, side = (rows[c].to_numpy() for c in ("cls", "n", "side"))
-        comp, ids = pd.factorize(rows["component"])[0], pd.factorize(name)[0]
-        vec = np.frombuffer(b"".join(rows["sketch"]), dtype=np.uint8).reshape(-1, SKETCH).astype(np.int16)
-        found_a, found_b = [ids[:0]], [ids[:0]]
-        x, lag = np.arange(len(rows)), 0
-        while True:
-            lag += 1
-            x = x[x + lag < end[x]]
-            if len(x) == 0:
-                break
-            y = x + lag
-            ok = (comp[x] != comp[y]) & ((side[x] == 0) | (side[x] != side[y])) \
-                & (np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * percent)
-            u, v = x[ok], y[ok]
-            near = np.abs(vec[u] - vec[v]).sum(axis=1) <= least_difference(percent, n[u], n[v])
-            found_a.append(np.minimum(ids[u[near]], ids[v[near]]))
-            found_b.append(np.maximum(ids[u[near]], ids[v[near]]))
-        code, lists = np.unique(np.concatenate(found_a) * len(rows) + np.concatenate(found_b), return_counts=True)
-        at = np.zeros(len(rows), dtype=int)
-        at[ids] = np.arange(len(rows))
-        a, b = name[at[code // max(len(rows), 1)]], name[at[code % max(len(rows), 1)]]
-        swap = a > b
-        return pd.DataFrame({"a": np.where(swap, b, a), "b": np.where(swap, a, b), "lists": lists})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for batch in batches:
-            batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            token, group = batch["token"].to_numpy(), pd.factorize(batch["hub"])[0]
-            pieces = batch[["i", "j"]].to_numpy()
-            cut = np.flatnonzero((group[1:] != group[:-1]) | (pieces[1:] != pieces[:-1]).any(axis=1)) + 1
-            last = int(cut[-1]) if len(cut) else 0
-            if not last and len(batch) > HELD_ROWS:      # a hub of many lists: cut between two of them
-                cut = np.flatnonzero(token[1:] != token[:-1]) + 1
-                last = int(cut[-1]) if len(cut) else 0
-            if last:
-                yield pairs(batch.iloc[:last], _list_keys(batch.iloc[:last]))
-            held = batch.iloc[last:]
-        if held is not None and len(held):
-            yield pairs(held, _list_keys(held))
-
-    return blocks.mapInPandas(run, "a bigint, b bigint, lists bigint")
-
-
-def _list_keys(rows: pd.DataFrame) -> np.ndarray:
-    """One number per run of rows of a list's block."""
-    token, pieces = rows["token"].to_numpy(), rows[["i", "j"]].to_numpy()
-    new = np.append(False, (token[1:] != token[:-1]) | (pieces[1:] != pieces[:-1]).any(axis=1))
-    return np.cumsum(new)
+def _prefix_test(rows: pd.DataFrame):
+    """Of a block's pairs, those whose prefixes share enough shingles are compared whole."""
+    matches = rows["matches"].to_numpy()
+    first = [np.sort(np.asarray(p, dtype=np.int64)) for p in rows["prefix"]]
+    return lambda x, y: n_shared(first[x], first[y]) >= min(matches[x], matches[y])
 
 
 def similar(docs: DataFrame, width: int, percent: int, id_col: str = "doc_id", text_col: str = "text",
@@ -336,8 +279,8 @@ def similar(docs: DataFrame, width: int, percent: int, id_col: str = "doc_id", t
     postings = own.select("cls", "n", "common", F.explode("prefix").alias("token"))
     lists = postings.groupBy("token").agg(
         F.count(F.lit(1)).alias("members"), F.max(F.struct("common", "cls", "n")).alias("top")) \
-        .filter("members > 1").select("token", F.col("top.cls").alias("hub"), F.col("top.n").alias("n_hub"))
-    joint = work.stored(postings.join(lists, "token").select("token", "cls", "n", "hub", "n_hub"), "postings")
+        .filter("members > 1").select("token", "members", F.col("top.cls").alias("hub"), F.col("top.n").alias("n_hub"))
+    joint = work.stored(postings.join(lists, "token").select("token", "cls", "n", "hub", "n_hub", "members"), "postings")
 
     size = own.select("cls", "n", "sketch")
     a_side, b_side = (size.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"k{c}")) for c in "ab")
@@ -345,32 +288,19 @@ def similar(docs: DataFrame, width: int, percent: int, id_col: str = "doc_id", t
         .select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct() \
         .join(a_side, "a").join(b_side, "b")
     tried = work.stored(_sketch_filter(stars, percent), "star_pairs")
-    links = verified(rows, own, tried, width, percent, work)
-    label = components(links)
-
-    labelled = joint.join(label.withColumnRenamed("id", "cls"), "cls", "left") \
-        .withColumn("component", F.coalesce("component", "cls"))
-    open_lists = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                               F.count(F.lit(1)).alias("members")).filter("lo < hi").select("token", "members")
-    pieces = labelled.join(open_lists, "token").withColumn("cuts", F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")) \
-        .withColumn("piece", F.pmod(F.xxhash64("cls"), F.col("cuts")).cast("int"))
-    # Every unordered pair of pieces of a list is one block; a member goes to each block of its piece.
-    with_blocks = pieces.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))) \
-        .withColumn("i", F.least("piece", "other")).withColumn("j", F.greatest("piece", "other")) \
-        .withColumn("side", F.when(F.col("i") == F.col("j"), 0).when(F.col("piece") == F.col("i"), -1).otherwise(1))
-    spread = F.when(F.col("cuts") > 1, F.col("token")).otherwise(0)       # long lists are dealt out one by one
-    blocks = with_blocks.join(size.select("cls", "sketch"), "cls").withColumn("spread", spread) \
-        .select("hub", "spread", "i", "j", "token", "side", "cls", "n", "component", "sketch") \
-        .repartition("hub", "spread", "i", "j").sortWithinPartitions("hub", "spread", "i", "j", "token").drop("spread")
-    named = _block_pairs(blocks, percent).groupBy("a", "b").agg(F.sum("lists").alias("lists"))
-    need = own.select("cls", "matches")
-    candidates = work.stored(named.join(tried, ["a", "b"], "left_anti")
-                             .join(need.select(F.col("cls").alias("a"), F.col("matches").alias("ma")), "a")
-                             .join(need.select(F.col("cls").alias("b"), F.col("matches").alias("mb")), "b")
-                             .filter(F.col("lists") >= F.least("ma", "mb")).select("a", "b"), "candidates")
+    wanted = own.select("cls", "signature", "pick.id", "pick.text_hash")
+    links = verified(rows, wanted, tried, width, percent, work)
+    work.drop(tried)
+    members = work.stored(blocks.open_members(joint, components(links), "cls", percent, BLOCK), "members")
     work.drop(joint)
-    more = verified(rows, own, candidates, width, percent, work)
-    final = components(work.stored(links.unionByName(more), "all_links"))
+    of_pair = own.select("cls", "n", F.col("sketch").alias("counts"))
+    near = work.stored(blocks.near_members(members, of_pair, "cls", percent, _any_pair), "near_members")
+    work.drop(members)
+    sets = whole_sets(rows, wanted.join(near.select("cls").distinct(), "cls", "left_semi"), width, work)
+    whole = sets.join(own.select("cls", "n", F.col("sketch").alias("counts"), "matches", "prefix"), "cls")
+    more = work.stored(blocks.links(near, whole, "cls", percent, _any_pair, _prefix_test), "block_links")
+    work.drop(near, sets)
+    final = components(links.unionByName(more))
 
     classes = own.select("cls", "signature", "smallest").join(final.withColumnRenamed("id", "cls"), "cls", "left") \
         .withColumn("component", F.coalesce("component", "cls"))
