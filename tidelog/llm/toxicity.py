@@ -32,6 +32,8 @@ MIN_SUPPORT = 3
 STEPS, RATE, RIDGE = 250, 0.02, 1e-4
 # Whole texts are hashed in pieces of so many characters (overlapping by an n-gram).
 PIECE = 1 << 20
+# Counted cells leave a worker in batches of so many rows: what a worker takes once it keeps.
+CELLS_PER_BATCH = 1 << 16
 
 _GAP = re.compile(r"[\W_]+")
 
@@ -84,8 +86,11 @@ def presence_counts(sample: DataFrame) -> DataFrame:
                 counts[int(y > 0)] += seen
                 texts[int(y > 0)] += 1
         for y in (0, 1):
-            on = np.flatnonzero(counts[y])
-            yield pd.DataFrame({"label": y, "cell": np.append(on, -1), "n": np.append(counts[y][on], texts[y])})
+            cells = np.append(np.flatnonzero(counts[y]), -1)
+            for start in range(0, len(cells), CELLS_PER_BATCH):
+                cell = cells[start:start + CELLS_PER_BATCH].astype(np.int32)
+                yield pd.DataFrame({"label": np.full(len(cell), y, dtype=np.int32), "cell": cell,
+                                    "n": np.where(cell < 0, texts[y], counts[y][cell]).astype(np.int32)})
 
     of = lambda y: F.sum(F.when(F.col("label") == y, F.col("n")).otherwise(0))
     return sample.select("text", "label").mapInPandas(run, "label int, cell int, n int") \
