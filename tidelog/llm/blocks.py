@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.common import lean
+
 COUNTS = 128                # hashed shingle counts of a set
 PIECE_SHINGLES = 1 << 20    # in the sets of one piece of a group, about; a block holds one or two pieces
 _KEY = ["hub", "span", "i", "j"]
@@ -83,7 +85,7 @@ def near_members(members: DataFrame, classes: DataFrame, key: str, percent: int,
 
     types = {f.name: f.dataType.simpleString() for f in members.schema.fields}
     found = _blocks(members, classes, key).mapInPandas(
-        _whole_blocks(near), f"hub {types['hub']}, span {types['span']}, name {types[key]}").distinct()
+        lean(_whole_blocks(near)), f"hub {types['hub']}, span {types['span']}, name {types[key]}").distinct()
     return members.join(found.withColumnRenamed("name", key), ["hub", "span", key], "left_semi")
 
 
@@ -122,7 +124,7 @@ def links(members: DataFrame, sets: DataFrame, key: str, percent: int, vector: C
         return pd.DataFrame({"a": [e[0] for e in ends], "b": [e[1] for e in ends]}, dtype=None if ends else object)
 
     type_ = sets.schema[key].dataType.simpleString()
-    return _blocks(members, sets, key).mapInPandas(_whole_blocks(decide), f"a {type_}, b {type_}").distinct()
+    return _blocks(members, sets, key).mapInPandas(lean(_whole_blocks(decide)), f"a {type_}, b {type_}").distinct()
 
 
 def _blocks(members: DataFrame, classes: DataFrame, key: str) -> DataFrame:

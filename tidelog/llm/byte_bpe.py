@@ -19,10 +19,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import Kept, small_batches
+from tidelog.llm.common import Kept, lean, small_batches
 
-# Entries of the per-worker pre-token cache; it is emptied beyond that.
-CACHE_ENTRIES = 400_000
+# Entries of a task's pre-token cache (some 200 bytes each); it is emptied beyond that.
+CACHE_ENTRIES = 200_000
 LONG_TEXT = 1_000_000
 
 
@@ -137,7 +137,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str
             yield batch
 
     df = docs.select(*kept.sent, F.col(text_col).cast("string").alias("__text")) \
-        .mapInPandas(run, kept.schema("__n bigint, __ids binary, __decoded binary"))
+        .mapInPandas(lean(run), kept.schema("__n bigint, __ids binary, __decoded binary"))
     return kept.back(df).withColumnsRenamed({"__n": "n_tokens", "__ids": "ids", "__decoded": "decoded"})
 
 

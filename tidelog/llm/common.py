@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +18,10 @@ from pyspark.sql import types as T
 BROADCAST_MAX_BYTES = 32 << 20
 # Rows of one Arrow batch of texts.
 TEXTS_PER_BATCH = 1_000
+# An Arrow batch ends with the row that brings it to so many bytes.
+BYTES_PER_BATCH = 1 << 19
+# Rows that a parquet reader decodes at a time (Spark's 4,096 long texts are arrays of many MB).
+ROWS_PER_READ = 1_024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,9 +104,36 @@ def broadcast_if_small(df: DataFrame, n_bytes: Column, limit: int = BROADCAST_MA
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Send whole texts to Python workers in batches of ``TEXTS_PER_BATCH`` rows
-    (Spark's default of 10,000 rows of long texts fills a small executor)."""
+    """Send whole texts to Python workers in batches of ``TEXTS_PER_BATCH`` rows and
+    ``BYTES_PER_BATCH`` bytes, read by ``ROWS_PER_READ`` (Spark's default of 10,000 rows
+    of long texts fills a small executor)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(ROWS_PER_READ))
+
+
+def give_back() -> None:
+    """Free memory that this process's allocators hold goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A mapInPandas function whose worker gives its memory back when a task ends.
+
+    Spark keeps workers for later tasks, also through stages without Python, and
+    with them what they once took.
+    """
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
 
 
 class Kept:

@@ -34,11 +34,12 @@ from pyspark.sql import functions as F
 
 from tidelog.llm import blocks
 from tidelog.llm.blocks import COUNTS, counts_of, most_difference, n_shared
-from tidelog.llm.common import Scratch, broadcast_if_small, small_batches, stored
+from tidelog.llm.common import Scratch, broadcast_if_small, lean, small_batches, stored
 
 CELLS = 1 << 20          # counted cells of shingles
 CHUNK = 1 << 14          # cells of one counts row
 MAX_MATCHES = 4
+WORDS_KEPT = 1 << 16     # word hashes that a task remembers
 VERIFY_COST = 20.0       # a verification in postings
 BLOCK = 1024             # members of one piece of a hub's group
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -47,7 +48,7 @@ _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvw
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
+        if len(self) >= WORDS_KEPT:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -99,9 +100,9 @@ def cell_counts(texts: DataFrame, width: int) -> np.ndarray:
         yield from _chunks(total.items())
 
     schema = "chunk int, data binary"
-    parts = texts.mapInPandas(count, schema)
+    parts = texts.mapInPandas(lean(count), schema)
     # Partial sums are added as they stream by, so a task holds the chunks it owns and no more.
-    summed = parts.repartition(CELLS // CHUNK, "chunk").mapInPandas(add, schema).toPandas()
+    summed = parts.repartition(CELLS // CHUNK, "chunk").mapInPandas(lean(add), schema).toPandas()
     out = np.zeros((CELLS // CHUNK, CHUNK), dtype=np.int64)
     for chunk, data in zip(summed["chunk"], summed["data"]):
         out[chunk] += np.frombuffer(data, dtype=np.int64)
@@ -152,7 +153,7 @@ def _records(texts: DataFrame, width: int, percent: int, counts: np.ndarray) ->
                 rows.append((i, h, len(s), xxhash.xxh128_digest(s.tobytes()), matches, first.view(np.int64), common, counts_of(s)))
             yield pd.DataFrame(rows, columns=["id", "text_hash", "n", "signature", "matches", "prefix", "common", "sketch"])
 
-    return texts.mapInPandas(run, "id string, text_hash bigint, n bigint, signature binary, matches int, "
+    return texts.mapInPandas(lean(run), "id string, text_hash bigint, n bigint, signature binary, matches int, "
                                   "prefix array<bigint>, common double, sketch binary")
 
 
@@ -170,7 +171,7 @@ def whole_sets(rows: DataFrame, wanted: DataFrame, width: int, work: Scratch) ->
     small = broadcast_if_small(wanted, F.lit(72)).alias("w")
     texts = rows.alias("r").join(small, F.col("r.text_hash").eqNullSafe(F.col("w.text_hash"))
                                  & F.col("r.id").eqNullSafe(F.col("w.id"))).select("w.cls", "w.signature", "r.text")
-    sets = work.stored(texts.mapInPandas(run, "cls bigint, set array<bigint>").dropDuplicates(["cls"]), "sets")
+    sets = work.stored(texts.mapInPandas(lean(run), "cls bigint, set array<bigint>").dropDuplicates(["cls"]), "sets")
     work.drop(wanted)
     return sets
 
@@ -232,7 +233,7 @@ def _sketch_filter(pairs: DataFrame, percent: int) -> DataFrame:
             ok = np.abs(x - y).sum(axis=1) <= most_difference(percent, na, nb)
             yield batch.loc[ok, ["a", "b"]]
 
-    return pairs.mapInPandas(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept))
+    return pairs.mapInPandas(lean(run), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept))
 
 
 def _any_pair(rows: pd.DataFrame):

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import labelled
-from tidelog.llm.common import Kept, small_batches, stored
+from tidelog.llm.common import Kept, lean, small_batches, stored
 
 BUCKETS = 1 << 20
 SIZES = (3, 4, 5, 6)
@@ -93,7 +93,7 @@ def presence_counts(sample: DataFrame) -> DataFrame:
                                     "n": np.where(cell < 0, texts[y], counts[y][cell]).astype(np.int32)})
 
     of = lambda y: F.sum(F.when(F.col("label") == y, F.col("n")).otherwise(0))
-    return sample.select("text", "label").mapInPandas(run, "label int, cell int, n int") \
+    return sample.select("text", "label").mapInPandas(lean(run), "label int, cell int, n int") \
         .groupBy("cell").agg(of(0).alias("n0"), of(1).alias("n1"))
 
 
@@ -125,7 +125,7 @@ def fit(sample: DataFrame) -> Model:
             yield pd.DataFrame({"id": batch["__id"].astype(str), "label": batch["label"],
                                 "bits": [r.tobytes() for r in np.packbits(bits, axis=1)]})
 
-    rows = sample.mapInPandas(run, "id string, label int, bits binary").toPandas().sort_values(["id", "bits"])
+    rows = sample.mapInPandas(lean(run), "id string, label int, bits binary").toPandas().sort_values(["id", "bits"])
     y = (rows["label"].to_numpy() > 0).astype(np.float32)
     x = np.unpackbits(np.frombuffer(b"".join(rows["bits"]), dtype=np.uint8).reshape(len(rows), -1), axis=1)
     r = np.zeros(FEATURES, dtype=np.float32)
@@ -171,7 +171,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
             yield batch
 
     df = docs.select(*kept.sent, F.col(text_col).cast("string").alias("__text")) \
-        .mapInPandas(run, kept.schema("__score double")).withColumnRenamed("__score", "score")
+        .mapInPandas(lean(run), kept.schema("__score double")).withColumnRenamed("__score", "score")
     return kept.back(df).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
